@@ -20,10 +20,10 @@ _LAG_PRICES = tuple(lag_names(columns=(PRICE,)))
 _AVERAGES = tuple(sma_names())
 
 
-def features_table(spark: SparkSession, tables: str, **options: object) -> DataFrame:
+def features_table(spark: SparkSession, tables: str, *, row_id: bool = True, **options: object) -> DataFrame:
     """The feature table without clusters; the SKU's daily table is built without the category join."""
-    rows = sales(spark, tables, row_id=True)
-    days = daily_sku(sales(spark, tables, category=False)).persist()
+    rows = sales(spark, tables, row_id=row_id)
+    days = daily_sku(sales(spark, tables, category=False))
     return build_features(rows, calendar(spark), clusters=None, daily_sku=days, **options).table
 
 
@@ -43,11 +43,11 @@ def moving_average_past(spark: SparkSession, tables: str) -> DataFrame:
 
 def lag_join(spark: SparkSession, tables: str) -> DataFrame:
     """Every sale with the price and quantity of the SKU's previous three sale days."""
-    return rounded(with_lags(sales(spark, tables, category=False, row_id=True)), *_LAG_PRICES)
+    return rounded(with_lags(sales(spark, tables, category=False)), *_LAG_PRICES)
 
 
 def average_join(spark: SparkSession, tables: str) -> DataFrame:
-    return rounded(with_moving_averages(sales(spark, tables, row_id=True)), *_AVERAGES)
+    return rounded(with_moving_averages(sales(spark, tables)), *_AVERAGES)
 
 
 def undefined_average_dates(spark: SparkSession, tables: str) -> DataFrame:
@@ -56,7 +56,7 @@ def undefined_average_dates(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def feature_table(spark: SparkSession, tables: str) -> DataFrame:
-    return rounded(features_table(spark, tables), *_LAG_PRICES, *_AVERAGES)
+    return rounded(features_table(spark, tables, row_id=False), *_LAG_PRICES, *_AVERAGES)
 
 
 def training_table(spark: SparkSession, tables: str) -> DataFrame:
@@ -83,7 +83,7 @@ def predictions_with_actuals(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, tables: str) -> tuple[DataFrame, DataFrame]:
-    return split_train_test(sales(spark, tables, row_id=True))
+    return split_train_test(sales(spark, tables, row_id=True).persist())
 
 
 def asof_last_days(spark: SparkSession, tables: str) -> DataFrame:
@@ -132,7 +132,8 @@ QUERIES: dict[str, Query] = {
 
 _LAGS = f"""{rounded_columns(_LAG_PRICES)}, lag_1_sales_quantity, lag_2_sales_quantity, lag_3_sales_quantity"""
 _SMA = rounded_columns(_AVERAGES)
-_ROW = "date, category_id, sku_id, sales_price, sales_quantity, row_id"
+_SALE = "date, category_id, sku_id, sales_price, sales_quantity"
+_ROW = f"{_SALE}, row_id"
 _PARTS = "year, month, day, weekday, is_ukrainian_holiday"
 _SCALED = (
     "category_id sku_id sales_price sales_quantity year month day weekday is_ukrainian_holiday "
@@ -182,13 +183,13 @@ ORACLES: dict[str, str] = {
         "daily_category",
     ),
     "lag_join": sql(
-        f"SELECT date, sku_id, sales_price, sales_quantity, row_id, {_LAGS} FROM with_lags", "with_lags"
+        f"SELECT date, sku_id, sales_price, sales_quantity, {_LAGS} FROM with_lags", "with_lags"
     ),
-    "average_join": sql(f"SELECT {_ROW}, {_SMA} FROM sales JOIN averages USING (category_id, date)", "sales", "averages"),
+    "average_join": sql(f"SELECT {_SALE}, {_SMA} FROM sales JOIN averages USING (category_id, date)", "sales", "averages"),
     "undefined_average_dates": sql(
         "SELECT DISTINCT date FROM averages WHERE sma_5_sales_price IS NULL", "averages"
     ),
-    "feature_table": sql(f"SELECT {_ROW}, {_PARTS}, {_LAGS}, {_SMA} FROM features WHERE {PRESENT}", "features"),
+    "feature_table": sql(f"SELECT {_SALE}, {_PARTS}, {_LAGS}, {_SMA} FROM features WHERE {PRESENT}", "features"),
     "training_table": sql(
         f"SELECT * EXCLUDE (date) FROM (SELECT {_ROW}, {_PARTS}, {_LAGS} FROM features)", "features"
     ),

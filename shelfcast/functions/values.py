@@ -39,3 +39,9 @@ def bucket_of_100(row_key: Iterable[str | Column], salt: str = "") -> Column:
     """A stable bucket 0..99 from the md5 of the row key (and an optional salt text)."""
     text = F.concat_ws("|", *[F.col(c) if isinstance(c, str) else c for c in row_key], F.lit(salt))
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % F.lit(100)
+
+
+def array_mean(array: str) -> Column:
+    """Mean of the non-null elements of an array of doubles, null when there is none."""
+    present = F.filter(array, lambda v: v.isNotNull())
+    return F.try_divide(F.aggregate(present, F.lit(0.0), lambda acc, v: acc + v), F.size(present))

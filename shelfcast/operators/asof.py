@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from shelfcast.functions.values import array_mean
 from shelfcast.schema import (
     CATEGORY,
     DATE,
@@ -80,11 +81,6 @@ def means_asof(
     """Mean price and quantity of the last 1..window history days; null where there is none."""
     recent = last_k_days(days, history, key, window, inclusive=inclusive)
     return recent.select(
-        key, DATE, N_ROWS, *[_mean(c).alias(sma_name(window, c)) for c in (PRICE, QUANTITY)]
+        key, DATE, N_ROWS, *[array_mean(f"{RECENT}.{c}").alias(sma_name(window, c)) for c in (PRICE, QUANTITY)]
     )
 
-
-def _mean(field: str):
-    values = F.filter(F.transform(RECENT, lambda day: day[field]), lambda v: v.isNotNull())
-    total = F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
-    return F.try_divide(total, F.size(values))

@@ -2,41 +2,59 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from itertools import combinations
+from itertools import product
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.values import as_number
 
+_MATRIX = "a string, b string, corr double"
+
 
 def correlation_matrix(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """(a, b, corr) for every ordered pair of the remaining columns, in one aggregate.
+    """(a, b, corr) for every ordered pair of the remaining columns, in one aggregate over all rows.
 
-    The result is null for a constant column and for a column holding nulls, where the coefficient
+    Each row is turned into one (column, value, all values) entry per column inside its task, which
+    leaves a grouping with as many groups as columns and one running sum per pair; a single aggregate
+    of all pairs would be too large a method for the JVM to compile. The sums are taken around a value
+    of each column, the median of a few rows, which keeps their differences accurate; any value gives
+    the same coefficients. Null for a constant column and for one holding nulls, where the coefficient
     is undefined.
     """
     types = {f.name: f.dataType for f in df.schema.fields if f.name not in exclude}
     names = list(types)
     numbers = df.select(*[as_number(c, t).alias(c) for c, t in types.items()])
-    moments = numbers.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count(c).alias(f"n{i}") for i, c in enumerate(names)],
-        *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(names)],
-        *[F.covar_pop(names[i], names[j]).alias(f"c{i}_{j}") for i, j in combinations(range(len(names)), 2)],
+    near = numbers.limit(1000).agg(*[F.percentile_approx(c, 0.5).alias(c) for c in names]).first()
+    moved = F.array(*[F.col(c) - F.lit(near[c] or 0.0) for c in names])
+    sums = (
+        numbers.select(F.posexplode(moved).alias("i", "x"), moved.alias("v"))
+        .groupBy("i")
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.count("x").alias("present"),
+            F.sum("x").alias("s"),
+            *[F.sum(F.col("x") * F.col("v")[j]).alias(f"p{j}") for j in range(len(names))],
+        )
+        .collect()
     )
+    at = {r["i"]: r for r in sums}
+    usable = [bool(at) and at[i]["present"] == at[i]["rows"] and bool(at[i][f"p{i}"]) for i in range(len(names))]
 
-    def entry(i: int, j: int) -> Column:
-        complete = (F.col(f"n{i}") == F.col("rows")) & (F.col(f"n{j}") == F.col("rows"))
-        spread = F.sqrt(F.col(f"v{i}") * F.col(f"v{j}"))
-        shared = F.col(f"v{i}") if i == j else F.col(f"c{min(i, j)}_{max(i, j)}")
-        value = F.when(complete, F.try_divide(shared, spread))
-        return F.struct(F.lit(names[i]).alias("a"), F.lit(names[j]).alias("b"), value.alias("corr"))
+    def spread(i: int, j: int) -> float:
+        return at[i][f"p{j}"] - at[i]["s"] * at[j]["s"] / at[i]["rows"]
 
-    pairs = [entry(i, j) for i in range(len(names)) for j in range(len(names))]
-    return moments.select(F.inline(F.array(*pairs)))
+    rows = []
+    for i, j in product(range(len(names)), repeat=2):
+        value = None
+        if usable[i] and usable[j]:
+            norm = math.sqrt(spread(i, i) * spread(j, j))
+            value = spread(i, j) / norm if norm else None
+        rows.append((names[i], names[j], value))
+    return df.sparkSession.createDataFrame(rows, _MATRIX)
 
 
 def wide_correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -50,7 +68,4 @@ def wide_correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         for i, a in enumerate(columns)
         for j, b in enumerate(columns)
     ]
-    schema = T.StructType(
-        [T.StructField("a", T.StringType()), T.StructField("b", T.StringType()), T.StructField("corr", T.DoubleType())]
-    )
-    return df.sparkSession.createDataFrame(rows, schema)
+    return df.sparkSession.createDataFrame(rows, _MATRIX)

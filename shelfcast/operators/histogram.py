@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.functions.values import as_integer
 from shelfcast.operators.joins import attach
@@ -17,7 +17,7 @@ def _log2_bins(n: Column) -> Column:
 
 
 def _bin_of(x: Column, lo: Column, hi: Column, bins: Column) -> Column:
-    """Equal-width bin 0..bins-1, the last one closed; bin 0 for a constant column."""
+    """Equal-width bin 0..bins-1, the last one closed; bin 0 for a constant column or a null."""
     position = F.try_divide((x - lo).cast("double"), (hi - lo).cast("double")) * bins
     return F.coalesce(F.least(F.floor(position), bins.cast("long") - F.lit(1)), F.lit(0)).cast("int")
 
@@ -25,49 +25,53 @@ def _bin_of(x: Column, lo: Column, hi: Column, bins: Column) -> Column:
 def column_histograms(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, bin, n, lo, hi) with floor(log2 rows)+1 bins per column, two for two-valued columns.
 
-    One pass takes minimum, maximum and counts; a second bins every row inside its task, so the
-    exchange carries only (column, bin) counts. Nulls are not counted, but a null is a value when
-    deciding whether a column has two of them. A constant column has one bin.
+    One pass takes minimum, maximum and row count, a single row that is read at once; a second bins
+    every row inside its task, so the exchange carries only (column, bin) counts. Nulls are not
+    counted, but a null is a value when deciding whether a column has two of them. A constant column
+    has one bin.
     """
-    columns = list(columns or df.columns)
     types = {f.name: f.dataType for f in df.schema.fields}
+    columns = list(columns or df.columns)
     whole = df.select(*[as_integer(c, types[c]).alias(c) for c in columns])
     limits = whole.agg(
         F.count(F.lit(1)).alias("__rows"),
-        *[f(c).alias(f"{name}_{c}") for c in columns for name, f in (("lo", F.min), ("hi", F.max), ("n", F.count))],
-    )
-    one = limits.select(F.struct("*").alias("limits")).scalar()
-    bins = _log2_bins(one["__rows"])
-
-    def entry(c: str) -> Column:
-        x, lo, hi = F.col(c), one[f"lo_{c}"], one[f"hi_{c}"]
-        return F.struct(
-            F.lit(c).alias("column"),
-            F.when(x.isNotNull(), _bin_of(x, lo, hi, bins)).alias("bin"),
-            F.when(x != lo, F.when(x != hi, F.lit(1))).alias("inner"),
-            lo.alias("lo"),
-            hi.alias("hi"),
-        )
-
+        *[f(c).alias(f"{name}_{c}") for c in columns for name, f in (("lo", F.min), ("hi", F.max))],
+    ).first()
+    bins = limits["__rows"].bit_length()
+    ends = [(limits[f"lo_{c}"], limits[f"hi_{c}"]) for c in columns]
+
+    def code(c: str, lo: int | None, hi: int | None) -> Column:
+        """Twice the bin number, plus one for a value strictly between the ends; null for null."""
+        if lo is None:
+            return F.lit(None).cast("int")
+        x = F.col(c)
+        inner = ((x > F.lit(lo)) & (x < F.lit(hi))).cast("int")
+        return _bin_of(x, F.lit(lo), F.lit(hi), F.lit(bins)) * F.lit(2) + inner
+
+    codes = F.array(*[F.when(F.col(c).isNotNull(), code(c, *e)) for c, e in zip(columns, ends, strict=True)])
     counted = (
-        whole.select(F.inline(F.array(*[entry(c) for c in columns])))
-        .groupBy("column", "bin", "lo", "hi")
-        .agg(F.count(F.lit(1)).alias("n"), F.count("inner").alias("inner"))
-    )
-    # From here on there are at most 64 bins per column.
-    shape = counted.groupBy("column").agg(
-        F.sum("inner").alias("inner_rows"), F.max(F.col("bin").isNull()).alias("has_null")
+        whole.select(F.posexplode(codes).alias("position", "code"))
+        .groupBy("position", "code")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    two_valued = (F.col("inner_rows") == 0) & (F.col("lo") < F.col("hi")) & ~F.col("has_null")
+    # From here on there are at most 130 rows per column.
+    of_column = Window.partitionBy("position")
+    many = F.max(F.coalesce(F.col("code") % 2, F.lit(1))).over(of_column) == 1
+    constant = F.array(*[F.lit(lo == hi) for lo, hi in ends])[F.col("position")]
+    place = F.floor(F.col("code") / 2).cast("int")
     return (
-        counted.where(F.col("bin").isNotNull())
-        .join(shape, "column")
+        counted.withColumn("bin", F.when(many | constant, place).otherwise(F.signum(place).cast("int")))
+        .where(F.col("code").isNotNull())
+        .groupBy("position", "bin")
+        .agg(F.sum("n").alias("n"))
         .select(
-            "column",
-            F.when(two_valued, F.signum("bin").cast("int")).otherwise(F.col("bin")).alias("bin"),
+            F.array(*[F.lit(c) for c in columns])[F.col("position")].alias("column"),
+            "bin",
             "n",
-            "lo",
-            "hi",
+            *[
+                F.array(*[F.lit(e[i]).cast("long") for e in ends])[F.col("position")].alias(name)
+                for i, name in enumerate(("lo", "hi"))
+            ],
         )
     )
 

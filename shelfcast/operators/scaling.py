@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from shelfcast.functions.values import as_number
 from shelfcast.schema import QUANTITY
@@ -26,23 +26,27 @@ def scaling_parameters(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return numbers.agg(F.array(*rows).alias("rows")).select(F.inline("rows"))
 
 
+def apply_scaling(df: DataFrame, parameters: DataFrame) -> DataFrame:
+    """(x - mean) / std for every column in ``parameters`` (one small row each), 0 where std is 0."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    known = {r["column"]: r for r in parameters.collect()}
+
+    def scaled(c: str) -> Column:
+        mean, std = known[c]["mean"], known[c]["std"]
+        if mean is None:
+            return F.lit(None).cast("double")
+        shifted = as_number(c, types[c]) - F.lit(mean)
+        return shifted / F.lit(std) if std else F.when(shifted.isNotNull(), F.lit(0.0))
+
+    return df.select(*[scaled(c).alias(c) if c in known else F.col(c) for c in df.columns])
+
+
 def standardise(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The table with (x - mean) / std in the given columns, 0 for a constant one, and the parameters.
+    """The scaled table and the parameters, fitted on the same rows.
 
-    The moments reach the rows as a scalar subquery: one small row, no join and no driver round trip.
+    Fitting is one aggregate whose few numbers are kept, so the parameters are fixed from then on.
     """
     columns = list(columns or scalable_columns(df))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    numbers = df.select(*[as_number(c, types[c]).alias(c) for c in columns])
-    moments = numbers.agg(
-        *[f(c).alias(f"{name}_{c}") for c in columns for name, f in (("mean", F.avg), ("std", F.stddev_pop))]
-    )
-    one = moments.select(F.struct("*").alias("moments")).scalar()
-
-    def scaled(c: str):
-        std = one[f"std_{c}"]
-        shifted = as_number(c, types[c]) - one[f"mean_{c}"]
-        return F.when(std == 0, F.when(shifted.isNotNull(), F.lit(0.0))).otherwise(F.try_divide(shifted, std))
-
-    out = df.select(*[scaled(c).alias(c) if c in columns else F.col(c) for c in df.columns])
-    return out, scaling_parameters(df, columns)
+    fitted = scaling_parameters(df, columns).collect()
+    parameters = df.sparkSession.createDataFrame(fitted, "column string, mean double, std double")
+    return apply_scaling(df, parameters), parameters

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
@@ -62,11 +64,11 @@ def assign_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def elbow(
-    df: DataFrame, features: Sequence[str] | None = None, *, max_k: int = 15, seed: int = 42
+    df: DataFrame, features: Sequence[str] | None = None, *, max_k: int = 15, seed: int = 42, parallelism: int = 4
 ) -> DataFrame:
     """(k, wcss) for k = 1..max_k over standardised complete rows.
 
-    Scaled vectors are kept while the models are fitted. k = 1 is the total sum of squares; all sums
+    Scaled vectors are kept while the models are fitted, ``parallelism`` at a time. k = 1 is the total sum of squares; all sums
     are brought to population scaling.
     """
     features = list(features or clustering_features(df))
@@ -78,9 +80,13 @@ def elbow(
             raise ValueError("the elbow table needs at least two complete rows")
         deviations = scaler.stages[-1].std.toArray()
         costs = [(1, float(n * (deviations > 0).sum()))]
-        for k in range(2, max_k + 1):
+
+        def cost(k: int) -> tuple[int, float]:
             model = KMeans(k=k, seed=seed, featuresCol="__scaled").fit(vectors)
-            costs.append((k, float(model.summary.trainingCost) * n / (n - 1)))
+            return k, float(model.summary.trainingCost) * n / (n - 1)
+
+        with ThreadPool(parallelism) as pool:
+            costs += pool.map(inheritable_thread_target(df.sparkSession)(cost), range(2, max_k + 1), chunksize=1)
     finally:
         vectors.unpersist()
     return df.sparkSession.createDataFrame(costs, "k int, wcss double")

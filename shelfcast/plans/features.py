@@ -49,10 +49,9 @@ def with_lags(
 ) -> DataFrame:
     """Sales rows with the price and quantity of the SKU's previous sale days.
 
-    ``daily_sku`` may be a stored table; otherwise it is built here and persisted, because both the lag
-    windows and the list of hot (sku, date) keys read it.
+    ``daily_sku`` may be a stored table; otherwise it is built here.
     """
-    days = daily(sales, SKU).persist() if daily_sku is None else daily_sku
+    days = daily(sales, SKU) if daily_sku is None else daily_sku
     return attach(sales, lag_table(days, lags=lags), [SKU, DATE], weights=days)
 
 

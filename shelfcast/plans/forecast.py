@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from shelfcast.functions.values import array_mean
 from shelfcast.operators.asof import lags_asof, means_asof, sample_days
 from shelfcast.operators.calendar import with_calendar, with_holiday_flag
 from shelfcast.operators.daily import daily
@@ -26,6 +27,8 @@ from shelfcast.schema import (
     ROW_ID,
     SKU,
     WINDOW_SIZE,
+    lag_name,
+    sma_name,
 )
 from shelfcast.session import cut_lineage, new_path
 from shelfcast.sources.sales import read_sales_csv, write_forecast
@@ -47,22 +50,37 @@ def serving_features(
     hot pairs split, so neither many samples of one SKU nor a long history meets in one task. Every
     sample is kept; a null key leaves its columns null.
     """
-    sku_days = sample_days(samples, SKU).persist()
+    sku_days = sample_days(samples, SKU)
     recent = lags_asof(sku_days, daily_sku, lags=lags, inclusive=inclusive)
     out = attach(samples, recent, [SKU, DATE], weights=sku_days, how="left")
-    category_days = sample_days(samples, CATEGORY).persist()
+    category_days = sample_days(samples, CATEGORY)
     means = means_asof(category_days, daily_category, window=window, inclusive=inclusive).persist()
-    out = attach_small(out, means, [CATEGORY, DATE], weights=category_days, how="left")
+    out = attach_small(out, means, [CATEGORY, DATE], weights=means, how="left")
     return out if clusters is None else assign_clusters(clusters, out)
 
 
+def _state(pool: DataFrame, key: str, k: int) -> DataFrame:
+    """One row per key: its last ``k`` days, newest first.
+
+    The pool holds at most ``k`` history days and one row per forecast day for any key, so the arrays
+    are short.
+    """
+    days = F.sort_array(F.collect_list(F.struct(DATE, PRICE, QUANTITY)), asc=False)
+    return pool.groupBy(key).agg(F.slice(days, 1, k).alias("days"))
+
+
 def _day_features(
     today: DataFrame, pool_sku: DataFrame, pool_category: DataFrame, lags: int, window: int
 ) -> DataFrame:
-    """:func:`serving_features` for a single day, whose joins are small enough to leave to AQE."""
-    recent = lags_asof(sample_days(today, SKU), pool_sku, lags=lags).drop(N_ROWS)
-    means = means_asof(sample_days(today, CATEGORY), pool_category, window=window).drop(N_ROWS)
-    return today.join(recent, [SKU, DATE], "left").join(means, [CATEGORY, DATE], "left")
+    """:func:`serving_features` for the rows of one day, every pool day being earlier."""
+    recent = _state(pool_sku, SKU, lags).select(
+        SKU,
+        *[F.get("days", F.lit(i - 1))[c].alias(lag_name(i, c)) for c in (PRICE, QUANTITY) for i in range(1, lags + 1)],
+    )
+    means = _state(pool_category, CATEGORY, window).select(
+        CATEGORY, *[array_mean(f"days.{c}").alias(sma_name(window, c)) for c in (PRICE, QUANTITY)]
+    )
+    return today.join(recent, SKU, "left").join(means, CATEGORY, "left")
 
 
 def latest_days(history: DataFrame, key: str, k: int, before: dt.date) -> DataFrame:

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from shelfcast.functions.values import array_mean
 from shelfcast.schema import CATEGORY, DATE, NUM_LAGS, PRICE, QUANTITY, SKU, WINDOW_SIZE, lag_names, sma_names
 
 # The last days of one key: day numbers, prices and quantities, oldest first.
@@ -69,14 +70,9 @@ def mean_stream(daily: DataFrame, key: str = CATEGORY, *, window: int = WINDOW_S
     """(key, date, late, mean of the up to ``window`` days before the row's day)."""
     recent = _with_recent_days(daily, key, window)
 
-    def mean(array: str):
-        present = F.filter(array, lambda v: v.isNotNull())
-        total = F.aggregate(present, F.lit(0.0), lambda acc, v: acc + v)
-        return F.try_divide(total, F.size(present))
-
     return recent.select(
         key,
         F.date_from_unix_date(F.col("day").cast("int")).alias(DATE),
         "late",
-        *[mean(a).alias(name) for a, name in zip(("prices", "quantities"), sma_names(window), strict=True)],
+        *[array_mean(a).alias(name) for a, name in zip(("prices", "quantities"), sma_names(window), strict=True)],
     )
