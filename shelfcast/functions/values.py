@@ -41,7 +41,7 @@ def bucket_of_100(row_key: Iterable[str | Column], salt: str = "") -> Column:
     return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % F.lit(100)
 
 
-def array_mean(array: str) -> Column:
+def array_mean(array: str | Column) -> Column:
     """Mean of the non-null elements of an array of doubles, null when there is none."""
     present = F.filter(array, lambda v: v.isNotNull())
     return F.try_divide(F.aggregate(present, F.lit(0.0), lambda acc, v: acc + v), F.size(present))

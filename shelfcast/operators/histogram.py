@@ -19,7 +19,8 @@ def _log2_bins(n: Column) -> Column:
 def _bin_of(x: Column, lo: Column, hi: Column, bins: Column) -> Column:
     """Equal-width bin 0..bins-1, the last one closed; bin 0 for a constant column or a null."""
     position = F.try_divide((x - lo).cast("double"), (hi - lo).cast("double")) * bins
-    return F.coalesce(F.least(F.floor(position), bins.cast("long") - F.lit(1)), F.lit(0)).cast("int")
+    inside = F.least(F.floor(position), bins.cast("long") - F.lit(1))
+    return F.when(position.isNotNull(), inside).otherwise(F.lit(0)).cast("int")
 
 
 def column_histograms(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:

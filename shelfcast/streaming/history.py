@@ -16,12 +16,18 @@ from shelfcast.schema import CATEGORY, DATE, NUM_LAGS, PRICE, QUANTITY, SKU, WIN
 _STATE = "days array<long>, prices array<double>, quantities array<double>"
 
 
+def _recent_names(column: str, k: int) -> list[str]:
+    return [f"{column}_{i}" for i in range(1, k + 1)]
+
+
 def _with_recent_days(daily: DataFrame, key: str, k: int) -> DataFrame:
-    """Each daily row with up to ``k`` days before it; rows not after the last seen day are marked late.
+    """Each daily row with price_i and quantity_i of the i-th day before it, up to ``k`` days back.
 
-    A key has one row per day, so its state is ``k`` days and its input one row per new day.
+    Rows not after the last seen day are marked late. A key has one row per day, so its state is ``k``
+    days and its input one row per new day.
     """
-    schema = f"{key} long, day long, late boolean, prices array<double>, quantities array<double>"
+    names = [*_recent_names("price", k), *_recent_names("quantity", k)]
+    schema = ", ".join([f"{key} long, day long, late boolean", *[f"{n} double" for n in names]])
 
     def advance(group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(chunks)).sort_values("day", kind="stable")
@@ -29,14 +35,16 @@ def _with_recent_days(daily: DataFrame, key: str, k: int) -> DataFrame:
         out = []
         for day, price, quantity in zip(rows["day"], rows[PRICE], rows[QUANTITY], strict=True):
             late = bool(seen) and day <= seen[-1][0]
-            prices = [] if late else [s[1] for s in seen]
-            quantities = [] if late else [s[2] for s in seen]
-            out.append((group[0], int(day), late, prices, quantities))
+            newest_first = [] if late else seen[::-1]
+            missing = [None] * (k - len(newest_first))
+            prices = [s[1] for s in newest_first] + missing
+            quantities = [s[2] for s in newest_first] + missing
+            out.append((group[0], int(day), late, *prices, *quantities))
             if not late:
                 seen = [*seen, (int(day), _none_if_nan(price), _none_if_nan(quantity))][-k:]
         if seen:
             state.update(tuple(list(column) for column in zip(*seen, strict=True)))
-        yield pd.DataFrame(out, columns=[key, "day", "late", "prices", "quantities"])
+        yield pd.DataFrame(out, columns=[key, "day", "late", *names]).astype(dict.fromkeys(names, "float64"))
 
     days = daily.where(F.col(key).isNotNull()).select(
         key,
@@ -44,9 +52,13 @@ def _with_recent_days(daily: DataFrame, key: str, k: int) -> DataFrame:
         F.col(PRICE).cast("double").alias(PRICE),
         F.col(QUANTITY).cast("double").alias(QUANTITY),
     )
-    return days.groupBy(key).applyInPandasWithState(
+    recent = days.groupBy(key).applyInPandasWithState(
         advance, schema, _STATE, "append", GroupStateTimeout.NoTimeout
     )
+    # A missing value comes back from pandas as NaN.
+    known = [F.when(~F.isnan(n), F.col(n)).alias(n) for n in names]
+    date = F.date_from_unix_date(F.col("day").cast("int")).alias(DATE)
+    return recent.select(key, date, "late", *known)
 
 
 def _none_if_nan(x: float) -> float | None:
@@ -56,23 +68,16 @@ def _none_if_nan(x: float) -> float | None:
 def lag_stream(daily: DataFrame, key: str = SKU, *, lags: int = NUM_LAGS) -> DataFrame:
     """(key, date, late, lag columns) for a stream of daily rows."""
     recent = _with_recent_days(daily, key, lags)
-    arrays = {PRICE: "prices", QUANTITY: "quantities"}
-    values = [F.try_element_at(arrays[c], F.lit(-i)) for c in arrays for i in range(1, lags + 1)]
-    return recent.select(
-        key,
-        F.date_from_unix_date(F.col("day").cast("int")).alias(DATE),
-        "late",
-        *[v.alias(name) for v, name in zip(values, lag_names(lags), strict=True)],
-    )
+    values = [*_recent_names("price", lags), *_recent_names("quantity", lags)]
+    renamed = [F.col(v).alias(name) for v, name in zip(values, lag_names(lags), strict=True)]
+    return recent.select(key, DATE, "late", *renamed)
 
 
 def mean_stream(daily: DataFrame, key: str = CATEGORY, *, window: int = WINDOW_SIZE) -> DataFrame:
     """(key, date, late, mean of the up to ``window`` days before the row's day)."""
     recent = _with_recent_days(daily, key, window)
-
-    return recent.select(
-        key,
-        F.date_from_unix_date(F.col("day").cast("int")).alias(DATE),
-        "late",
-        *[array_mean(a).alias(name) for a, name in zip(("prices", "quantities"), sma_names(window), strict=True)],
-    )
+    means = [
+        array_mean(F.array(*_recent_names(column, window))).alias(name)
+        for column, name in zip(("price", "quantity"), sma_names(window), strict=True)
+    ]
+    return recent.select(key, DATE, "late", *means)
