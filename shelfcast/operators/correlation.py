@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from itertools import product
+from statistics import median_low
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
@@ -28,8 +29,9 @@ def correlation_matrix(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     types = {f.name: f.dataType for f in df.schema.fields if f.name not in exclude}
     names = list(types)
     numbers = df.select(*[as_number(c, t).alias(c) for c, t in types.items()])
-    near = numbers.limit(1000).agg(*[F.percentile_approx(c, 0.5).alias(c) for c in names]).first()
-    moved = F.array(*[F.col(c) - F.lit(near[c] or 0.0) for c in names])
+    few = numbers.take(1000)
+    near = {c: median_low([r[c] for r in few if r[c] is not None] or [0.0]) for c in names}
+    moved = F.array(*[F.col(c) - F.lit(near[c]) for c in names])
     sums = (
         numbers.select(F.posexplode(moved).alias("i", "x"), moved.alias("v"))
         .groupBy("i")

@@ -17,10 +17,9 @@ def _log2_bins(n: Column) -> Column:
 
 
 def _bin_of(x: Column, lo: Column, hi: Column, bins: Column) -> Column:
-    """Equal-width bin 0..bins-1, the last one closed; bin 0 for a constant column or a null."""
-    position = F.try_divide((x - lo).cast("double"), (hi - lo).cast("double")) * bins
-    inside = F.least(F.floor(position), bins.cast("long") - F.lit(1))
-    return F.when(position.isNotNull(), inside).otherwise(F.lit(0)).cast("int")
+    """Equal-width bin 0..bins-1 of lo < hi, the last one closed."""
+    position = (x - lo).cast("double") / (hi - lo).cast("double") * bins
+    return F.least(F.floor(position), bins.cast("long") - F.lit(1)).cast("int")
 
 
 def column_histograms(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -43,13 +42,13 @@ def column_histograms(df: DataFrame, columns: Sequence[str] | None = None) -> Da
 
     def code(c: str, lo: int | None, hi: int | None) -> Column:
         """Twice the bin number, plus one for a value strictly between the ends; null for null."""
-        if lo is None:
-            return F.lit(None).cast("int")
         x = F.col(c)
+        if lo is None or lo == hi:
+            return F.when(x.isNotNull(), F.lit(0))
         inner = ((x > F.lit(lo)) & (x < F.lit(hi))).cast("int")
         return _bin_of(x, F.lit(lo), F.lit(hi), F.lit(bins)) * F.lit(2) + inner
 
-    codes = F.array(*[F.when(F.col(c).isNotNull(), code(c, *e)) for c, e in zip(columns, ends, strict=True)])
+    codes = F.array(*[code(c, *e) for c, e in zip(columns, ends, strict=True)])
     counted = (
         whole.select(F.posexplode(codes).alias("position", "code"))
         .groupBy("position", "code")
@@ -98,8 +97,10 @@ def grouped_histogram(
     )
     count = F.lit(bins) if bins else _log2_bins(F.col("__rows"))
     placed = attach(reduced.where(F.col("__value").isNotNull()), limits, [key], weights=limits.select(key, N_ROWS))
+    lo, hi = F.col("__lo"), F.col("__hi")
+    place = F.when(lo == hi, F.lit(0)).otherwise(_bin_of(F.col("__value"), lo, hi, count))
     return (
-        placed.select(key, _bin_of(F.col("__value"), F.col("__lo"), F.col("__hi"), count).alias("bin"), "__n")
+        placed.select(key, place.alias("bin"), "__n")
         .groupBy(key, "bin")
         .agg(F.sum("__n").alias("n"))
     )

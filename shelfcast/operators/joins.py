@@ -18,13 +18,8 @@ MAX_BROADCAST_ROWS = 500_000
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Counts at most ``max_rows`` + 1 rows of ``table``."""
-    return table.limit(max_rows + 1).count() <= max_rows
-
-
-def may_be_hot(fact: DataFrame, hot_rows: int = HOT_ROWS) -> bool:
-    """Whether ``fact`` has enough rows for a hot key; counts at most ``hot_rows`` + 1 rows, no columns."""
-    return fact.limit(hot_rows + 1).count() > hot_rows
+    """Whether ``table``, persisted or stored, has at most ``max_rows`` rows."""
+    return table.count() <= max_rows
 
 
 def hot_keys(
@@ -53,22 +48,27 @@ def attach(
 ) -> DataFrame:
     """Join ``table``, unique on ``keys``, to ``fact``; rows with a null key do not match.
 
-    A fact of at most ``hot_rows`` rows has no hot key, and here the tables come from the fact or are
-    looked up for it, so they are no longer and each task may hash its share. Beyond that the join sorts, which spills, and hot keys
-    are split. They are found in ``weights`` (keys + n_rows of ``fact``), which is persisted for it;
-    without ``weights`` the split is left to AQE's skew join. Every hot key is spread over several
-    parts: fact rows choose one, the single table row is repeated into each. The part comes from the
-    task number and the row's content, so exact copies in different tasks spread too, and a task that
-    is run again sends every row to the same part.
+    ``weights`` (keys + n_rows of ``fact``) decides how. It is persisted, because the lookup table is
+    usually built from it too, and summed up in one row. When all rows together are no more than
+    ``hot_rows``, each task may hash its share of the table; beyond that the join sorts, which spills,
+    and keys with more than ``hot_rows`` rows are split. Without ``weights`` the split is left to
+    AQE's skew join.
+
+    A hot key is spread over several parts: fact rows choose one, the single table row is repeated
+    into each. The part comes from the task number and the row's content, so exact copies in different
+    tasks spread too, and a task that is run again sends every row to the same part.
     """
     keys = list(keys)
     table = table.drop(N_ROWS)
-    if not may_be_hot(fact, hot_rows):
-        return fact.join(table.hint("shuffle_hash"), keys, how)
-    table = table.hint("shuffle_merge")
-    hot = None if weights is None else hot_keys(weights.persist(), keys, hot_rows=hot_rows, max_hot=max_hot)
-    if hot is None or hot.isEmpty():
+    if weights is None:
         return fact.join(table, keys, how)
+    weights = weights.persist()
+    total, largest = weights.agg(F.sum(N_ROWS), F.max(N_ROWS)).first()
+    if (total or 0) <= hot_rows:
+        return fact.join(table.hint("shuffle_hash"), keys, how)
+    if largest <= hot_rows:
+        return fact.join(table.hint("shuffle_merge"), keys, how)
+    hot = hot_keys(weights, keys, hot_rows=hot_rows, max_hot=max_hot)
     hot = F.broadcast(hot)
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns])
     part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("__parts")).cast("int"))

@@ -12,7 +12,7 @@ from shelfcast.operators.asof import lags_asof, means_asof, sample_days
 from shelfcast.operators.calendar import with_calendar, with_holiday_flag
 from shelfcast.operators.daily import daily
 from shelfcast.operators.evaluation import regression_metrics
-from shelfcast.operators.joins import attach, attach_small, with_actuals
+from shelfcast.operators.joins import attach, attach_small, fits_broadcast, with_actuals
 from shelfcast.plans.clusters import assign_clusters
 from shelfcast.plans.models import predict
 from shelfcast.schema import (
@@ -70,9 +70,12 @@ def _state(pool: DataFrame, key: str, k: int) -> DataFrame:
 
 
 def _day_features(
-    today: DataFrame, pool_sku: DataFrame, pool_category: DataFrame, lags: int, window: int
+    today: DataFrame, pool_sku: DataFrame, pool_category: DataFrame, lags: int, window: int, few_categories: bool
 ) -> DataFrame:
-    """:func:`serving_features` for the rows of one day, every pool day being earlier."""
+    """:func:`serving_features` for the rows of one day, every pool day being earlier.
+
+    Category means are broadcast when ``few_categories`` says so; otherwise AQE splits hot categories.
+    """
     recent = _state(pool_sku, SKU, lags).select(
         SKU,
         *[F.get("days", F.lit(i - 1))[c].alias(lag_name(i, c)) for c in (PRICE, QUANTITY) for i in range(1, lags + 1)],
@@ -80,6 +83,7 @@ def _day_features(
     means = _state(pool_category, CATEGORY, window).select(
         CATEGORY, *[array_mean(f"days.{c}").alias(sma_name(window, c)) for c in (PRICE, QUANTITY)]
     )
+    means = F.broadcast(means) if few_categories else means
     return today.join(recent, SKU, "left").join(means, CATEGORY, "left")
 
 
@@ -132,6 +136,9 @@ def recursive_forecast(
         return spark.createDataFrame([], wanted)
     base_sku = cut_lineage(latest_days(daily_sku, SKU, lags, dates[0]))
     base_category = cut_lineage(latest_days(daily_category, CATEGORY, window, dates[0]))
+    # The pool never holds a category that is in neither of these tables.
+    categories = base_category.select(CATEGORY).unionByName(rows.select(CATEGORY)).distinct()
+    few_categories = fits_broadcast(categories)
     path = new_path(spark, "forecast")
     written: list[str] = []
     for day in dates:
@@ -140,7 +147,8 @@ def recursive_forecast(
             so_far = spark.read.schema(wanted).parquet(*written)
             pool_sku = _pool(base_sku, so_far, SKU)
             pool_category = _pool(base_category, so_far, CATEGORY)
-        today = _day_features(rows.where(F.col(DATE) == F.lit(day)), pool_sku, pool_category, lags, window)
+        of_day = rows.where(F.col(DATE) == F.lit(day))
+        today = _day_features(of_day, pool_sku, pool_category, lags, window, few_categories)
         today = today if clusters is None else assign_clusters(clusters, today)
         scored = predict(model, today).select(*inputs, F.col(PREDICTION).alias(QUANTITY))
         written.append(f"{path}/{day.isoformat()}")
