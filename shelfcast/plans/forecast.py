@@ -100,7 +100,9 @@ def latest_days(history: DataFrame, key: str, k: int, before: dt.date) -> DataFr
 
 def horizon_dates(samples: DataFrame, horizon: int = HORIZON_DAYS) -> list[dt.date]:
     """The dates to forecast, at most ``horizon`` calendar days apart."""
-    first, last = samples.agg(F.min(DATE), F.max(DATE)).first()
+    first, last, undated = samples.agg(F.min(DATE), F.max(DATE), F.count_if(F.col(DATE).isNull())).first()
+    if undated:
+        raise ValueError(f"{undated} rows to forecast have no date")
     if first is None:
         return []
     span = (last - first).days + 1

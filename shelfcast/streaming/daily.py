@@ -25,10 +25,12 @@ def daily_schema(key: str, quantity: T.DataType | None = None) -> T.StructType:
 def daily_stream(sales: DataFrame, key: str, *, time: str = "ts", delay: str = DELAY) -> DataFrame:
     """The daily table of a sales stream; a day is emitted once the watermark has passed its end.
 
-    ``time`` is cast to a timestamp with zone, which watermarks need. Rows later than ``delay`` are
-    dropped by the watermark.
+    Days are those of the session's time zone: windows are cut in UTC, so the clock time of ``time`` is
+    read as UTC first. Rows later than ``delay`` are dropped by the watermark.
     """
-    timed = sales.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+    clock = F.from_utc_timestamp(F.col(time).cast("timestamp"), F.current_timezone())
+    timed = sales.withColumn(time, clock).withWatermark(time, delay)
+    day = F.floor(F.unix_seconds("__day.start") / F.lit(86_400)).cast("int")
     return (
         timed.groupBy(F.window(time, "1 day").alias("__day"), key)
         .agg(
@@ -36,7 +38,7 @@ def daily_stream(sales: DataFrame, key: str, *, time: str = "ts", delay: str = D
             F.coalesce(F.sum(F.col(QUANTITY).cast("double")), F.lit(0.0)).alias(QUANTITY),
             F.count(F.lit(1)).alias(N_ROWS),
         )
-        .select(key, F.col("__day.start").cast("date").alias(DATE), PRICE, QUANTITY, N_ROWS)
+        .select(key, F.date_from_unix_date(day).alias(DATE), PRICE, QUANTITY, N_ROWS)
     )
 
 

@@ -163,6 +163,11 @@ def test_horizon_is_checked(spark, sales, model):
     assert run(spark, sales.limit(0), model, 3).count() == 0
 
 
+def test_rows_without_a_date_are_refused(sales):
+    with pytest.raises(ValueError):
+        forecast.horizon_dates(sales.withColumn("date", F.lit(None).cast("date")))
+
+
 def test_unknown_sku_is_forecast(spark, sales, model):
     history = sales.where(F.col("date") < F.lit(START))
     new = spark.createDataFrame([(START, 9, 999, 5.0, None)], SALES)

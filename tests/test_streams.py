@@ -89,3 +89,19 @@ def test_live_means_skip_missing_values(spark, tmp_path):
     got = {r["date"].day: (r["sma_5_sales_price"], r["sma_5_sales_quantity"]) for r in spark.read.parquet(out).collect()}
     assert got[1] == (None, None) and got[3] == (1.0, 1.5)
     assert got[7] == (pytest.approx((3 + 4 + 5 + 6) / 4), 4.0) and got[8] == (5.0, 5.0)
+
+
+@pytest.mark.parametrize("zone", ["America/New_York", "Asia/Tokyo"])
+def test_days_follow_the_session_time_zone(spark, tmp_path, zone):
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    try:
+        clock = [(h, f"2020-03-0{d} {h:02}:30:00") for d in (1, 2, 3, 4, 5) for h in (0, 9, 23)]
+        named = "ts string, sku_id long, sales_price double, sales_quantity double"
+        rows = spark.createDataFrame([(t, 1, 1.0, float(h)) for h, t in clock], named)
+        inbox = str(tmp_path / "inbox")
+        rows.withColumn("ts", F.col("ts").cast("timestamp")).write.parquet(inbox)
+        table = run(daily_stream(spark.readStream.schema(SCHEMA).parquet(inbox), SKU), tmp_path, "daily")
+        got = rows_of(spark.read.parquet(table), "date", "sales_quantity", "n_rows")
+        assert got == [(dt.date(2020, 3, d), 32.0, 3) for d in (1, 2, 3)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
