@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -29,6 +28,7 @@ def _with_recent_days(daily: DataFrame, key: str, k: int) -> DataFrame:
     names = [*_recent_names("price", k), *_recent_names("quantity", k)]
     schema = ", ".join([f"{key} long, day long, late boolean", *[f"{n} double" for n in names]])
 
+    # Defined in here and using no function of this package, so that it travels to workers as it is.
     def advance(group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         rows = pd.concat(list(chunks)).sort_values("day", kind="stable")
         seen = list(zip(*state.get, strict=True)) if state.exists else []
@@ -41,7 +41,8 @@ def _with_recent_days(daily: DataFrame, key: str, k: int) -> DataFrame:
             quantities = [s[2] for s in newest_first] + missing
             out.append((group[0], int(day), late, *prices, *quantities))
             if not late:
-                seen = [*seen, (int(day), _none_if_nan(price), _none_if_nan(quantity))][-k:]
+                known = [float(v) if pd.notna(v) else None for v in (price, quantity)]
+                seen = [*seen, (int(day), *known)][-k:]
         if seen:
             state.update(tuple(list(column) for column in zip(*seen, strict=True)))
         yield pd.DataFrame(out, columns=[key, "day", "late", *names]).astype(dict.fromkeys(names, "float64"))
@@ -61,10 +62,6 @@ def _with_recent_days(daily: DataFrame, key: str, k: int) -> DataFrame:
     return recent.select(key, date, "late", *known)
 
 
-def _none_if_nan(x: float) -> float | None:
-    return None if x is None or np.isnan(x) else float(x)
-
-
 def lag_stream(daily: DataFrame, key: str = SKU, *, lags: int = NUM_LAGS) -> DataFrame:
     """(key, date, late, lag columns) for a stream of daily rows."""
     recent = _with_recent_days(daily, key, lags)
