@@ -39,13 +39,25 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path in the shared folder that no other run uses; deleted when the session's JVM ends."""
+    made = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _on_storage(spark, made, lambda fs, path: fs.deleteOnExit(path))
+    return made
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder made by :func:`new_path` that no live DataFrame reads any more."""
+    _on_storage(spark, path, lambda fs, p: fs.delete(p, True))
+
+
+def _on_storage(spark: SparkSession, path: str, action):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return action(hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path)
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
+def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: a short plan that survives lost executors."""
     spark = df.sparkSession
-    path = new_path(spark, "table")
+    path = path or new_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
