@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import quality, secrets, sharding
+from shelfcast.llm import bpe, quality, secrets, sharding, token_counts
 from shelfcast.llm.text import n_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +56,21 @@ def op1_sharding(spark: SparkSession, tables: str) -> DataFrame:
     return sharding.assign_shards(sized, ["doc_id"], F.col("n_bytes"), SHARD_LIMIT)
 
 
+@_register("op2_bpe")
+def op2_bpe(spark: SparkSession, tables: str) -> DataFrame:
+    tokenizer = public_tokenizers.path("word_bpe_49k.json")
+    encoded = bpe.encode(_table(spark, tables, "documents", "doc_id", "text"), tokenizer)
+    digests = {"n_tokens": bpe.n_tokens(F.col("ids")), "ids_sha256": F.sha2("ids", 256)}
+    decoded = bpe.decode(encoded.withColumns(digests), tokenizer, carry=["doc_id", *digests])
+    return decoded.select("doc_id", *digests, F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@_register("op4_token_counts")
+def op4_token_counts(spark: SparkSession, tables: str) -> DataFrame:
+    docs = _table(spark, tables, "documents", "doc_id", "text")
+    return token_counts.count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
 _SQL_ASSIGN = (
     r"(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])"
     + r"""["'']?\x20*[:=]\x20*["'']?"""
