@@ -155,8 +155,14 @@ class Decoder:
 
 
 # One per worker: workers outlive tasks, and what they have learnt stays.
-_encoder = functools.lru_cache(maxsize=1)(ForcedBoundaryEncoder)
-_decoder = functools.lru_cache(maxsize=1)(Decoder)
+@functools.lru_cache(maxsize=1)
+def _encoder(path: str) -> ForcedBoundaryEncoder:
+    return ForcedBoundaryEncoder(path)
+
+
+@functools.lru_cache(maxsize=1)
+def _decoder(path: str) -> Decoder:
+    return Decoder(path)
 
 
 def encode(df: DataFrame, tokenizer: str, text: str = "text", carry: Sequence[str] = ("doc_id",)) -> DataFrame:

@@ -102,7 +102,9 @@ class Counter:
         return totals
 
 
-_counter = functools.lru_cache(maxsize=1)(Counter)
+@functools.lru_cache(maxsize=1)
+def _counter(path: str) -> Counter:
+    return Counter(path)
 
 
 def count_tokens(df: DataFrame, tokenizer: str, text: str = "text", carry: Sequence[str] = ("doc_id",), limit: int = 512) -> DataFrame:
