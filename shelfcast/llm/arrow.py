@@ -2,12 +2,37 @@
 
 from __future__ import annotations
 
+import functools
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator, Sequence
+from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
+import shelfcast
+
+@functools.lru_cache(maxsize=None)
+def _package(application: str) -> str:
+    top = Path(shelfcast.__file__).parent
+    target = os.path.join(tempfile.mkdtemp(prefix="shelfcast-code-"), "shelfcast_code.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(top.rglob("*.py")):
+            archive.write(file, file.relative_to(top.parent))
+    return target
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers of this application the package's code, once; its functions are imported there."""
+    before = _package.cache_info().misses
+    archive = _package(spark.sparkContext.applicationId)
+    if _package.cache_info().misses > before:
+        spark.sparkContext.addPyFile(archive)
+
+
 def text_batches(texts: Sequence[str], limit: int) -> Iterator[list[str]]:
     """The texts in order, in lists of about ``limit`` characters at most; a longer text stands alone."""
     part: list[str] = []
@@ -34,6 +59,7 @@ def map_column(
     ``make`` runs once per task in the worker and returns the function from an array to the new arrays.
     The column travels under a name of its own, so ``carry`` may contain any names but those added.
     """
+    ship(df.sparkSession)
     names = {field.name for field in added}
     carry = [c for c in carry if c not in names]
     schema = StructType([*[df.schema[c] for c in carry], *added])
