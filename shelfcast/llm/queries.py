@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import bpe, quality, secrets, sharding, token_counts
+from shelfcast.llm import bpe, quality, secrets, sharding, simhash, token_counts
 from shelfcast.llm.text import n_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -65,6 +65,12 @@ def op2_bpe(spark: SparkSession, tables: str) -> DataFrame:
     return decoded.select("doc_id", *digests, F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+@_register("op3_simhash")
+def op3_simhash(spark: SparkSession, tables: str) -> DataFrame:
+    found = simhash.near_duplicates(_table(spark, tables, "documents", "doc_id", "text"), shingle=3, max_bits=2)
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 @_register("op4_token_counts")
 def op4_token_counts(spark: SparkSession, tables: str) -> DataFrame:
     docs = _table(spark, tables, "documents", "doc_id", "text")
