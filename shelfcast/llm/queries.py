@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import bpe, quality, secrets, sharding, simhash, token_counts
+from shelfcast.llm import bpe, decontamination, quality, secrets, sharding, simhash, token_counts
 from shelfcast.llm.text import n_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -185,3 +185,12 @@ FROM failed LEFT JOIN verdicts USING (source)""",
 )
 def op7_quality_rules(spark: SparkSession, tables: str) -> DataFrame:
     return quality.judge(_table(spark, tables, "documents", "doc_id", "text", "source"))
+
+
+@_register("op8_decontamination")
+def op8_decontamination(spark: SparkSession, tables: str) -> DataFrame:
+    docs = _table(spark, tables, "documents", "doc_id", "text")
+    found = decontamination.find_contamination(docs, _table(spark, tables, "benchmark", "item_id", "text"))
+    match = found.select("doc_id", F.inline("matches"))
+    measures = [F.round(c, 6).alias(c) for c in ("score", "question_overlap", "answer_overlap")]
+    return match.select("doc_id", F.col("item").alias("item_id"), *measures)
