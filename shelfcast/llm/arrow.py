@@ -15,6 +15,10 @@ from pyspark.sql.types import StructField, StructType
 
 import shelfcast
 
+#: Bytes of a batch that Spark hands to a worker; a longer row is a batch of its own.
+BATCH_BYTES = 4 << 20
+
+
 @functools.lru_cache(maxsize=None)
 def _package(application: str) -> str:
     top = Path(shelfcast.__file__).parent
@@ -57,9 +61,11 @@ def map_column(
     """``carry`` columns unchanged, followed by ``added`` columns computed from ``column``.
 
     ``make`` runs once per task in the worker and returns the function from an array to the new arrays.
-    The column travels under a name of its own, so ``carry`` may contain any names but those added.
+    Batches are limited by bytes, through the session's setting for Arrow batches, since a limit by rows
+    does not bound long texts. The column travels under a name of its own, so ``carry`` may contain any names but those added.
     """
     ship(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     names = {field.name for field in added}
     carry = [c for c in carry if c not in names]
     schema = StructType([*[df.schema[c] for c in carry], *added])

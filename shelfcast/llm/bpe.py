@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from shelfcast.llm.arrow import map_column, text_batches
 
 #: Fragments kept in a worker; beyond it the memory is emptied and filled anew.
-MEMORY = 400_000
+MEMORY = 200_000
 
 #: Bytes of text whose fragments are looked up together; a longer text is looked up by itself.
 PART_BYTES = 1 << 20
@@ -143,13 +143,14 @@ class Decoder:
     """Decodes ids as the tokenizer file's library does, special tokens included."""
 
     def __init__(self, path: str):
-        self.library = Tokenizer.from_file(path)
-        size = self.library.get_vocab_size(with_added_tokens=True)
-        self.token = [self.library.id_to_token(i) for i in range(size)]
+        library = Tokenizer.from_file(path)
+        size = library.get_vocab_size(with_added_tokens=True)
+        self.token = [library.id_to_token(i) for i in range(size)]
+        self.library = library if library.decoder else None
 
     def decode(self, ids: bytes) -> str:
         numbers = np.frombuffer(ids, dtype="<u4").tolist()
-        if self.library.decoder is None:
+        if self.library is None:
             return " ".join(map(self.token.__getitem__, numbers))
         return self.library.decode(numbers, skip_special_tokens=False)
 
