@@ -15,18 +15,26 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, StringType, StructField
 from tokenizers import Tokenizer
 
 from shelfcast.llm.arrow import map_column, text_batches
 
-#: Fragments kept in a worker; beyond it the memory is emptied and filled anew.
-MEMORY = 200_000
+#: Fragments that a worker remembers, as many again before they are forgotten.
+MEMORY = 150_000
 
 #: Bytes of text whose fragments are looked up together; a longer text is looked up by itself.
 PART_BYTES = 1 << 20
 
+# Fragments for which normaliser and word splitter are asked themselves.
+_BEYOND_LATIN = re.compile("[^\\x00-\\x1b\\x20-\\x84\\x86-\\x9f\\xa1-\\u024f]")
+_NEVER = re.compile(r"(?!)")
+
+#: Marks a piece after which its word goes on; no letter of a byte.
+_GOES_ON = " "
+
 _SPACES = b"\t\n\x0b\x0c\r "
 
 
@@ -47,7 +55,7 @@ class ForcedBoundaryEncoder:
         if parts["model"]["type"] != "BPE" or parts["model"].get("ignore_merges"):
             raise ValueError("forced boundaries need a BPE model that always merges")
         self.library = Tokenizer.from_str(json.dumps({**parts, "truncation": None, "padding": None}))
-        self.special = [t["content"] for t in parts["added_tokens"]]
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in parts["added_tokens"]) or "(?!)")
         bare = {**parts, "truncation": None, "padding": None, "normalizer": None, "pre_tokenizer": None}
         bare |= {"post_processor": None, "added_tokens": []}
         suffix = parts["model"].get("end_of_word_suffix") or ""
@@ -57,8 +65,8 @@ class ForcedBoundaryEncoder:
 
         letters = byte_letters()
         self.byte_of = np.zeros(512, dtype=np.uint8)
-        for b, letter in enumerate(letters):
-            self.byte_of[ord(letter)] = b
+        self.letter_of = np.array([ord(letter) for letter in letters], dtype="<u2")
+        self.byte_of[self.letter_of] = np.arange(256)
         self.inside = self._pairs_inside(parts["model"]["vocab"], suffix)
         space = np.frombuffer(_SPACES, dtype=np.uint8)
         other = np.setdiff1d(np.arange(256), space)
@@ -69,8 +77,10 @@ class ForcedBoundaryEncoder:
             self.fragments = re.compile(f"{spaces}*{others}+|{spaces}+")
         else:
             self.fragments = re.compile(f"{others}+")  # spaces have no tokens at all
+        self.quick = self._quick_words(parts) if self.fragments and self.fragments.pattern == f"{others}+" else None
         self.known: dict[str, bytes] = {}
-        self.pieces: dict[tuple[str, bool], bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {}
 
     def _pairs_inside(self, vocab: dict[str, int], suffix: str) -> np.ndarray:
         """inside[a, b]: whether some token holds byte a directly before byte b."""
@@ -82,44 +92,82 @@ class ForcedBoundaryEncoder:
                 inside[codes[:-1], codes[1:]] = True
         return inside
 
-    def _encode_pieces(self, wanted: set[tuple[str, bool]]) -> None:
-        for ends_word, model in ((True, self.final), (False, self.inner)):
-            new = [p for p in wanted if p[1] == ends_word and p not in self.pieces]
-            found = model.encode_batch_fast([p for p, _ in new], add_special_tokens=False)
-            self.pieces.update((p, np.asarray(e.ids, dtype="<u4").tobytes()) for p, e in zip(new, found))
+    @staticmethod
+    def _quick_words(parts: dict) -> regex.Pattern | None:
+        """The word pattern, if the normaliser composes, joins spaces and lower-cases and no more."""
+        normal = [(n["type"], n.get("content")) for n in (parts["normalizer"] or {}).get("normalizers", [])]
+        split = (parts["pre_tokenizer"] or {}).get("pretokenizers", [])
+        known = [("NFC", None), ("Replace", " "), ("Lowercase", None)]
+        if normal != known or [s["type"] for s in split] != ["Split", "ByteLevel"]:
+            return None
+        words, letters = split
+        if (words["behavior"], words["invert"], letters["add_prefix_space"], letters["use_regex"]) != ("Removed", True, False, False):
+            return None
+        return regex.compile(words["pattern"]["Regex"])
+
+    def _encode_pieces(self, wanted: set[str]) -> None:
+        new = list(wanted.difference(self.pieces))
+        for model, own in ((self.final, [p for p in new if p[-1] != _GOES_ON]), (self.inner, [p for p in new if p[-1] == _GOES_ON])):
+            if own:
+                found = model.encode([p.rstrip(_GOES_ON) for p in own], is_pretokenized=True, add_special_tokens=False)
+                ids = np.array(found.ids, dtype="<u4").tobytes()
+                ends = 4 * np.searchsorted(np.array(found.word_ids), np.arange(len(own)), side="right")
+                at = 0
+                for piece, end in zip(own, ends.tolist()):
+                    self.pieces[piece] = ids[at:end]
+                    at = end
 
     def _learn(self, new: list[str]) -> None:
         """Encode fragments of text not met before: normalise, cut into words, cut at forced pairs."""
-        plain, normal, split = [], self.library.normalizer, self.library.pre_tokenizer
+        plain = []
+        odd = _BEYOND_LATIN if self.quick is not None else _NEVER
         for text in new:
-            if any(s in text for s in self.special):
+            if self.special.search(text) or odd.search(text):
                 ids = self.library.encode(text, add_special_tokens=False).ids
-                self.known[text] = np.asarray(ids, dtype="<u4").tobytes()
+                self.known[text] = np.array(ids, dtype="<u4").tobytes()
             else:
                 plain.append(text)
-        words_of = [
-            [w for w, _ in split.pre_tokenize_str(normal.normalize_str(t) if normal else t)] if split else [t] for t in plain
-        ]
-        words = list(chain.from_iterable(words_of))
-        if words:
+        if not plain:
+            return
+        if self.quick is not None:
+            # No fragment holds a space and no word goes over one, so all are cut into words at once. Up
+            # to U+024F nothing composes and letters and numbers are the same in every Unicode version.
+            lowered = " ".join(plain).lower()
+            lengths = np.fromiter(map(len, lowered.split(" ")), dtype=np.int64, count=len(plain))
+            found = [(m.start(), m.group()) for m in self.quick.finditer(lowered)]
+            first = np.searchsorted(np.fromiter((at for at, _ in found), np.int64, len(found)), np.cumsum(lengths + 1) - lengths - 1)
+            upto_word = [*first.tolist(), len(found)]
+            raw = "".join([w for _, w in found]).encode()
+            characters = np.cumsum(np.fromiter((len(w) for _, w in found), np.int64, len(found)))
+            codes = np.frombuffer(raw, dtype=np.uint8)
+            starts_of = np.r_[np.flatnonzero((codes & 0xC0) != 0x80), len(codes)]
+            ends = starts_of[characters]
+            together = self.letter_of[codes].tobytes().decode("utf-16-le")
+        else:
+            normal, split = self.library.normalizer, self.library.pre_tokenizer
+            texts = [normal.normalize_str(t) if normal else t for t in plain]
+            words_of = [[w for w, _ in split.pre_tokenize_str(t)] if split else [t] for t in texts]
+            words = list(chain.from_iterable(words_of))
+            upto_word = np.cumsum([0, *map(len, words_of)]).tolist()
             together = "".join(words)
             codes = self.byte_of[np.frombuffer(together.encode("utf-16-le"), dtype="<u2")]
-            ends = np.cumsum([len(w) for w in words])
+            ends = np.cumsum(np.array([len(w) for w in words], dtype=np.int64))
+        if len(codes):
             ends_word = np.zeros(len(codes), dtype=bool)
             ends_word[ends - 1] = True
             cut = ends_word.copy()
             cut[:-1] |= ~self.inside[codes[:-1], codes[1:]]
             stops = np.flatnonzero(cut) + 1
             starts = np.concatenate(([0], stops[:-1]))
-            final = ends_word[stops - 1].tolist()
-            pieces = [(together[a:b], f) for a, b, f in zip(starts.tolist(), stops.tolist(), final)]
+            pieces = [together[a:b] for a, b in zip(starts.tolist(), stops.tolist())]
+            for i in np.flatnonzero(~ends_word[stops - 1]).tolist():
+                pieces[i] += _GOES_ON
             self._encode_pieces(set(pieces))
             encoded = list(map(self.pieces.__getitem__, pieces))
             upto = [0, *np.searchsorted(stops, ends, side="right").tolist()]
-        at = 0
-        for text, own in zip(plain, words_of):
-            self.known[text] = b"".join(encoded[upto[at] : upto[at + len(own)]]) if own else b""
-            at += len(own)
+        for i, text in enumerate(plain):
+            a, b = upto_word[i], upto_word[i + 1]
+            self.known[text] = b"".join(encoded[upto[a] : upto[b]]) if a < b else b""
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Token ids of each text as little-endian unsigned 32-bit integers."""
@@ -128,11 +176,19 @@ class ForcedBoundaryEncoder:
         out = []
         for part in text_batches(texts, PART_BYTES):
             fragments = [self.fragments.findall(text) for text in part]
-            wanted = set().union(*fragments)
+            wanted = set().union(*fragments).difference(self.known)
             if len(self.known) + len(wanted) > MEMORY:
-                self.known.clear()
-                self.pieces.clear()
-            new = list(wanted.difference(self.known))
+                # What was met lately stays: older fragments go when the next ones become old.
+                self.older, self.known = self.known, {}
+                if len(self.pieces) > MEMORY:
+                    self.pieces.clear()
+                wanted = set().union(*fragments)
+            new = []
+            for fragment in wanted:
+                if (ids := self.older.get(fragment)) is None:
+                    new.append(fragment)
+                else:
+                    self.known[fragment] = ids
             if new:
                 self._learn(new)
             out += [b"".join(map(self.known.__getitem__, own)) for own in fragments]

@@ -20,8 +20,8 @@ CALL_BYTES = 256 << 10
 #: Characters of a text looked at together; a longer one is split at safe boundaries.
 PIECE_CHARS = 1 << 20
 
-#: Chunks whose length a worker remembers; beyond it the memory is emptied and filled anew.
-MEMORY = 500_000
+#: Chunks whose length a worker remembers, as many again before they are forgotten.
+MEMORY = 300_000
 
 # The characters with the Unicode property White_Space. A place between another character
 # and one of these is a safe boundary: a word takes spaces before it, never after it.
@@ -61,6 +61,7 @@ class Counter:
             self.chunks = _CHUNK.findall
             self.lengths = lambda texts: [len(e) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
         self.known: dict[str, int] = {}
+        self.older: dict[str, int] = {}
 
     def _learn(self, new: set[str]) -> None:
         call, size = [], 0
@@ -73,9 +74,12 @@ class Counter:
                 size += len(chunk)
 
     def _count(self, texts: list[list[str]]) -> Iterator[int]:
-        wanted = set().union(*texts)
+        wanted = set().union(*texts).difference(self.known)
         if len(self.known) + len(wanted) > MEMORY:
-            self.known.clear()
+            # What was met lately stays: older chunks go when the next ones become old.
+            self.older, self.known = self.known, {}
+            wanted = set().union(*texts)
+        self.known.update((c, n) for c in wanted if (n := self.older.get(c)) is not None)
         self._learn(wanted.difference(self.known))
         for chunks in texts:
             yield sum(map(self.known.__getitem__, chunks))
