@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import bpe, decontamination, quality, secrets, sharding, simhash, token_counts
+from shelfcast.llm import bpe, decontamination, langid, quality, secrets, sharding, simhash, token_counts
 from shelfcast.llm.text import n_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,3 +194,11 @@ def op8_decontamination(spark: SparkSession, tables: str) -> DataFrame:
     match = found.select("doc_id", F.inline("matches"))
     measures = [F.round(c, 6).alias(c) for c in ("score", "question_overlap", "answer_overlap")]
     return match.select("doc_id", F.col("item").alias("item_id"), *measures)
+
+
+@_register("op9_language_id")
+def op9_language_id(spark: SparkSession, tables: str) -> DataFrame:
+    docs = _table(spark, tables, "documents", "doc_id", "text", "lang")
+    network = langid.train(docs)
+    found = langid.identify(docs.select("doc_id", "text", langid.held_out(F.col("doc_id")).alias("held_out")), network, carry=["doc_id", "held_out"])
+    return found.select("doc_id", "held_out", "lang_pred", "score")
