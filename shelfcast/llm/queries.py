@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import bpe, decontamination, langid, quality, secrets, sharding, simhash, token_counts
+from shelfcast.llm import bpe, chat, decontamination, langid, quality, secrets, sharding, simhash, token_counts, warc
 from shelfcast.llm.text import n_bytes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,3 +202,42 @@ def op9_language_id(spark: SparkSession, tables: str) -> DataFrame:
     network = langid.train(docs)
     found = langid.identify(docs.select("doc_id", "text", langid.held_out(F.col("doc_id")).alias("held_out")), network, carry=["doc_id", "held_out"])
     return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+@_register("op10_chat_formatting")
+def op10_chat_formatting(spark: SparkSession, tables: str) -> DataFrame:
+    turns = _table(spark, tables, "conversations", "conv_id", "turn", "role", "text")
+    spoken = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"),
+        F.col("id").cast(turns.schema["turn"].dataType).alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(spoken).alias("text"),
+    )
+    return chat.read_back(chat.format_conversations(turns.unionByName(extra)))
+
+
+@_register(
+    "op6_warc",
+    """
+WITH bodies AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+hashed AS (
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first
+  FROM bodies)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST(1 + (CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS BIGINT) >> CAST(5 * (3 - i % 4) AS INTEGER)) % 32
+      AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> first THEN first END AS refers_to
+FROM hashed""",
+)
+def op6_warc(spark: SparkSession, tables: str) -> DataFrame:
+    read = warc.archived_pages(_table(spark, tables, "pages", "page_id", "url", "html"))
+    return read.select(
+        F.col("key").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        F.col("type").alias("record_type"),
+        F.col("refers_to_key").cast("long").alias("refers_to"),
+    )
