@@ -151,14 +151,18 @@ def train(df: DataFrame, text: str = "text", label: str = "lang", id_column: str
     known = df.select(content.alias("text"), F.col(f"`{label}`").cast("string").alias("label"), F.col(f"`{id_column}`").alias("id")).where(
         F.col("label").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id"))
     )
-    counts = known.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
-    share = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) * F.col("n") < F.lit(sample_docs * (1 << 20))
+    # As many rows as the network has outputs.
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return None
+    bounds = F.create_map(*[F.lit(x) for label, n in counts.items() for x in (label, min(1.0, sample_docs / n))])
+    share = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.element_at(bounds, F.col("label")) * (1 << 20)
     step = F.greatest(F.length("text") / SAMPLE_WINDOWS, F.lit(1))
     pieces = F.transform(
         F.sequence(F.lit(0), F.lit(SAMPLE_WINDOWS - 1)),
         lambda i: F.substring(F.col("text"), (F.floor(i * step) + 1).cast("int"), F.lit(WINDOW)),
     )
-    chosen = known.join(counts, "label").where(share).where(F.col("text").rlike(r"\p{L}"))
+    chosen = known.where(share).where(F.col("text").rlike(r"\p{L}"))
     sample = chosen.select("label", F.xxhash64("text").alias("h"), pieces.alias("pieces")).distinct().collect()
     by_language: dict[str, list] = {}
     for row in sorted(sample, key=lambda r: (r["label"], r["h"], r["pieces"])):
