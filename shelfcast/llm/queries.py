@@ -37,7 +37,7 @@ def _register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     "op1_sharding",
     f"""
 WITH rows AS (
-  SELECT doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
+  SELECT row_number() OVER () AS r, doc_id, CAST(strlen(coalesce(text, '')) AS BIGINT) AS n_bytes,
     lpad(bin(CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '\\N')), 1, 15) AS BIGINT)), 60, '0') AS bits
   FROM documents),
 nodes AS (
@@ -48,7 +48,7 @@ fitting AS (SELECT * FROM nodes WHERE shard_bytes <= {SHARD_LIMIT} OR shard_rows
 SELECT doc_id, n_bytes, shard, local_depth, shard_bytes, shard_rows
 FROM rows, range(0, 61) AS depths(d), fitting
 WHERE shard = substr(bits, 1, CAST(d AS INTEGER)) AND local_depth = d
-QUALIFY row_number() OVER (PARTITION BY doc_id, bits ORDER BY local_depth) = 1""",
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY local_depth) = 1""",
 )
 def op1_sharding(spark: SparkSession, tables: str) -> DataFrame:
     docs = _table(spark, tables, "documents", "doc_id", "text")
@@ -222,14 +222,15 @@ def op10_chat_formatting(spark: SparkSession, tables: str) -> DataFrame:
     """
 WITH bodies AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
 hashed AS (
-  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex, min(page_id) OVER (PARTITION BY payload) AS first
-  FROM bodies)
+  SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex, first_value(page_id) OVER w AS first,
+    row_number() OVER w AS place
+  FROM bodies WINDOW w AS (PARTITION BY payload ORDER BY page_id NULLS LAST))
 SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
   array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
     CAST(1 + (CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS INTEGER), 5) AS BIGINT) >> CAST(5 * (3 - i % 4) AS INTEGER)) % 32
       AS INTEGER), 1)), '') AS payload_digest,
-  CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
-  CASE WHEN page_id <> first THEN first END AS refers_to
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN place > 1 THEN first END AS refers_to
 FROM hashed""",
 )
 def op6_warc(spark: SparkSession, tables: str) -> DataFrame:
