@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 from collections.abc import Iterator
@@ -30,6 +31,7 @@ CRAWL_DATE = "20200101000000"
 _ADDRESS = "0.0.0.0"
 _KEY_HEADER = "X-Record-Key"
 _END = "\r\n\r\n"
+_GZIP = b"\x1f\x8b"
 
 _BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
@@ -98,12 +100,12 @@ def write_arc(pages: DataFrame, path: str, key: str, url: str, body: str, versio
             yield pa.RecordBatch.from_arrays([pa.array([b"".join(parts)], pa.binary())], names=["archive"])
 
     archives = slim.mapInArrow(run, StructType([StructField("archive", BinaryType())]))
-    _write_files(archives.select(F.col("archive").cast("string").alias("value")), path, "\n", "arc")
+    _write_files(archives.select(F.col("archive").cast("string").alias("value")), path, "\n", 1)
 
 
-def _write_files(values: DataFrame, path: str, separator: str, kind: str) -> None:
-    """One file per row through Spark's own writer, so it reaches whatever store Spark does."""
-    values.write.option("maxRecordsPerFile", 1).option("lineSep", separator).option("compression", "none").text(path)
+def _write_files(values: DataFrame, path: str, separator: str, rows_per_file: int) -> None:
+    """Compressed files through Spark's own writer, so they reach whatever store Spark does."""
+    values.write.option("maxRecordsPerFile", rows_per_file).option("lineSep", separator).option("compression", "gzip").text(path)
 
 
 def parse_arc(content: bytes) -> Iterator[tuple[str, str, str, bytes]]:
@@ -180,7 +182,9 @@ def _map_files(files: DataFrame, parse, schema: StructType) -> DataFrame:
         rows, size = [], 0
         for batch in batches:
             for i in range(batch.num_rows):
-                for row in parse(batch.column(0)[i].as_py(), batch.column(1)[i].as_py()):
+                content = batch.column(1)[i].as_py()
+                content = gzip.decompress(content) if content[:2] == _GZIP else content
+                for row in parse(batch.column(0)[i].as_py(), content):
                     rows.append(row)
                     size += sum(len(x) for x in row if isinstance(x, (bytes, str)))
                     if size >= BATCH_BYTES:
@@ -212,7 +216,8 @@ def warc_records(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Data
     Of records with equal payloads of at least ``min_bytes`` bytes, the one with the smallest key (as a
     number; keyless ones last, then by place) is the response and the others revisit it; smaller payloads
     are all responses. Equal payloads are those of equal digest and length: tasks reduce them to one row
-    each, and only digests that occur twice meet the records again.
+    each, and only digests that occur twice meet the records again: a stored table, so that Spark knows its
+    bytes and need not shuffle the payloads for a small one.
     """
     digest, n_bytes = base32_sha1(F.col("payload")), F.octet_length("payload").cast("long")
     identity = F.md5(F.concat_ws(" ", "archive", "place"))
@@ -223,7 +228,7 @@ def warc_records(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Data
     )
     number = F.expr("try_cast(key AS BIGINT)")
     order = F.struct(number.isNull().alias("unknown"), number.alias("number"), "key", "archive", "place", "id", "url")
-    repeated = (
+    repeated = cut_lineage(
         known.where(F.col("n_bytes") >= min_bytes)
         .groupBy("digest", "n_bytes")
         .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -245,8 +250,8 @@ def _field(name: str, value: Column) -> Column:
     return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))).otherwise("")
 
 
-def write_warc(records: DataFrame, path: str) -> None:
-    """One WARC 1.1 file per task, its records ended by two empty lines, from :func:`warc_records`.
+def write_warc(records: DataFrame, path: str, records_per_file: int) -> None:
+    """WARC 1.1 files, their records ended by two empty lines, from :func:`warc_records`.
 
     A revisit keeps the HTTP header and leaves out the payload; its digest and length stay in its fields.
     """
@@ -272,7 +277,7 @@ def write_warc(records: DataFrame, path: str) -> None:
         F.lit("\r\n"),
     )
     value = F.concat(head.cast("binary"), block).cast("string")
-    records.select(value.alias("value")).write.option("lineSep", _END).option("compression", "none").text(path)
+    _write_files(records.select(value.alias("value")), path, _END, records_per_file)
 
 
 READ = StructType(
@@ -329,10 +334,13 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     return _map_files(_read_files(spark, path), parse, READ)
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, n_files: int) -> None:
-    """The ARC archives below ``arc_path`` as ``n_files`` WARC files below ``warc_path``, revisits found."""
-    records = warc_records(cut_lineage(read_arc(spark, arc_path)))
-    write_warc(records.repartition(n_files), warc_path)
+def convert(spark: SparkSession, arc_path: str, warc_path: str, records_per_file: int) -> None:
+    """The ARC archives below ``arc_path`` as WARC files below ``warc_path``, revisits found.
+
+    The archives are read twice, for the digests and for the records, and payloads are written by the tasks
+    that read them.
+    """
+    write_warc(warc_records(read_arc(spark, arc_path)), warc_path, records_per_file)
 
 
 def archived_pages(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", version: str = "2") -> DataFrame:
@@ -343,8 +351,8 @@ def archived_pages(pages: DataFrame, key: str = "page_id", url: str = "url", bod
     whole file into a task. An empty table gives no records.
     """
     spark = pages.sparkSession
-    total = pages.agg(F.sum(F.octet_length(whole(F.col(f"`{body}`"))) + 1024)).first()[0] or 0
+    sizes = pages.agg(F.sum(F.octet_length(whole(F.col(f"`{body}`"))) + 1024).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
     arc, out = new_path(spark, "arc"), new_path(spark, "warc")
     write_arc(pages, arc, key, url, body, version)
-    convert(spark, arc, out, max(1, -(-total // ARCHIVE_BYTES)))
+    convert(spark, arc, out, max(1, ARCHIVE_BYTES * sizes["n"] // max(1, sizes["bytes"] or 1)))
     return read_warc(spark, out)
