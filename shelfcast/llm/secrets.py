@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -54,13 +56,16 @@ def _scanned(df: DataFrame, text: str, owner: str, repository: str, carry: Seque
     return cut_lineage(found.select(*plain, *[_gaps_and_matches(F.col("__text"), p).alias(k) for k, p in PATTERNS.items()]))
 
 
+def _any_match() -> Column:
+    return reduce(or_, [F.col(kind).isNotNull() for kind in PATTERNS])
+
+
 def _candidates(scanned: DataFrame) -> DataFrame:
     """(row, owner, repository, rank, kind, start, end, value) of every match that passes its length."""
     matches = F.array(
         *[F.struct(F.lit(i).alias("rank"), F.lit(k).alias("kind"), F.col(k).alias("found")) for i, k in enumerate(PATTERNS)]
     )
-    any_match = F.coalesce(*[F.size(F.nullif(F.col(k), F.array().cast(scanned.schema[k].dataType))) for k in PATTERNS])
-    by_kind = scanned.where(any_match.isNotNull()).select("__row", "__owner", "__repository", F.inline(matches))
+    by_kind = scanned.where(_any_match()).select("__row", "__owner", "__repository", F.inline(matches))
     each = by_kind.where(F.col("found").isNotNull()).select(
         "__row", "__owner", "__repository", "rank", "kind", F.posexplode("found").alias("place", "part")
     )
@@ -114,7 +119,9 @@ def find_secrets(
     spans = wanted.groupBy("__row").agg(F.array_sort(F.collect_list(span)).alias("found"))
     empty = F.array().cast(spans.schema["found"].dataType)
     kept = [F.col(f"__carry_{i}").alias(c) for i, c in enumerate(carry)]
-    return scanned.join(spans, "__row", "left").select(*kept, F.coalesce("found", empty).alias("found"))
+    matched = scanned.where(_any_match()).join(spans, "__row", "left").select(*kept, F.coalesce("found", empty).alias("found"))
+    # Documents without a match need no join, so what they carry is not shuffled.
+    return matched.unionByName(scanned.where(~_any_match()).select(*kept, empty.alias("found")))
 
 
 def joined(spans: Column) -> Column:
