@@ -10,21 +10,20 @@ from shelfcast.operators.asof import last_k_days, lags_asof, means_asof, sample_
 from shelfcast.operators.daily import daily_category, daily_sku
 from shelfcast.operators.joins import with_actuals
 from shelfcast.operators.profile import undefined_dates as null_dates
-from shelfcast.operators.rows import split_train_test
+from shelfcast.operators.rows import with_test_flag
 from shelfcast.operators.scaling import scalable_columns, standardise
 from shelfcast.plans.features import build_features, with_lags, with_moving_averages
 from shelfcast.plans.forecast import serving_features as features_for_samples
 from shelfcast.schema import CATEGORY, DATE, N_ROWS, PRICE, QUANTITY, SKU, lag_names, sma_names
+from shelfcast.session import cut_lineage
 
 _LAG_PRICES = tuple(lag_names(columns=(PRICE,)))
 _AVERAGES = tuple(sma_names())
 
 
 def features_table(spark: SparkSession, tables: str, *, row_id: bool = True, **options: object) -> DataFrame:
-    """The feature table without clusters; the SKU's daily table is built without the category join."""
-    rows = sales(spark, tables, row_id=row_id)
-    days = daily_sku(sales(spark, tables, category=False))
-    return build_features(rows, calendar(spark), clusters=None, daily_sku=days, **options).table
+    """The feature table without clusters."""
+    return build_features(sales(spark, tables, row_id=row_id), calendar(spark), clusters=None, **options).table
 
 
 def lag_table(spark: SparkSession, tables: str) -> DataFrame:
@@ -61,12 +60,12 @@ def feature_table(spark: SparkSession, tables: str) -> DataFrame:
 
 def training_table(spark: SparkSession, tables: str) -> DataFrame:
     """Inputs and target of every row, nulls kept, as handed to a trainer."""
-    table = features_table(spark, tables, drop_nulls=False, window=None)
-    return rounded(table.drop(DATE), *_LAG_PRICES)
+    table = features_table(spark, tables, drop_nulls=False)
+    return rounded(table.drop(DATE), *_LAG_PRICES, *_AVERAGES)
 
 
 def normalised_features(spark: SparkSession, tables: str) -> DataFrame:
-    table = features_table(spark, tables).persist()
+    table = cut_lineage(features_table(spark, tables))
     scaled, _ = standardise(table)
     return rounded(scaled, *scalable_columns(table), digits=5)
 
@@ -83,7 +82,8 @@ def predictions_with_actuals(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def _split(spark: SparkSession, tables: str) -> tuple[DataFrame, DataFrame]:
-    return split_train_test(sales(spark, tables, row_id=True).persist())
+    flagged = cut_lineage(with_test_flag(sales(spark, tables, row_id=True)))
+    return flagged.where("NOT is_test").drop("is_test"), flagged.where("is_test").drop("is_test")
 
 
 def asof_last_days(spark: SparkSession, tables: str) -> DataFrame:
@@ -191,7 +191,7 @@ ORACLES: dict[str, str] = {
     ),
     "feature_table": sql(f"SELECT {_SALE}, {_PARTS}, {_LAGS}, {_SMA} FROM features WHERE {PRESENT}", "features"),
     "training_table": sql(
-        f"SELECT * EXCLUDE (date) FROM (SELECT {_ROW}, {_PARTS}, {_LAGS} FROM features)", "features"
+        f"SELECT * EXCLUDE (date) FROM (SELECT {_ROW}, {_PARTS}, {_LAGS}, {_SMA} FROM features)", "features"
     ),
     "normalised_features": sql(
         f"SELECT date, row_id, {', '.join(_scaled(c) for c in _SCALED)} FROM features WHERE {PRESENT}", "features"

@@ -14,7 +14,7 @@ from shelfcast.operators.rows import split_train_test
 from shelfcast.plans import clusters, forecast, models, tuning
 from shelfcast.plans.features import feature_columns
 from shelfcast.schema import HORIZON_DAYS, QUANTITY
-from shelfcast.session import new_path
+from shelfcast.session import cut_lineage, new_path
 from shelfcast.sources.sales import write_csv
 
 # Small models, so that the whole tables can be used everywhere.
@@ -23,11 +23,11 @@ _BOOSTED = {"maxIter": 5, "maxDepth": 4}
 
 
 def _table(spark: SparkSession, tables: str) -> DataFrame:
-    return features_table(spark, tables).persist()
+    return cut_lineage(features_table(spark, tables))
 
 
 def clustered(spark: SparkSession, tables: str) -> DataFrame:
-    table = features_table(spark, tables, drop_nulls=False).persist()
+    table = cut_lineage(features_table(spark, tables, drop_nulls=False))
     return clusters.assign_clusters(clusters.fit_clusters(table), table)
 
 
@@ -95,7 +95,7 @@ def stored_model(spark: SparkSession, tables: str) -> DataFrame:
 
 def _past_and_model(spark: SparkSession, tables: str):
     rows = sales(spark, tables, row_id=True)
-    past = features_table(spark, tables).where(F.col("date") < F.lit(FORECAST_START)).persist()
+    past = cut_lineage(features_table(spark, tables).where(F.col("date") < F.lit(FORECAST_START)))
     grouping = clusters.fit_clusters(past)
     with_clusters = clusters.assign_clusters(grouping, past)
     model = models.train(with_clusters, models.boosted_trees(**_BOOSTED), feature_columns(with_clusters))

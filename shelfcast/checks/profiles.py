@@ -292,7 +292,8 @@ ORACLES: dict[str, str] = {
     "metrics": sql(
         f"""SELECT round(-sqrt(avg((y - p) * (y - p))), 6) AS test_neg_root_mean_squared_error,
         round(-avg(abs(y - p)), 6) AS test_neg_mean_absolute_error,
-        round(1 - var_pop(y - p) / var_pop(y), 6) AS test_explained_variance FROM predicted""",
+        round(1 - var_pop(y - p) / var_pop(y), 6) AS test_explained_variance, count(*) AS n_rows,
+        CAST(0 AS BIGINT) AS n_skipped FROM predicted""",
         "with_lags",
         extra=f"""predicted AS (SELECT CAST(sales_quantity AS DOUBLE) AS y,
             (lag_1_sales_quantity + lag_2_sales_quantity + lag_3_sales_quantity) / 3 AS p FROM with_lags

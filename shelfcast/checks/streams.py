@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shelfcast.checks.common import Query, rounded, sql
 from shelfcast.schema import CATEGORY, DATE, PRICE, QUANTITY, SKU, lag_names, sma_names
 from shelfcast.session import new_path
-from shelfcast.streaming.daily import append_to_table, daily_schema, daily_stream
+from shelfcast.streaming.daily import append_to_table, current_rows, daily_schema, daily_stream, upsert_to_table
 from shelfcast.streaming.history import lag_stream, mean_stream
 
 _LAG_PRICES = tuple(lag_names(columns=(PRICE,)))
@@ -35,27 +35,34 @@ def _run(stream: DataFrame, name: str) -> str:
     return path
 
 
-def _daily(spark: SparkSession, tables: str, key: str) -> str:
-    return _run(daily_stream(sales_stream(spark, tables), key), f"live-daily-{key}")
+def _daily(spark: SparkSession, tables: str, key: str) -> DataFrame:
+    path = new_path(spark, f"live-daily-{key}")
+    upsert_to_table(daily_stream(sales_stream(spark, tables), key), path, new_path(spark, "live-progress")).awaitTermination()
+    return current_rows(spark, path, key)
+
+
+def _closed_days(spark: SparkSession, tables: str, key: str) -> DataFrame:
+    """The live table, all days of it being closed now, as a stream of daily rows."""
+    path = new_path(spark, f"closed-daily-{key}")
+    _daily(spark, tables, key).write.parquet(path)
+    return spark.readStream.schema(daily_schema(key)).parquet(path)
 
 
 def stream_daily_sku(spark: SparkSession, tables: str) -> DataFrame:
-    return rounded(spark.read.schema(daily_schema(SKU)).parquet(_daily(spark, tables, SKU)), PRICE)
+    return rounded(_daily(spark, tables, SKU), PRICE)
 
 
 def stream_daily_category(spark: SparkSession, tables: str) -> DataFrame:
-    return rounded(spark.read.schema(daily_schema(CATEGORY)).parquet(_daily(spark, tables, CATEGORY)), PRICE)
+    return rounded(_daily(spark, tables, CATEGORY), PRICE)
 
 
 def stream_lags(spark: SparkSession, tables: str) -> DataFrame:
-    days = spark.readStream.schema(daily_schema(SKU)).parquet(_daily(spark, tables, SKU))
-    lags = lag_stream(days)
+    lags = lag_stream(_closed_days(spark, tables, SKU))
     return rounded(spark.read.schema(lags.schema).parquet(_run(lags, "live-lags")), *_LAG_PRICES)
 
 
 def stream_means(spark: SparkSession, tables: str) -> DataFrame:
-    days = spark.readStream.schema(daily_schema(CATEGORY)).parquet(_daily(spark, tables, CATEGORY))
-    means = mean_stream(days)
+    means = mean_stream(_closed_days(spark, tables, CATEGORY))
     return rounded(spark.read.schema(means.schema).parquet(_run(means, "live-means")), *sma_names())
 
 
@@ -66,18 +73,16 @@ QUERIES: dict[str, Query] = {
     "stream_means": stream_means,
 }
 
-# A day is closed once the watermark, one day behind the newest sale, has reached its end.
-_CLOSED = "date <= (SELECT max(date) FROM sales) - 2"
 _DAILY = f"""date, round(sales_price, 6) AS sales_price, CAST(sales_quantity AS DOUBLE) AS sales_quantity, n_rows"""
 
 ORACLES: dict[str, str] = {
-    "stream_daily_sku": sql(f"SELECT sku_id, {_DAILY} FROM daily_sku WHERE {_CLOSED}", "daily_sku"),
-    "stream_daily_category": sql(f"SELECT category_id, {_DAILY} FROM daily_category WHERE {_CLOSED}", "daily_category"),
+    "stream_daily_sku": sql(f"SELECT sku_id, {_DAILY} FROM daily_sku", "daily_sku"),
+    "stream_daily_category": sql(f"SELECT category_id, {_DAILY} FROM daily_category", "daily_category"),
     "stream_lags": sql(
         f"""SELECT sku_id, date, false AS late,
         {', '.join(f'round(lag_{i}_sales_price, 6) AS lag_{i}_sales_price' for i in (1, 2, 3))},
         {', '.join(f'CAST(lag_{i}_sales_quantity AS DOUBLE) AS lag_{i}_sales_quantity' for i in (1, 2, 3))}
-        FROM lags WHERE {_CLOSED}""",
+        FROM lags""",
         "lags",
     ),
     "stream_means": sql(
@@ -85,7 +90,7 @@ ORACLES: dict[str, str] = {
         round(avg(sales_price) OVER w, 6) AS sma_5_sales_price,
         round(avg(CAST(sales_quantity AS DOUBLE)) OVER w, 6) AS sma_5_sales_quantity FROM daily_category
         WINDOW w AS (PARTITION BY category_id ORDER BY date ROWS BETWEEN 5 PRECEDING AND 1 PRECEDING))
-        WHERE {_CLOSED}""",
+       """,
         "daily_category",
     ),
 }

@@ -15,8 +15,9 @@ def mae(label: Column, prediction: Column) -> Column:
 
 
 def explained_variance(label: Column, prediction: Column) -> Column:
-    """1 - Var(error)/Var(label). A constant label scores 1 when the error is constant too, else 0."""
+    """1 - Var(error)/Var(label) over the rows that have both. A constant label scores 1 when the error is
+    constant too, else 0."""
     var_error = F.var_pop(label - prediction)
-    var_label = F.var_pop(label)
+    var_label = F.var_pop(F.when(prediction.isNotNull(), label))
     flat = F.when(var_error == 0, F.lit(1.0)).otherwise(F.lit(0.0))
     return F.when(var_label == 0, flat).otherwise(F.lit(1.0) - F.try_divide(var_error, var_label))

@@ -5,13 +5,13 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from itertools import product
-from statistics import median_low
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.values import as_number
+from shelfcast.session import cut_lineage
 
 _MATRIX = "a string, b string, corr double"
 
@@ -21,16 +21,15 @@ def correlation_matrix(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
 
     Each row is turned into one (column, value, all values) entry per column inside its task, which
     leaves a grouping with as many groups as columns and one running sum per pair; a single aggregate
-    of all pairs would be too large a method for the JVM to compile. The sums are taken around a value
-    of each column, the median of a few rows, which keeps their differences accurate; any value gives
-    the same coefficients. Null for a constant column and for one holding nulls, where the coefficient
+    of all pairs would be too large a method for the JVM to compile. The bare numbers are written once;
+    the sums are taken around the mean of each column, which keeps their differences accurate. Null for a constant column and for one holding nulls, where the coefficient
     is undefined.
     """
     types = {f.name: f.dataType for f in df.schema.fields if f.name not in exclude}
     names = list(types)
-    numbers = df.select(*[as_number(c, t).alias(c) for c, t in types.items()])
-    few = numbers.take(1000)
-    near = {c: median_low([r[c] for r in few if r[c] is not None] or [0.0]) for c in names}
+    numbers = cut_lineage(df.select(*[as_number(c, t).cast("double").alias(c) for c, t in types.items()]))
+    means = numbers.agg(*[F.avg(c).alias(c) for c in names]).first()
+    near = {c: means[c] if means[c] is not None and math.isfinite(means[c]) else 0.0 for c in names}
     moved = F.array(*[F.col(c) - F.lit(near[c]) for c in names])
     sums = (
         numbers.select(F.posexplode(moved).alias("i", "x"), moved.alias("v"))

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.schema import CATEGORY, DATE, N_ROWS, PRICE, QUANTITY, SKU
+from shelfcast.session import cut_lineage
 
 
 def daily(sales: DataFrame, key: str) -> DataFrame:
@@ -31,6 +32,27 @@ def daily_category(sales: DataFrame) -> DataFrame:
     return daily(sales, CATEGORY)
 
 
+def daily_base(sales: DataFrame) -> DataFrame:
+    """Sums and counts per SKU, category and day, stored: what both daily tables are rolled up from."""
+    return cut_lineage(
+        sales.groupBy(SKU, CATEGORY, DATE).agg(
+            F.sum(PRICE).alias("price_sum"),
+            F.count(PRICE).alias("n_prices"),
+            F.sum(QUANTITY).alias(QUANTITY),
+            F.count(F.lit(1)).alias(N_ROWS),
+        )
+    )
+
+
+def roll_up(base: DataFrame, key: str) -> DataFrame:
+    """The table that :func:`daily` gives, from the sums of :func:`daily_base`."""
+    return base.groupBy(key, DATE).agg(
+        F.try_divide(F.sum("price_sum"), F.sum("n_prices")).alias(PRICE),
+        F.coalesce(F.sum(QUANTITY), F.lit(0)).alias(QUANTITY),
+        F.sum(N_ROWS).alias(N_ROWS),
+    )
+
+
 def sale_span(sales: DataFrame, key: str = SKU) -> DataFrame:
     """First and last sale day per key."""
     return sales.groupBy(key).agg(F.min(DATE).alias("min_date"), F.max(DATE).alias("max_date"))

@@ -7,33 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.schema import N_ROWS, QUANTITY
+from shelfcast.session import cut_lineage
 
-# A key with more rows than this is split; at most MAX_HOT_KEYS keys are, so the list of split keys
-# that gets broadcast has a fixed size, and a key beyond it holds less than 1/MAX_HOT_KEYS of the rows.
+# A key with more rows than this is split into parts of about this size.
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 10_000
 
-# A lookup table up to this many rows is broadcast (a few dozen MB for the tables built here).
-MAX_BROADCAST_ROWS = 500_000
 
+def hot_keys(weights: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The keys of ``weights`` (keys + n_rows) over ``hot_rows`` and the number of parts each is split into.
 
-def fits_broadcast(table: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``table``, persisted or stored, has at most ``max_rows`` rows."""
-    return table.count() <= max_rows
-
-
-def hot_keys(
-    weights: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS, max_hot: int = MAX_HOT_KEYS
-) -> DataFrame:
-    """The heaviest keys of ``weights`` (keys + n_rows) and the number of parts each is split into."""
+    There are at most rows / ``hot_rows`` of them. The list is stored, so Spark knows its bytes and decides
+    by them whether to broadcast it.
+    """
     parts = F.ceil(F.col(N_ROWS) / F.lit(hot_rows)).cast("int").alias("__parts")
-    return (
-        weights.where(F.col(N_ROWS) > hot_rows)
-        .select(*keys, N_ROWS, parts)
-        .orderBy(F.col(N_ROWS).desc(), *keys)
-        .limit(max_hot)
-        .select(*keys, "__parts")
-    )
+    return cut_lineage(weights.where(F.col(N_ROWS) > hot_rows).select(*keys, parts))
 
 
 def attach(
@@ -42,58 +29,43 @@ def attach(
     keys: Sequence[str],
     *,
     weights: DataFrame | None = None,
+    hot: DataFrame | None = None,
     how: str = "inner",
     hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """Join ``table``, unique on ``keys``, to ``fact``; rows with a null key do not match.
 
-    ``weights`` (keys + n_rows of ``fact``) decides how. It is persisted, because the lookup table is
-    usually built from it too, and summed up in one row. When all rows together are no more than
-    ``hot_rows``, each task may hash its share of the table; beyond that the join sorts, which spills,
-    and keys with more than ``hot_rows`` rows are split. Without ``weights`` the split is left to
-    AQE's skew join.
+    ``weights`` (keys + n_rows of ``fact``), or the list ``hot`` made from it by :func:`hot_keys`, tells
+    which keys are hot. A hot key is spread over several parts: fact rows choose one, the single table row
+    is repeated into each. The part comes from the task number and the row's content, so exact copies in
+    different tasks spread too, and a task that is run again sends every row to the same part. The plan is
+    the same at every size; whether a side is broadcast is left to Spark and the bytes it has seen.
 
-    A hot key is spread over several parts: fact rows choose one, the single table row is repeated
-    into each. The part comes from the task number and the row's content, so exact copies in different
-    tasks spread too, and a task that is run again sends every row to the same part.
+    The parts also keep the joined rows from counting as dealt out by ``keys`` alone, so a grouping that
+    follows exchanges partial sums instead of gathering a hot key's rows where they were joined.
     """
+    if how not in ("inner", "left"):
+        raise ValueError("repeated table rows are only right for inner and left joins")
     keys = list(keys)
     table = table.drop(N_ROWS)
-    if weights is None:
+    if weights is None and hot is None:
         return fact.join(table, keys, how)
-    weights = weights.persist()
-    total, largest = weights.agg(F.sum(N_ROWS), F.max(N_ROWS)).first()
-    if (total or 0) <= hot_rows:
-        return fact.join(table.hint("shuffle_hash"), keys, how)
-    if largest <= hot_rows:
-        return fact.join(table.hint("shuffle_merge"), keys, how)
-    hot = hot_keys(weights, keys, hot_rows=hot_rows, max_hot=max_hot)
-    hot = F.broadcast(hot)
+    hot = hot_keys(weights, keys, hot_rows=hot_rows) if hot is None else hot
     spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns])
     part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("__parts")).cast("int"))
     left = fact.join(hot, keys, "left").withColumn("__part", part).drop("__parts")
     copies = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - F.lit(1))
     right = table.join(hot, keys, "left").withColumn("__part", F.explode(copies)).drop("__parts")
-    return left.join(right.hint("shuffle_merge"), [*keys, "__part"], how).drop("__part")
+    return left.join(right, [*keys, "__part"], how).drop("__part")
 
 
-def attach_small(
-    fact: DataFrame,
-    table: DataFrame,
-    keys: Sequence[str],
-    *,
-    weights: DataFrame | None = None,
-    how: str = "inner",
-    max_rows: int = MAX_BROADCAST_ROWS,
+def attach_stored(
+    fact: DataFrame, table: DataFrame, keys: Sequence[str], *, weights: DataFrame | None = None, how: str = "inner"
 ) -> DataFrame:
-    """:func:`attach` that first counts ``table`` and broadcasts it when it fits, so ``fact`` is not shuffled.
-
-    Give a persisted or stored ``table``: it is read for the count and again for the join.
-    """
-    if fits_broadcast(table, max_rows):
-        return fact.join(F.broadcast(table.drop(N_ROWS)), list(keys), how)
-    return attach(fact, table, keys, weights=weights, how=how)
+    """:func:`attach` of a table that is written once first, so Spark knows its bytes before it plans the
+    join and does not shuffle ``fact`` for a small one. ``weights`` may be columns of ``table`` itself."""
+    stored = cut_lineage(table)
+    return attach(fact, stored, keys, weights=stored if weights is table else weights, how=how)
 
 
 def with_actuals(predicted: DataFrame, actual: DataFrame, keys: Sequence[str], target: str = QUANTITY) -> DataFrame:

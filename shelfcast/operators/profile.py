@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from shelfcast.functions.values import as_number
 from shelfcast.operators.quantiles import exact_quantiles
 from shelfcast.schema import CLUSTER, DATE, PRICE, QUANTITY
+from shelfcast.session import cut_lineage
 
 
 def null_counts(df: DataFrame, suffix: str = "_null_count") -> DataFrame:
@@ -20,8 +21,9 @@ def null_counts(df: DataFrame, suffix: str = "_null_count") -> DataFrame:
 def distinct_counts(df: DataFrame, *, approximate: bool = False) -> DataFrame:
     """(column, n_unique) with null counted as a value.
 
-    Exact counts use one column-pruned grouping per column, which dedupes inside each task before the
-    exchange. A single aggregate over all columns would instead send every row once per column.
+    One scan: every task turns its rows into distinct (column, value) entries before the exchange, so a
+    value that many rows share leaves a task once. Values are compared as text, which tells all values of
+    the simple types apart.
     """
     if approximate:
         counts = df.agg(
@@ -30,17 +32,15 @@ def distinct_counts(df: DataFrame, *, approximate: bool = False) -> DataFrame:
         return counts.select(
             F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("n_unique")) for c in df.columns]))
         )
-    parts = [
-        df.select(c).distinct().agg(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_unique"))
-        for c in df.columns
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in df.columns])
+    distinct = df.select(F.inline(entries)).distinct()
+    return distinct.groupBy("column").agg(F.count(F.lit(1)).alias("n_unique"))
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
-    """(column, count, proportion). The total is a scalar subquery, not a window over everything."""
-    total = df.agg(F.count(F.lit(1)).alias("total")).scalar()
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    """(column, count, proportion). The counts are stored; the total is a sum over them, not a second scan."""
+    counts = cut_lineage(df.groupBy(column).agg(F.count(F.lit(1)).alias("count")))
+    total = counts.agg(F.sum("count").alias("total")).scalar()
     return counts.withColumn("proportion", F.col("count") / total)
 
 
@@ -56,10 +56,10 @@ def summary(df: DataFrame, *, approximate: bool = False) -> DataFrame:
     """count, null_count, mean, std, min, quartiles and max of every column, dates as day numbers.
 
     Quartiles are values of the column (nearest rank). ``approximate`` takes them from one sketch
-    pass; the exact form needs a few scans of the numeric columns.
+    pass; the exact form needs a few scans of the numeric columns, which are stored once.
     """
     types = {f.name: f.dataType for f in df.schema.fields}
-    numbers = df.select(*[as_number(c, t).alias(c) for c, t in types.items()])
+    numbers = cut_lineage(df.select(*[as_number(c, t).alias(c) for c, t in types.items()]))
     probabilities = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     exact = {} if approximate else exact_quantiles(numbers, numbers.columns, list(probabilities.values()))
 

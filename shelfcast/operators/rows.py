@@ -69,6 +69,5 @@ def split_train_test(
 
 
 def with_fold(df: DataFrame, folds: int = 3, row_key: Sequence[str] = (ROW_ID,), *, name: str = "fold") -> DataFrame:
-    """Fold number 0..folds-1 from a hash of the row key."""
-    bucket = F.pmod(F.xxhash64(*row_key, F.lit("fold")), F.lit(folds))
-    return df.withColumn(name, bucket.cast("int"))
+    """Fold number 0..folds-1 from a hash of the row key, salted so that it is free of the test flag."""
+    return df.withColumn(name, (bucket_of_100(row_key, "fold") % folds).cast("int"))

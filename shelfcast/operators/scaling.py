@@ -41,12 +41,14 @@ def apply_scaling(df: DataFrame, parameters: DataFrame) -> DataFrame:
     return df.select(*[scaled(c).alias(c) if c in known else F.col(c) for c in df.columns])
 
 
-def standardise(df: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The scaled table and the parameters, fitted on the same rows.
+def standardise(
+    df: DataFrame, columns: Sequence[str] | None = None, *, fit_on: DataFrame | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The scaled table and the parameters, fitted on the same rows or on those of ``fit_on``.
 
     Fitting is one aggregate whose few numbers are kept, so the parameters are fixed from then on.
     """
     columns = list(columns or scalable_columns(df))
-    fitted = scaling_parameters(df, columns).collect()
+    fitted = scaling_parameters(df if fit_on is None else fit_on, columns).collect()
     parameters = df.sparkSession.createDataFrame(fitted, "column string, mean double, std double")
     return apply_scaling(df, parameters), parameters

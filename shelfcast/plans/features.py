@@ -5,12 +5,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 
 from shelfcast.operators.calendar import with_calendar, with_holiday_flag
-from shelfcast.operators.daily import daily
+from shelfcast.operators.daily import daily, daily_base, roll_up
 from shelfcast.operators.history import lag_table, moving_average_table
-from shelfcast.operators.joins import attach, attach_small
+from shelfcast.operators.joins import attach, attach_stored
 from shelfcast.operators.rows import drop_nulls as without_nulls
 from shelfcast.operators.scaling import standardise
 from shelfcast.plans.clusters import assign_clusters, clustering_features, fit_clusters
@@ -23,6 +23,7 @@ from shelfcast.schema import (
     SKU,
     WINDOW_SIZE,
 )
+from shelfcast.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -62,10 +63,10 @@ def with_moving_averages(
     include_current: bool = True,
     daily_category: DataFrame | None = None,
 ) -> DataFrame:
-    """Sales rows with the category's trailing averages; broadcast after a row count, else a split join."""
+    """Sales rows with the category's trailing averages, a stored table that Spark broadcasts if small."""
     days = daily(sales, CATEGORY) if daily_category is None else daily_category
-    averages = moving_average_table(days, window=window, include_current=include_current).persist()
-    return attach_small(sales, averages, [CATEGORY, DATE], weights=averages)
+    averages = moving_average_table(days, window=window, include_current=include_current)
+    return attach_stored(sales, averages, [CATEGORY, DATE], weights=averages)
 
 
 def build_features(
@@ -81,20 +82,26 @@ def build_features(
     seed: int = 42,
     daily_sku: DataFrame | None = None,
     daily_category: DataFrame | None = None,
+    train_only: Column | None = None,
 ) -> FeatureBuild:
     """Calendar, holiday, lag, moving-average and cluster columns for every sales row.
 
-    None for ``lags``, ``window`` or ``clusters`` leaves that step out. The SKU join runs on the bare
-    sales columns, so the one exchange of the whole fact stays narrow; everything after it is computed
-    in place or broadcast.
+    None for ``lags``, ``window`` or ``clusters`` leaves that step out. Both daily tables come from one
+    aggregate to (sku, category, date), unless they are given, so the fact is read for it and for the rows
+    and no more. The SKU join runs on the bare sales columns, so the one exchange of the whole fact stays
+    narrow. The joined table is written once if models are to be fitted on it. ``train_only`` is a test on
+    rows: where given, clusters and scaling are fitted on the rows that pass it alone.
     """
     table = sales
+    if (lags and daily_sku is None) or (window and daily_category is None):
+        both = daily_base(sales)
+        daily_sku = roll_up(both, SKU) if daily_sku is None else daily_sku
+        daily_category = roll_up(both, CATEGORY) if daily_category is None else daily_category
     if lags:
         table = with_lags(table, lags=lags, daily_sku=daily_sku)
     if window:
-        days = daily(sales, CATEGORY) if daily_category is None else daily_category
         table = with_moving_averages(
-            table, window=window, include_current=include_current, daily_category=days
+            table, window=window, include_current=include_current, daily_category=daily_category
         )
     table = with_holiday_flag(with_calendar(table), holidays)
     added = [c for c in table.columns if c not in sales.columns]
@@ -102,15 +109,17 @@ def build_features(
     calendar = [c for c in added if c not in from_history]
     table = table.select(*sales.columns, *calendar, *from_history)
     model = None
+    if clusters or normalise:
+        table = cut_lineage(table)
     if clusters:
         names = clustering_features(table)
-        model = fit_clusters(table, names, k=clusters, seed=seed)
+        model = fit_clusters(table if train_only is None else table.where(train_only), names, k=clusters, seed=seed)
         table = assign_clusters(model, table)
     if drop_nulls:
         table = without_nulls(table)
     scaling = None
     if normalise:
-        table, scaling = standardise(table)
+        table, scaling = standardise(table, fit_on=None if train_only is None else table.where(train_only))
     return FeatureBuild(table, model, scaling)
 
 

@@ -12,7 +12,7 @@ from shelfcast.operators.asof import lags_asof, means_asof, sample_days
 from shelfcast.operators.calendar import with_calendar, with_holiday_flag
 from shelfcast.operators.daily import daily
 from shelfcast.operators.evaluation import regression_metrics
-from shelfcast.operators.joins import attach, attach_small, fits_broadcast, with_actuals
+from shelfcast.operators.joins import attach, attach_stored, hot_keys, with_actuals
 from shelfcast.plans.clusters import assign_clusters
 from shelfcast.plans.models import predict
 from shelfcast.schema import (
@@ -30,7 +30,7 @@ from shelfcast.schema import (
     lag_name,
     sma_name,
 )
-from shelfcast.session import cut_lineage, new_path
+from shelfcast.session import cut_lineage, drop_path, new_path
 from shelfcast.sources.sales import read_sales_csv, write_forecast
 
 
@@ -54,48 +54,54 @@ def serving_features(
     recent = lags_asof(sku_days, daily_sku, lags=lags, inclusive=inclusive)
     out = attach(samples, recent, [SKU, DATE], weights=sku_days, how="left")
     category_days = sample_days(samples, CATEGORY)
-    means = means_asof(category_days, daily_category, window=window, inclusive=inclusive).persist()
-    out = attach_small(out, means, [CATEGORY, DATE], weights=means, how="left")
+    means = means_asof(category_days, daily_category, window=window, inclusive=inclusive)
+    out = attach_stored(out, means, [CATEGORY, DATE], weights=means, how="left")
     return out if clusters is None else assign_clusters(clusters, out)
 
 
-def _state(pool: DataFrame, key: str, k: int) -> DataFrame:
-    """One row per key: its last ``k`` days, newest first.
+def latest_days(history: DataFrame, key: str, k: int, before: dt.date) -> DataFrame:
+    """(key, days): the last ``k`` history days of every key before a date, newest first, in one aggregate.
 
-    The pool holds at most ``k`` history days and one row per forecast day for any key, so the arrays
-    are short.
+    Windows rank the days of a key, of which there is one a calendar day at most.
     """
-    days = F.sort_array(F.collect_list(F.struct(DATE, PRICE, QUANTITY)), asc=False)
-    return pool.groupBy(key).agg(F.slice(days, 1, k).alias("days"))
+    newest = Window.partitionBy(key).orderBy(F.col(DATE).desc())
+    recent = (
+        history.where((F.col(DATE) < F.lit(before)) & F.col(key).isNotNull())
+        .withColumn("__age", F.row_number().over(newest))
+        .where(F.col("__age") <= k)
+    )
+    return recent.groupBy(key).agg(F.sort_array(F.collect_list(_day()), asc=False).alias("days"))
 
 
-def _day_features(
-    today: DataFrame, pool_sku: DataFrame, pool_category: DataFrame, lags: int, window: int, few_categories: bool
-) -> DataFrame:
-    """:func:`serving_features` for the rows of one day, every pool day being earlier.
+def _day():
+    return F.struct(DATE, F.col(PRICE).cast("double").alias(PRICE), F.col(QUANTITY).cast("double").alias(QUANTITY))
+
 
-    Category means are broadcast when ``few_categories`` says so; otherwise AQE splits hot categories.
+def _advance(state: DataFrame, known: list[DataFrame], key: str, k: int) -> DataFrame:
+    """The state with the days of ``known`` (key, date, price, quantity) in front, cut to ``k`` again.
+
+    A key has at most one row in each table, so the arrays stay at ``k`` and a few days.
     """
-    recent = _state(pool_sku, SKU, lags).select(
+    rows = state
+    for days in known:
+        rows = rows.unionByName(days.where(F.col(key).isNotNull()).select(key, F.array(_day()).alias("days")))
+    merged = F.sort_array(F.flatten(F.collect_list("days")), asc=False)
+    return rows.groupBy(key).agg(F.slice(merged, 1, k).alias("days"))
+
+
+def _day_features(
+    today: DataFrame, state_sku: DataFrame, state_category: DataFrame, hot: dict[str, DataFrame], lags: int, window: int
+) -> DataFrame:
+    """:func:`serving_features` for the rows of one day, from the stored states of SKUs and categories."""
+    recent = state_sku.select(
         SKU,
         *[F.get("days", F.lit(i - 1))[c].alias(lag_name(i, c)) for c in (PRICE, QUANTITY) for i in range(1, lags + 1)],
     )
-    means = _state(pool_category, CATEGORY, window).select(
+    means = state_category.select(
         CATEGORY, *[array_mean(f"days.{c}").alias(sma_name(window, c)) for c in (PRICE, QUANTITY)]
     )
-    means = F.broadcast(means) if few_categories else means
-    return today.join(recent, SKU, "left").join(means, CATEGORY, "left")
-
-
-def latest_days(history: DataFrame, key: str, k: int, before: dt.date) -> DataFrame:
-    """The last ``k`` history days of every key before a date: all that a later forecast can look at."""
-    newest = Window.partitionBy(key).orderBy(F.col(DATE).desc())
-    return (
-        history.where((F.col(DATE) < F.lit(before)) & F.col(key).isNotNull())
-        .withColumn("__age", F.row_number().over(newest))
-        .where(F.col("__age") <= k)
-        .select(key, DATE, PRICE, F.col(QUANTITY).cast("double").alias(QUANTITY))
-    )
+    out = attach(today, recent, [SKU], hot=hot[SKU], how="left")
+    return attach(out, means, [CATEGORY], hot=hot[CATEGORY], how="left")
 
 
 def horizon_dates(samples: DataFrame, horizon: int = HORIZON_DAYS) -> list[dt.date]:
@@ -125,41 +131,64 @@ def recursive_forecast(
 ) -> DataFrame:
     """Predict day by day, each day's predictions being history for the days after it.
 
-    All rows of a day are scored at once from the days before it, so the result does not depend on
-    any row order. History is cut once to the few latest days per key; every step then reads that
-    table and the predictions so far, which are written to the shared folder one day at a time.
+    All rows of a day are scored at once, so the result does not depend on any row order. Rows are stored
+    by date; from step to step only the last days of each key are carried: the old state, what was
+    observed on the day itself and what was predicted for the day before make the new one. A step thus
+    reads its own rows and the state, however long the horizon. History on a day is visible to the rows of
+    that day, as in :func:`serving_features`; of an observed and a predicted row of the same day the one
+    with the higher price counts as the later. Predictions and states are written to the shared folder,
+    and a state goes when the next one is there.
     """
     spark = samples.sparkSession
     dates = horizon_dates(samples, horizon)
     inputs = [c for c in samples.columns if c not in (QUANTITY, PREDICTION)]
-    rows = cut_lineage(with_holiday_flag(with_calendar(samples.select(*inputs)), holidays))
-    wanted = rows.withColumn(QUANTITY, F.lit(0.0)).select(*inputs, QUANTITY).schema
+    prepared = with_holiday_flag(with_calendar(samples.select(*inputs)), holidays)
+    wanted = prepared.withColumn(QUANTITY, F.lit(0.0)).select(*inputs, QUANTITY).schema
     if not dates:
         return spark.createDataFrame([], wanted)
-    base_sku = cut_lineage(latest_days(daily_sku, SKU, lags, dates[0]))
-    base_category = cut_lineage(latest_days(daily_category, CATEGORY, window, dates[0]))
-    # The pool never holds a category that is in neither of these tables.
-    categories = base_category.select(CATEGORY).unionByName(rows.select(CATEGORY)).distinct()
-    few_categories = fits_broadcast(categories)
+    by_day = new_path(spark, "samples")
+    prepared.withColumn("__day", F.date_format(DATE, "yyyy-MM-dd")).write.partitionBy("__day").parquet(by_day)
+    rows = spark.read.schema(prepared.schema).parquet(by_day)
+    present = {r[0] for r in rows.select(DATE).distinct().collect()}
+    sources = {SKU: (daily_sku, lags), CATEGORY: (daily_category, window)}
+    hot = {key: hot_keys(rows.groupBy(key).agg(F.count(F.lit(1)).alias(N_ROWS)), [key]) for key in sources}
+    states, observed, paths = {}, {}, {}
+    for key, (history, k) in sources.items():
+        paths[key] = new_path(spark, "state")
+        states[key] = cut_lineage(latest_days(history, key, k, dates[0]), paths[key])
+        later = history.where(F.col(DATE).between(F.lit(dates[0]), F.lit(dates[-1])))
+        observed[key] = cut_lineage(later.select(key, DATE, PRICE, QUANTITY))
+    seen = {key: {r[0] for r in table.select(DATE).distinct().collect()} for key, table in observed.items()}
     path = new_path(spark, "forecast")
     written: list[str] = []
+    before: DataFrame | None = None
     for day in dates:
-        pool_sku, pool_category = base_sku, base_category
-        if written:
-            so_far = spark.read.schema(wanted).parquet(*written)
-            pool_sku = _pool(base_sku, so_far, SKU)
-            pool_category = _pool(base_category, so_far, CATEGORY)
-        of_day = rows.where(F.col(DATE) == F.lit(day))
-        today = _day_features(of_day, pool_sku, pool_category, lags, window, few_categories)
-        today = today if clusters is None else assign_clusters(clusters, today)
-        scored = predict(model, today).select(*inputs, F.col(PREDICTION).alias(QUANTITY))
-        written.append(f"{path}/{day.isoformat()}")
-        scored.write.parquet(written[-1])
+        for key, (_, k) in sources.items():
+            known = [daily(before, key)] if before is not None else []
+            if day in seen[key]:
+                known.append(observed[key].where(F.col(DATE) == F.lit(day)))
+            if known:
+                following = new_path(spark, "state")
+                states[key] = cut_lineage(_advance(states[key], known, key, k), following)
+                drop_path(spark, paths[key])
+                paths[key] = following
+        before = None
+        if day in present:
+            of_day = spark.read.schema(prepared.schema).parquet(f"{by_day}/__day={day.isoformat()}")
+            today = _day_features(of_day, states[SKU], states[CATEGORY], hot, lags, window)
+            today = today if clusters is None else assign_clusters(clusters, today)
+            scored = predict(model, today).select(*inputs, F.col(PREDICTION).alias(QUANTITY))
+            written.append(f"{path}/{day.isoformat()}")
+            before = cut_lineage(scored, written[-1])
     return spark.read.schema(wanted).parquet(*written)
 
 
-def _pool(base: DataFrame, predicted: DataFrame, key: str) -> DataFrame:
-    return base.unionByName(daily(predicted, key).drop(N_ROWS))
+def holdout_forecast(
+    rows: DataFrame, daily_sku: DataFrame, daily_category: DataFrame, model: PipelineModel, holidays: DataFrame, **options: object
+) -> DataFrame:
+    """Random rows scored in one pass without recursion: serving features from the given history, then the model."""
+    served = serving_features(with_holiday_flag(with_calendar(rows), holidays), daily_sku, daily_category, **options)
+    return predict(model, served)
 
 
 def backtest(
@@ -205,10 +234,10 @@ def forecast_file(
     clusters: PipelineModel | None = None,
     horizon: int = HORIZON_DAYS,
 ) -> DataFrame:
-    """Read the future rows, forecast them and write the filled rows as CSV."""
+    """Read the future rows, forecast them, write the filled rows as CSV and return what was written."""
     future = read_sales_csv(spark, future_csv)
     forecast = recursive_forecast(
         future, daily_sku, daily_category, model, holidays, clusters=clusters, horizon=horizon
     )
     write_forecast(forecast, output)
-    return forecast
+    return read_sales_csv(spark, output)

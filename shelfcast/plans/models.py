@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -14,7 +14,7 @@ from shelfcast.operators.evaluation import regression_metrics
 from shelfcast.operators.rows import concat, with_fold
 from shelfcast.schema import PREDICTION, QUANTITY, ROW_ID
 
-_PREFIXES = ("__in_", "__filled_", "__missing_")
+_PREFIXES = ("__filled_", "__missing_")
 
 
 def random_forest(label: str = QUANTITY, *, seed: int = 42, **params: object) -> RandomForestRegressor:
@@ -28,27 +28,34 @@ def boosted_trees(label: str = QUANTITY, *, seed: int = 42, **params: object) ->
     return GBTRegressor(featuresCol="__features", labelCol=label, predictionCol=PREDICTION, seed=seed, **params)
 
 
-def regression_pipeline(regressor: Estimator, features: Sequence[str]) -> Pipeline:
-    """Fill missing inputs with the training mean, add a 0/1 column per input for "was missing", regress."""
+def regression_pipeline(regressor: Estimator, features: Sequence[str], means: dict[str, float]) -> Pipeline:
+    """Fill missing inputs (null or NaN) with ``means``, add a 0/1 column per input for "was missing", regress."""
+    number = {c: f"nanvl(CAST(`{c}` AS DOUBLE), NULL)" for c in features}
     inputs = ", ".join(
-        f"CAST(`{c}` AS DOUBLE) AS `__in_{c}`, CAST(`{c}` IS NULL AS DOUBLE) AS `__missing_{c}`" for c in features
+        f"coalesce({x}, {means[c]!r}D) AS `__filled_{c}`, CAST({x} IS NULL AS DOUBLE) AS `__missing_{c}`" for c, x in number.items()
     )
-    filled = [f"__filled_{c}" for c in features]
     return Pipeline(
         stages=[
             SQLTransformer(statement=f"SELECT *, {inputs} FROM __THIS__"),
-            Imputer(strategy="mean", inputCols=[f"__in_{c}" for c in features], outputCols=filled),
-            VectorAssembler(inputCols=[*filled, *[f"__missing_{c}" for c in features]], outputCol="__features"),
+            VectorAssembler(inputCols=[f"__{kind}_{c}" for kind in ("filled", "missing") for c in features], outputCol="__features"),
             regressor,
         ]
     )
 
 
+def input_means(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Mean of the present values of every input, 0 where there is none."""
+    present = {c: F.avg(F.nanvl(F.col(c).cast("double"), F.lit(None))).alias(c) for c in features}
+    found = df.agg(*present.values()).first()
+    return {c: found[c] if found[c] is not None else 0.0 for c in features}
+
+
 def train(df: DataFrame, regressor: Estimator, features: Sequence[str]) -> PipelineModel:
+    """A model of the rows with a label; count the others with ``null_counts`` if they matter."""
     label = regressor.getLabelCol()
     needed = dict.fromkeys([*features, label])
-    known = df.where(F.col(label).isNotNull()).select(*needed)
-    return regression_pipeline(regressor, features).fit(known.withColumn(label, F.col(label).cast("double")))
+    known = df.where(F.col(label).isNotNull()).select(*needed).withColumn(label, F.col(label).cast("double"))
+    return regression_pipeline(regressor, features, input_means(known, features)).fit(known)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -59,15 +66,17 @@ def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
 
 
 def save_model(model: PipelineModel, path: str) -> None:
+    """Write the model, then a mark that it is whole."""
     model.write().overwrite().save(path)
+    SparkSession.active().range(1).write.parquet(f"{path}/complete")
 
 
 def model_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a whole model is stored there; one that was interrupted does not count."""
     try:
-        spark.read.text(f"{path}/metadata").limit(0).count()
+        return spark.read.parquet(f"{path}/complete").count() == 1
     except AnalysisException:
         return False
-    return True
 
 
 def load_model(spark: SparkSession, path: str) -> PipelineModel:

@@ -14,8 +14,9 @@ from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.operators.rows import with_fold
-from shelfcast.plans.models import regression_pipeline
+from shelfcast.plans.models import input_means, regression_pipeline
 from shelfcast.schema import PREDICTION, ROW_ID
+from shelfcast.session import cut_lineage
 
 
 @dataclass(frozen=True)
@@ -73,6 +74,7 @@ BOOSTED_TREES_SPACE = {
     "stepSize": Floats(1e-3, 1e-1, log=True),
     "maxDepth": Ints(1, 30),
     "minInstancesPerNode": Ints(10, 100),
+    "minWeightFractionPerNode": Floats(1e-6, 1e-2, log=True),
     "featureSubsetStrategy": Fraction(0.4, 1.0),
     "subsamplingRate": Floats(0.4, 1.0),
     "minInfoGain": Floats(0.0, 1.0),
@@ -101,8 +103,10 @@ def search(
     label = regressor.getLabelCol()
     settings = draw_trials(space, trials, seed)
     maps = [{regressor.getParam(name): value for name, value in s.items()} for s in settings]
+    data = with_fold(df.where(F.col(label).isNotNull()), folds, row_key)
+    data = cut_lineage(data.select(*features, F.col(label).cast("double").alias(label), "fold"))
     validator = CrossValidator(
-        estimator=regression_pipeline(regressor, features),
+        estimator=regression_pipeline(regressor, features, input_means(data, features)),
         estimatorParamMaps=maps,
         evaluator=RegressionEvaluator(labelCol=label, predictionCol=PREDICTION, metricName="mae"),
         numFolds=folds,
@@ -110,8 +114,6 @@ def search(
         parallelism=parallelism,
         seed=seed,
     )
-    data = with_fold(df.where(F.col(label).isNotNull()), folds, row_key)
-    data = data.select(*features, F.col(label).cast("double").alias(label), "fold")
     fitted = validator.fit(data)
     rows = [(i, json.dumps(s), float(m)) for i, (s, m) in enumerate(zip(settings, fitted.avgMetrics, strict=True))]
     table = df.sparkSession.createDataFrame(rows, "trial int, params string, mae double")

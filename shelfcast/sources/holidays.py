@@ -34,7 +34,9 @@ def orthodox_easter(year):
 
 
 def holiday_calendar(spark: SparkSession, first_year: int = 1990, last_year: int = 2030) -> DataFrame:
-    """One row per holiday of the given years, without weekend substitutes."""
+    """One row per holiday of the given years (1900 to 2099), without weekend substitutes."""
+    if first_year < 1900 or last_year > 2099:
+        raise ValueError("the rule for Easter holds from 1900 to 2099")
     years = spark.range(first_year, last_year + 1).select(F.col("id").cast("int").alias("year"))
     year = F.col("year")
     fixed = [

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.dates import parse_date
-from shelfcast.schema import CATEGORY, DATE, PRICE, QUANTITY, ROW_ID, SALES_COLUMNS, SKU
+from shelfcast.operators.joins import attach
+from shelfcast.schema import CATEGORY, DATE, N_ROWS, PRICE, QUANTITY, ROW_ID, SALES_COLUMNS, SKU
+
+
+_ITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_quantity")
 
 
 def read_sales_csv(spark: SparkSession, path: str, *, strict: bool = True) -> DataFrame:
@@ -42,15 +46,16 @@ def sales_from_lineitem(spark: SparkSession, tables: str, *, category: bool = Tr
     """Sales rows from ``lineitem`` and ``part``.
 
     ``category=False`` leaves out ``category_id`` and with it the join, for work that needs only the
-    SKU. ``row_id`` adds a unique row key.
+    SKU. ``row_id`` adds a unique row key. A part with very many items is split in the join.
     """
-    items = spark.read.parquet(f"{tables}/lineitem.parquet")
+    items = spark.read.parquet(f"{tables}/lineitem.parquet").select(*_ITEM_COLUMNS)
     date = F.col("l_shipdate").cast("date")
     quantity = F.col("l_quantity").cast("long")
     columns = {DATE: date, SKU: F.col("l_partkey"), PRICE: F.col("l_extendedprice"), QUANTITY: quantity}
     if category:
-        part = spark.read.parquet(f"{tables}/part.parquet")
-        items = items.join(part, items["l_partkey"] == part["p_partkey"])
+        part = spark.read.parquet(f"{tables}/part.parquet").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+        weights = items.groupBy("l_partkey").agg(F.count(F.lit(1)).alias(N_ROWS))
+        items = attach(items, part, ["l_partkey"], weights=weights)
         columns = {DATE: date, CATEGORY: F.substring("p_brand", 7, 10).cast("long"), **columns}
     if row_id:
         parts = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfcast.schema import DATE, N_ROWS, PRICE, QUANTITY
@@ -23,10 +23,11 @@ def daily_schema(key: str, quantity: T.DataType | None = None) -> T.StructType:
 
 
 def daily_stream(sales: DataFrame, key: str, *, time: str = "ts", delay: str = DELAY) -> DataFrame:
-    """The daily table of a sales stream; a day is emitted once the watermark has passed its end.
+    """The daily table of a sales stream. In append mode a day comes out once the watermark has passed its
+    end, in update mode (:func:`upsert_to_table`) whenever it changes, the newest days included.
 
     Days are those of the session's time zone: windows are cut in UTC, so the clock time of ``time`` is
-    read as UTC first. Rows later than ``delay`` are dropped by the watermark.
+    read as UTC first. Rows later than ``delay`` are dropped by the watermark; :func:`late_rows` counts them.
     """
     clock = F.from_utc_timestamp(F.col(time).cast("timestamp"), F.current_timezone())
     timed = sales.withColumn(time, clock).withWatermark(time, delay)
@@ -51,3 +52,33 @@ def append_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQ
         .trigger(availableNow=True)
         .start(path)
     )
+
+
+def upsert_to_table(stream: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """Write every change to what is available now; :func:`current_rows` reads the latest state of each day.
+
+    A batch has a folder of its own and replaces it when it is run again, so a restart repeats nothing.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return (
+        stream.writeStream.outputMode("update")
+        .foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
+def current_rows(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """The last version of every (key, day) written by :func:`upsert_to_table`."""
+    versions = spark.read.schema(daily_schema(key).add("batch", T.LongType())).parquet(path)
+    last = F.max_by(F.struct(PRICE, QUANTITY, N_ROWS), "batch").alias("last")
+    return versions.groupBy(key, DATE).agg(last).select(key, DATE, "last.*")
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the watermark has dropped, over the batches the query still remembers."""
+    return sum(op["numRowsDroppedByWatermark"] for batch in query.recentProgress for op in batch["stateOperators"])

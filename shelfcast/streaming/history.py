@@ -30,22 +30,27 @@ def _with_recent_days(daily: DataFrame, key: str, k: int) -> DataFrame:
 
     # Defined in here and using no function of this package, so that it travels to workers as it is.
     def advance(group: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(chunks)).sort_values("day", kind="stable")
-        seen = list(zip(*state.get, strict=True)) if state.exists else []
-        out = []
-        for day, price, quantity in zip(rows["day"], rows[PRICE], rows[QUANTITY], strict=True):
-            late = bool(seen) and day <= seen[-1][0]
-            newest_first = [] if late else seen[::-1]
-            missing = [None] * (k - len(newest_first))
-            prices = [s[1] for s in newest_first] + missing
-            quantities = [s[2] for s in newest_first] + missing
-            out.append((group[0], int(day), late, *prices, *quantities))
-            if not late:
-                known = [float(v) if pd.notna(v) else None for v in (price, quantity)]
-                seen = [*seen, (int(day), *known)][-k:]
-        if seen:
-            state.update(tuple(list(column) for column in zip(*seen, strict=True)))
-        yield pd.DataFrame(out, columns=[key, "day", "late", *names]).astype(dict.fromkeys(names, "float64"))
+        columns = {"day": "int64", PRICE: "float64", QUANTITY: "float64"}
+        rows = pd.concat(list(chunks))[list(columns)].astype(columns).sort_values("day", kind="stable")
+        seen = pd.DataFrame(dict(zip(columns, state.get, strict=True)) if state.exists else {c: [] for c in columns})
+        seen = seen.astype(columns)
+        late = rows["day"].duplicated()
+        if len(seen):
+            late |= rows["day"] <= seen["day"].iloc[-1]
+        every = pd.concat([seen, rows[~late]], ignore_index=True)
+        before = {
+            f"{name}_{i}": every[column].shift(i).iloc[len(seen) :]
+            for name, column in (("price", PRICE), ("quantity", QUANTITY))
+            for i in range(1, k + 1)
+        }
+        on_time = pd.DataFrame({"day": every["day"].iloc[len(seen) :], "late": False, **before})
+        out = pd.concat([on_time, pd.DataFrame({"day": rows["day"][late], "late": True})], ignore_index=True)
+        out.insert(0, key, group[0])
+        kept = every.tail(k)
+        if len(kept):
+            numbers = [kept["day"].tolist(), *[[None if pd.isna(v) else v for v in kept[c]] for c in (PRICE, QUANTITY)]]
+            state.update(tuple(numbers))
+        yield out.reindex(columns=[key, "day", "late", *names]).astype({"late": "bool", **dict.fromkeys(names, "float64")})
 
     days = daily.where(F.col(key).isNotNull()).select(
         key,

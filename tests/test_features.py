@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from conftest import SALES, day, rows_of
 from shelfcast.operators.calendar import with_calendar, with_holiday_flag
-from shelfcast.operators.daily import as_arrays, daily_category, daily_sku, from_arrays, gap_report
+from shelfcast.operators.daily import as_arrays, daily, daily_base, daily_category, daily_sku, from_arrays, gap_report, roll_up
 from shelfcast.operators.history import lag_table, moving_average_table
-from shelfcast.operators.joins import attach, attach_small, fits_broadcast, hot_keys
+from shelfcast.operators.joins import attach, attach_stored, hot_keys
 from shelfcast.operators.rows import drop_nulls, split_by_completeness
 from shelfcast.operators.scaling import apply_scaling, standardise
 from shelfcast.plans.features import build_features, feature_columns, with_lags
 from shelfcast.sources.holidays import holiday_calendar
+from shelfcast.sources.sales import sales_from_lineitem
 
 
 def sales(spark, rows):
@@ -110,19 +111,18 @@ def skewed(spark):
     )
 
 
-@pytest.mark.parametrize("max_hot", [0, 1, 100])
-def test_split_join_equals_plain_join(spark, max_hot):
+def test_split_join_equals_plain_join(spark):
     fact = skewed(spark)
     table = daily_sku(fact)
     plain = fact.join(table.drop("n_rows").withColumnRenamed("sales_quantity", "q").drop("sales_price"), ["sku_id", "date"])
     renamed = table.withColumnRenamed("sales_quantity", "q").drop("sales_price")
-    split = attach(fact, renamed, ["sku_id", "date"], weights=table, hot_rows=50, max_hot=max_hot)
+    split = attach(fact, renamed, ["sku_id", "date"], weights=table, hot_rows=50)
     assert split.count() == 1000
     assert rows_of(split) == rows_of(plain.select(*split.columns))
-    heavy = hot_keys(table, ["sku_id", "date"], hot_rows=50, max_hot=max_hot).collect()
-    assert [r["__parts"] for r in heavy] == ([19] if max_hot else [])
+    heavy = hot_keys(table, ["sku_id", "date"], hot_rows=50).collect()
+    assert [r["__parts"] for r in heavy] == [19]
     unknown = fact.withColumn("sku_id", F.when(F.col("sku_id") > 0, F.lit(None)).otherwise(F.col("sku_id")))
-    kept = attach(unknown, renamed, ["sku_id", "date"], weights=table, hot_rows=50, max_hot=max_hot, how="left")
+    kept = attach(unknown, renamed, ["sku_id", "date"], weights=table, hot_rows=50, how="left")
     assert kept.count() == 1000
 
 
@@ -132,13 +132,51 @@ def test_copies_of_a_hot_row_spread_over_parts(spark):
     assert spread.count() > 3
 
 
-def test_broadcast_only_when_counted_small(spark):
+def test_repeated_rows_are_refused_where_they_would_stay_unmatched(spark):
+    fact = skewed(spark)
+    for how in ("right", "full"):
+        with pytest.raises(ValueError):
+            attach(fact, daily_sku(fact), ["sku_id", "date"], weights=daily_sku(fact), how=how)
+
+
+def test_stored_table_is_broadcast_by_its_bytes(spark):
     fact, table = skewed(spark), daily_sku(skewed(spark)).drop("sales_price", "sales_quantity").withColumn("x", F.lit(1))
-    assert not fits_broadcast(table, 10) and fits_broadcast(table, 1000)
-    small = attach_small(fact, table, ["sku_id", "date"], weights=table)
-    large = attach_small(fact, table, ["sku_id", "date"], weights=table, max_rows=10)
-    assert "BroadcastHashJoin" in small._jdf.queryExecution().toString()
-    assert rows_of(small.select("sku_id", "x")) == rows_of(large.select("sku_id", "x"))
+    out = attach_stored(fact, table, ["sku_id", "date"], weights=table)
+    assert out._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") >= 2
+    assert out.count() == fact.count()
+
+
+def test_hot_sku_is_exchanged_again_after_the_part_join(spark, tmp_path):
+    items = spark.range(1000).selectExpr(
+        "id AS l_orderkey", "IF(id % 2 = 0, 1, id) AS l_partkey", "id AS l_suppkey", "1 AS l_linenumber", "1.0D AS l_quantity",
+        "2.0D AS l_extendedprice", "timestamp_ntz'1999-01-01' AS l_shipdate",
+    )
+    items.write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.range(1000).selectExpr("id AS p_partkey", "concat('Brand#', id % 25) AS p_brand").write.parquet(f"{tmp_path}/part.parquet")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        days = daily_sku(sales_from_lineitem(spark, str(tmp_path)))
+        plan = days._jdf.queryExecution().executedPlan().toString()
+        assert plan.index("hashpartitioning(sku_id") < plan.index("SortMergeJoin")
+        assert days.count() == 500  # the odd ids; the even ones are all SKU 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_both_daily_tables_roll_up_from_one_aggregate(spark):
+    fact = feature_rows(spark)
+    base = daily_base(fact)
+    for key in ("sku_id", "category_id"):
+        assert rows_of(roll_up(base, key)) == rows_of(daily(fact, key))
+
+
+def test_dates_outside_the_calendar_are_unknown(spark):
+    df = spark.createDataFrame([(dt.date(1989, 1, 1),), (dt.date(1990, 1, 1),), (dt.date(2031, 1, 1),), (None,)], "date date")
+    flags = with_holiday_flag(df, holiday_calendar(spark, 1990, 2030)).collect()
+    assert [r["is_ukrainian_holiday"] for r in sorted(flags, key=lambda r: str(r["date"]))] == [None, True, None, None]
+    with pytest.raises(ValueError):
+        holiday_calendar(spark, 1990, 2100)
 
 
 def feature_rows(spark):

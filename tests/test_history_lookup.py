@@ -80,5 +80,5 @@ def test_means_use_what_there_is(spark):
 
 def test_latest_days(spark):
     history = daily_sku(table(spark, [(day(i), 7, s, float(i), i) for i in range(1, 11) for s in (1, 2)]))
-    got = rows_of(latest_days(history, "sku_id", 3, day(8)), "sku_id", "date")
-    assert got == [(s, day(i)) for s in (1, 2) for i in (5, 6, 7)]
+    got = latest_days(history, "sku_id", 3, day(8)).collect()
+    assert sorted((r["sku_id"], [d["date"] for d in r["days"]]) for r in got) == [(s, [day(7), day(6), day(5)]) for s in (1, 2)]

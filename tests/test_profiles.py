@@ -124,8 +124,10 @@ def test_metrics(spark):
     assert score([(1.0, 1.0), (2.0, 2.0)])[2] == 1.0
     assert score([(1.0, 1.0), (1.0, 1.0)])[2] == 1.0
     assert score([(1.0, 1.0), (1.0, 2.0)])[2] == 0.0
-    rmse, mae, explained = score([(1.0, 2.0), (2.0, 3.0), (4.0, 5.0)])
+    rmse, mae, explained, *_ = score([(1.0, 2.0), (2.0, 3.0), (4.0, 5.0)])
     assert (rmse, mae, explained) == pytest.approx((-1.0, -1.0, 1.0))
+    partial = score([(1.0, 2.0), (2.0, 3.0), (4.0, 5.0), (900.0, None), (None, 1.0)])
+    assert (partial["n_rows"], partial["n_skipped"]) == (3, 2) and partial["test_explained_variance"] == pytest.approx(1.0)
 
 
 def test_split_sample_shuffle(spark):

@@ -12,7 +12,7 @@ from conftest import rows_of
 from shelfcast.operators.daily import daily_sku
 from shelfcast.operators.history import lag_table
 from shelfcast.schema import SKU, lag_names
-from shelfcast.streaming.daily import append_to_table, daily_schema, daily_stream
+from shelfcast.streaming.daily import append_to_table, current_rows, daily_schema, daily_stream, late_rows, upsert_to_table
 from shelfcast.streaming.history import lag_stream, mean_stream
 
 SCHEMA = "ts timestamp, sku_id long, sales_price double, sales_quantity double"
@@ -105,3 +105,19 @@ def test_days_follow_the_session_time_zone(spark, tmp_path, zone):
         assert got == [(dt.date(2020, 3, d), 32.0, 3) for d in (1, 2, 3)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_open_days_are_there_and_late_rows_are_counted(spark, tmp_path):
+    inbox, table, progress = (str(tmp_path / n) for n in ("inbox", "table", "progress"))
+    first, last = dt.datetime(2020, 1, 1, 12), dt.datetime(2020, 1, 9, 12)
+    every = [[(first, 1, 2.0, 3.0), (last, 1, 4.0, 1.0)], [(last, 1, 6.0, 1.0), (last, 2, 1.0, 1.0)], [(first, 1, 9.0, 9.0)]]
+    dropped = 0
+    for rows in every:
+        write(spark, inbox, rows)
+        query = upsert_to_table(daily_stream(source(spark, inbox), SKU), table, progress)
+        query.awaitTermination()
+        dropped += late_rows(query)
+    got = rows_of(current_rows(spark, table, SKU), SKU, "date", "sales_price", "sales_quantity", "n_rows")
+    on_time = [(1, first.date(), 2.0, 3.0, 1), (1, last.date(), 5.0, 2.0, 2), (2, last.date(), 1.0, 1.0, 1)]
+    assert [(k, d, p, float(q), n) for k, d, p, q, n in got] == on_time
+    assert dropped == 1
