@@ -25,6 +25,9 @@ from shelfcast.llm.arrow import map_column, text_batches
 #: Fragments that a worker remembers, as many again before they are forgotten.
 MEMORY = 150_000
 
+#: Characters of the fragments, or of the pieces, that a worker remembers: text without spaces has long ones.
+MEMORY_CHARS = 8 << 20
+
 #: Bytes of text whose fragments are looked up together; a longer text is looked up by itself.
 PART_BYTES = 1 << 20
 
@@ -81,6 +84,7 @@ class ForcedBoundaryEncoder:
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
+        self.known_chars = self.pieces_chars = 0
 
     def _pairs_inside(self, vocab: dict[str, int], suffix: str) -> np.ndarray:
         """inside[a, b]: whether some token holds byte a directly before byte b."""
@@ -107,6 +111,7 @@ class ForcedBoundaryEncoder:
 
     def _encode_pieces(self, wanted: set[str]) -> None:
         new = list(wanted.difference(self.pieces))
+        self.pieces_chars += sum(map(len, new))
         for model, own in ((self.final, [p for p in new if p[-1] != _GOES_ON]), (self.inner, [p for p in new if p[-1] == _GOES_ON])):
             if own:
                 found = model.encode([p.rstrip(_GOES_ON) for p in own], is_pretokenized=True, add_special_tokens=False)
@@ -177,12 +182,16 @@ class ForcedBoundaryEncoder:
         for part in text_batches(texts, PART_BYTES):
             fragments = [self.fragments.findall(text) for text in part]
             wanted = set().union(*fragments).difference(self.known)
-            if len(self.known) + len(wanted) > MEMORY:
+            chars = sum(map(len, wanted))
+            if len(self.known) + len(wanted) > MEMORY or self.known_chars + chars > MEMORY_CHARS:
                 # What was met lately stays: older fragments go when the next ones become old.
-                self.older, self.known = self.known, {}
-                if len(self.pieces) > MEMORY:
-                    self.pieces.clear()
+                self.older, self.known, self.known_chars = self.known, {}, 0
                 wanted = set().union(*fragments)
+                chars = sum(map(len, wanted))
+            self.known_chars += chars
+            if len(self.pieces) > MEMORY or self.pieces_chars > MEMORY_CHARS:
+                self.pieces.clear()
+                self.pieces_chars = 0
             new = []
             for fragment in wanted:
                 if (ids := self.older.get(fragment)) is None:

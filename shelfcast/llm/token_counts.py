@@ -23,6 +23,9 @@ PIECE_CHARS = 1 << 20
 #: Chunks whose length a worker remembers, as many again before they are forgotten.
 MEMORY = 300_000
 
+#: Characters of the chunks that a worker remembers: text without spaces has long ones.
+MEMORY_CHARS = 8 << 20
+
 # The characters with the Unicode property White_Space. A place between another character
 # and one of these is a safe boundary: a word takes spaces before it, never after it.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -62,6 +65,7 @@ class Counter:
             self.lengths = lambda texts: [len(e) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
         self.known: dict[str, int] = {}
         self.older: dict[str, int] = {}
+        self.known_chars = 0
 
     def _learn(self, new: set[str]) -> None:
         call, size = [], 0
@@ -75,10 +79,13 @@ class Counter:
 
     def _count(self, texts: list[list[str]]) -> Iterator[int]:
         wanted = set().union(*texts).difference(self.known)
-        if len(self.known) + len(wanted) > MEMORY:
+        chars = sum(map(len, wanted))
+        if len(self.known) + len(wanted) > MEMORY or self.known_chars + chars > MEMORY_CHARS:
             # What was met lately stays: older chunks go when the next ones become old.
-            self.older, self.known = self.known, {}
+            self.older, self.known, self.known_chars = self.known, {}, 0
             wanted = set().union(*texts)
+            chars = sum(map(len, wanted))
+        self.known_chars += chars
         self.known.update((c, n) for c in wanted if (n := self.older.get(c)) is not None)
         self._learn(wanted.difference(self.known))
         for chunks in texts:

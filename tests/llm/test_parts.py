@@ -126,6 +126,23 @@ def test_memory_of_fragments_is_renewed(monkeypatch):
     assert len(encoder.known) <= 60
 
 
+def test_memory_is_bounded_by_characters_too(monkeypatch):
+    monkeypatch.setattr(bpe, "MEMORY_CHARS", 3000)
+    monkeypatch.setattr(bpe, "PART_BYTES", 1000)
+    monkeypatch.setattr(token_counts, "MEMORY_CHARS", 3000)
+    monkeypatch.setattr(token_counts, "PIECE_CHARS", 1000)
+    texts = [f"{chr(0x4E00 + i) * 400} z{i} " + "ab" * i for i in range(100)]
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder, model = bpe.ForcedBoundaryEncoder(path), Tokenizer.from_file(path)
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == model.encode(text, add_special_tokens=False).ids
+    assert sum(map(len, encoder.known)) <= 4000 and sum(map(len, encoder.pieces)) <= 4000
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counter, model = token_counts.Counter(path), Tokenizer.from_file(path)
+    assert counter.count(texts) == [len(model.encode(t, add_special_tokens=False).ids) for t in texts]
+    assert sum(map(len, counter.known)) <= 4000
+
+
 def test_pieces_are_cut_at_safe_boundaries_only():
     model = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     counter = token_counts.Counter(public_tokenizers.path("byte_bpe_50k.json"))
