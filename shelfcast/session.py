@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,26 +29,48 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
+_scope: ContextVar[list[str] | None] = ContextVar("folders of the innermost scratch block", default=None)
+
+
+@functools.lru_cache(maxsize=None)
+def _temporary(application: str) -> str:
+    return tempfile.mkdtemp(prefix="shelfcast-")
+
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only for a local master."""
+    """The folder named by ``spark.checkpoint.dir``; for a local master without it, one temporary folder
+    an application."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    made = tempfile.mkdtemp(prefix="shelfcast-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _temporary(spark.sparkContext.applicationId)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that no other run uses; deleted when the session's JVM ends."""
     made = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _on_storage(spark, made, lambda fs, path: fs.deleteOnExit(path))
+    if (scope := _scope.get()) is not None:
+        scope.append(made)
     return made
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Folders made by :func:`new_path` inside the block go with it: for work whose result is written
+    elsewhere or collected before the block ends, so that a long session does not fill the shared folder."""
+    made: list[str] = []
+    token = _scope.set(made)
+    try:
+        yield
+    finally:
+        _scope.reset(token)
+        for path in made:
+            drop_path(spark, path)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder made by :func:`new_path` that no live DataFrame reads any more."""
     _on_storage(spark, path, lambda fs, p: fs.delete(p, True))

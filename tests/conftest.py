@@ -1,29 +1,18 @@
 from __future__ import annotations
 
-import datetime as dt
 import os
 import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from shelfcast.session import local_session  # noqa: E402
 
-SALES = "date date, category_id long, sku_id long, sales_price double, sales_quantity long"
-
 
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(shuffle_partitions=4, memory="6g")
     yield session
     session.stop()
-
-
-def day(n: int, month: int = 1, year: int = 2020) -> dt.date:
-    return dt.date(year, month, n)
-
-
-def rows_of(df, *columns):
-    out = [tuple(r) for r in df.select(*(columns or df.columns)).collect()]
-    return sorted(out, key=lambda r: tuple((v is None, str(type(v)), v if v is not None else 0) for v in r))

@@ -8,7 +8,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SALES, day, rows_of
+from rows import SALES, day, rows_of
 from shelfcast.operators.calendar import with_calendar, with_holiday_flag
 from shelfcast.operators.daily import as_arrays, daily, daily_base, daily_category, daily_sku, from_arrays, gap_report, roll_up
 from shelfcast.operators.history import lag_table, moving_average_table

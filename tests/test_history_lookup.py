@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from conftest import SALES, day, rows_of
+from rows import SALES, day, rows_of
 from shelfcast.operators.asof import lags_asof, last_k_days, means_asof, sample_days
 from shelfcast.operators.daily import daily_category, daily_sku
 from shelfcast.plans.forecast import latest_days, serving_features

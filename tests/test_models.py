@@ -7,7 +7,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SALES, day, rows_of
+from rows import SALES, day, rows_of
 from shelfcast.operators.daily import daily_category, daily_sku
 from shelfcast.plans import clusters, forecast, models, tuning
 from shelfcast.plans.features import build_features, feature_columns

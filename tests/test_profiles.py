@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import day, rows_of
+from rows import day, rows_of
 from shelfcast.operators.correlation import correlation_matrix, wide_correlation_matrix
 from shelfcast.operators.evaluation import regression_metrics
 from shelfcast.operators.histogram import column_histograms, grouped_histogram

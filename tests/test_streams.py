@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from rows import rows_of
 from shelfcast.operators.daily import daily_sku
 from shelfcast.operators.history import lag_table
 from shelfcast.schema import SKU, lag_names
