@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import bpe, chat, decontamination, langid, quality, secrets, sharding, simhash, token_counts, warc
+from shelfcast.llm import bpe, chat, decontamination, langid, merkle, quality, secrets, sharding, simhash, token_counts, warc
 from shelfcast.llm.text import n_bytes
+from shelfcast.session import cut_lineage
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -242,3 +243,75 @@ def op6_warc(spark: SparkSession, tables: str) -> DataFrame:
         F.col("type").alias("record_type"),
         F.col("refers_to_key").cast("long").alias("refers_to"),
     )
+
+
+def _sql_crc32(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    start, reflected = 0xFFFFFFFF, 0xEDB88320
+    byte = f"list_transform(range(1, strlen({text}) + 1), lambda i: CAST(ascii(substr({text}, CAST(i AS BIGINT), 1)) AS BIGINT))"
+    bits = f"list_reduce(list_prepend(xor(c, b), range(8)), lambda x, k: xor(x >> 1, {reflected} * (x & 1)))"
+    return f"xor({start}, list_reduce(list_prepend(CAST({start} AS BIGINT), {byte}), lambda c, b: {bits}))"
+
+
+def _sql_leaf(n_chars: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", f"CAST({n_chars} AS VARCHAR)", "text"]
+    return "sha256(" + " || ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _sql_tree(name: str, leaves: str) -> str:
+    """Recursive tree over ``leaves`` (g, idx, h, n): every two nodes in a row become one."""
+    return f"""
+{name} AS (
+  SELECT g, 0 AS level, idx, h, n FROM {leaves}
+  UNION ALL
+  SELECT g, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2 FROM {name} WHERE n > 1
+  GROUP BY g, level, idx // 2, n)"""
+
+
+def _sql_fold(name: str, start: str, tree: str) -> str:
+    """Recursive walk of every leaf (r, g, idx, n, cur, proof) of ``start`` up to the root of its tree."""
+    return f"""
+{name} AS (
+  SELECT r, g, 0 AS level, idx, n, cur, proof FROM {start}
+  UNION ALL
+  SELECT w.r, w.g, w.level + 1, w.idx // 2, (w.n + 1) // 2,
+    sha256(CASE WHEN w.idx % 2 = 1 THEN coalesce(s.h, '') || w.cur ELSE w.cur || coalesce(s.h, '') END),
+    w.proof || coalesce(s.h, '')
+  FROM {name} w LEFT JOIN {tree} s ON s.g = w.g AND s.level = w.level AND s.idx = xor(w.idx, 1)
+  WHERE w.n > 1)"""
+
+
+@_register(
+    "op11_merkle",
+    f"""
+WITH RECURSIVE rows AS (
+  SELECT row_number() OVER () AS r, doc_id, CASE WHEN lang IS NULL THEN '' ELSE '+' || lang END AS g, {_sql_leaf("n_chars")} AS leaf,
+    CASE WHEN {_sql_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_sql_leaf("(CAST(n_chars AS HUGEINT) + 1)")} ELSE {_sql_leaf("n_chars")} END AS shown
+  FROM documents),
+leaves AS (
+  SELECT r, doc_id, g, leaf AS h, shown AS cur, '' AS proof, count(*) OVER (PARTITION BY g) AS n,
+    row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS idx FROM rows),
+{_sql_tree("tree", "leaves")},
+subroots AS (
+  SELECT '' AS g, g AS name, h, count(*) OVER () AS n, row_number() OVER (ORDER BY g) - 1 AS idx FROM tree WHERE n = 1),
+{_sql_tree("top", "subroots")},
+{_sql_fold("climbed", "leaves", "tree")},
+second AS (
+  SELECT c.r, '' AS g, s.idx, s.n, c.cur, c.proof FROM climbed c JOIN subroots s ON s.name = c.g WHERE c.n = 1),
+{_sql_fold("finished", "second", "top")}
+SELECT doc_id, l.h AS leaf, s.h AS subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.cur AS folded_root, f.cur = t.h AS verified
+FROM leaves l JOIN subroots s ON s.name = l.g JOIN finished f ON f.r = l.r AND f.n = 1 JOIN top t ON t.n = 1""",
+)
+def op11_merkle(spark: SparkSession, tables: str) -> DataFrame:
+    docs = _table(spark, tables, "documents", "doc_id", "source", "lang", "n_chars", "text")
+    names = ("doc_id", "source", "lang", "n_chars", "text")
+    leaf = merkle.leaf_hash(*[F.col(c) for c in names])
+    more = merkle.leaf_hash(*[F.col(c).cast("decimal(20,0)") + 1 if c == "n_chars" else F.col(c) for c in names])
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    hashed = cut_lineage(docs.select("doc_id", "lang", leaf.alias("leaf"), F.when(tampered, more).alias("tampered")))
+    tree = merkle.manifest(hashed, "lang", ["doc_id"], carry=["doc_id", "tampered"])
+    folded = tree.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
