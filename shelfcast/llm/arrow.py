@@ -51,18 +51,18 @@ def text_batches(texts: Sequence[str], limit: int) -> Iterator[list[str]]:
         yield part
 
 
-def map_column(
+def map_columns(
     df: DataFrame,
-    column: str,
+    columns: Sequence[str],
     carry: Sequence[str],
     added: Sequence[StructField],
-    make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
+    make: Callable[[], Callable[..., list[pa.Array]]],
 ) -> DataFrame:
-    """``carry`` columns unchanged, followed by ``added`` columns computed from ``column``.
+    """``carry`` columns unchanged, followed by ``added`` columns computed from ``columns``.
 
-    ``make`` runs once per task in the worker and returns the function from an array to the new arrays.
+    ``make`` runs once per task in the worker and returns the function from arrays to the new arrays.
     Batches are limited by bytes, through the session's setting for Arrow batches, since a limit by rows
-    does not bound long texts. The column travels under a name of its own, so ``carry`` may contain any names but those added.
+    does not bound long texts. Inputs travel under names of their own, so ``carry`` may contain any names but those added.
     """
     ship(df.sparkSession)
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
@@ -75,7 +75,19 @@ def map_column(
         compute = make()
         for batch in batches:
             if batch.num_rows:
-                new = compute(batch.column(width))
+                new = compute(*batch.columns[width:])
                 yield pa.RecordBatch.from_arrays([*batch.columns[:width], *new], names=[f.name for f in schema.fields])
 
-    return df.select(*[F.col(f"`{c}`") for c in carry], F.col(f"`{column}`").alias("__column")).mapInArrow(run, schema)
+    inputs = [F.col(f"`{c}`").alias(f"__column_{i}") for i, c in enumerate(columns)]
+    return df.select(*[F.col(f"`{c}`") for c in carry], *inputs).mapInArrow(run, schema)
+
+
+def map_column(
+    df: DataFrame,
+    column: str,
+    carry: Sequence[str],
+    added: Sequence[StructField],
+    make: Callable[[], Callable[[pa.Array], list[pa.Array]]],
+) -> DataFrame:
+    """:func:`map_columns` of a single column."""
+    return map_columns(df, [column], carry, added, make)

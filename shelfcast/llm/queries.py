@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import bpe, chat, decontamination, langid, merkle, quality, secrets, sharding, simhash, token_counts, warc
+from shelfcast.llm import bpe, chat, decontamination, langid, merkle, quality, repair, secrets, sharding, simhash, token_counts, warc
 from shelfcast.llm.text import n_bytes
 from shelfcast.session import cut_lineage
 
@@ -315,3 +315,74 @@ def op11_merkle(spark: SparkSession, tables: str) -> DataFrame:
         "doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+def _sql_cheapest() -> str:
+    """Recursive costs from the last row to the first: per state the least (cost, letters, repaired lines)."""
+    states = ("none", "s", "u", "a")
+    following, speaker = {"none": "u", "s": "u", "u": "a", "a": "u"}, {"u": "user", "a": "assistant"}
+    kept = {"none": {"s": "s", "u": "u"}, "s": {"u": "u"}, "u": {"a": "a"}, "a": {"u": "u"}}
+
+    def edit(letter: str, cost: str, line: str, after: str) -> str:
+        text = f"chr(10) || {line} || {after}.r" if line else f"{after}.r"
+        return f"{{'c': {after}.c + {cost}, 'a': '{letter}' || {after}.a, 'r': {text}}}"
+
+    def least(options: list[str]) -> str:
+        return f"list_sort([{', '.join(options)}], 'ASC', 'NULLS LAST')[1]"
+
+    moves = {}
+    for q in states:
+        keep = " ".join(f"WHEN initial = '{i}' THEN {edit('K', 'extra', chr(39) * 2 + ' || role || ' + repr(':') + ' || text', f'd.{to}')}" for i, to in kept[q].items())
+        to = following[q]
+        rerole = edit("R", "2 + extra", f"'{speaker[to]}:' || text", f"d.{to}")
+        moves[q] = least([edit("D", "3", "", f"d.{q}"), f"CASE WHEN must_go THEN NULL {keep} END", f"CASE WHEN NOT must_go THEN {rerole} END"])
+
+    def inserted(q: str) -> str:
+        one, two = following[q], following[following[q]]
+        once = edit("I", "2", f"'{speaker[one]}:'", f"m.{one}")
+        twice = edit("II", "4", f"'{speaker[one]}:' || chr(10) || '{speaker[two]}:'", f"m.{two}")
+        return least([f"m.{q}", once, twice])
+
+    end = {"none": "0, '', ''", "s": "4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'", "u": "2, 'I', chr(10) || 'assistant:'", "a": "0, '', ''"}
+    ends = ", ".join(f"{{'c': CAST({e.split(', ')[0]} AS BIGINT), 'a': {e.split(', ')[1]}, 'r': {e.split(', ')[2]}}} AS {q}" for q, e in end.items())
+    return f"""
+cheapest AS (
+  SELECT g, count(*) + 1 AS place, {ends} FROM coded GROUP BY g
+  UNION ALL
+  SELECT g, place, {", ".join(f"{inserted(q)} AS {q}" for q in states)}
+  FROM (SELECT c.g, c.place, {", ".join(f"{moves[q]} AS {q}" for q in states)} FROM cheapest d JOIN coded c ON c.g = d.g AND c.place = d.place - 1) m)"""
+
+
+@_register(
+    "op13_conversation_repair",
+    rf"""
+WITH RECURSIVE said AS (
+  SELECT conv_id, coalesce('+' || conv_id, '') AS g, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS place FROM conversations),
+fate AS (SELECT *, {_sql_crc32("place")} % 20 AS f FROM said),
+broken AS (
+  SELECT g, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role,
+    CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fate),
+placed AS (
+  SELECT g, turn, role, text, substr(role, 1, 1) AS initial, NOT regexp_matches(text, '[^ 	-]') AS is_blank,
+    regexp_matches(text, '[.!?][ 	-]*\z') AS ended,
+    row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, sha256(strlen(role) || ':' || role || text)) AS place FROM broken),
+faults AS (
+  SELECT *, NOT is_blank AND row_number() OVER (PARTITION BY g, role, text ORDER BY place) > 1 AS is_again,
+    lag(initial) OVER (PARTITION BY g ORDER BY place) || initial NOT IN ('su', 'ua', 'au') AS is_illegal FROM placed),
+coded AS (
+  SELECT *, is_blank OR is_again AS must_go, CASE WHEN is_blank OR is_again OR ended THEN 0 ELSE 1 END AS extra FROM faults),
+{_sql_cheapest()},
+counts AS (
+  SELECT g, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (is_blank) AS blank, count(*) FILTER (is_again) AS duplicate,
+    count(*) FILTER (extra = 1) AS truncated, count(*) FILTER (is_illegal) AS illegal FROM coded GROUP BY g),
+repaired AS (SELECT g, "none".c AS cost, "none".a AS audit, sha256(substr("none".r, 2)) AS repaired_sha256 FROM cheapest WHERE place = 1)
+SELECT n.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost, coalesce(audit, '') AS audit,
+  coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, g FROM said) n LEFT JOIN counts USING (g) LEFT JOIN repaired USING (g)""",
+)
+def op13_conversation_repair(spark: SparkSession, tables: str) -> DataFrame:
+    turns = _table(spark, tables, "conversations", "conv_id", "turn", "role", "text")
+    return repair.repair(repair.damaged(turns), turns)
