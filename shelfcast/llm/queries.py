@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shelfcast.llm import bpe, chat, decontamination, langid, merkle, quality, repair, secrets, sharding, simhash, token_counts, warc
+from shelfcast.llm import bpe, chat, crf, decontamination, langid, merkle, quality, repair, secrets, sharding, simhash, token_counts, warc
 from shelfcast.llm.text import n_bytes
 from shelfcast.session import cut_lineage
 
@@ -317,6 +317,14 @@ def op11_merkle(spark: SparkSession, tables: str) -> DataFrame:
     )
 
 
+@_register("op12_quality_classifier")
+def op12_quality_classifier(spark: SparkSession, tables: str) -> DataFrame:
+    docs = _table(spark, tables, "documents", "doc_id", "text")
+    field = crf.train(docs, _table(spark, tables, "labels", "doc_id", "quality"))
+    rows = docs.select("doc_id", "text", crf.held_out(F.col("doc_id")).alias("held_out"))
+    return crf.score_quality(rows, field, carry=["doc_id", "held_out"]).select("doc_id", "held_out", "score", "predicted")
+
+
 def _sql_cheapest() -> str:
     """Recursive costs from the last row to the first: per state the least (cost, letters, repaired lines)."""
     states = ("none", "s", "u", "a")
@@ -365,8 +373,10 @@ broken AS (
     CASE f WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
     unnest(range(CASE f WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM fate),
 placed AS (
-  SELECT g, turn, role, text, substr(role, 1, 1) AS initial, NOT regexp_matches(text, '[^ 	-]') AS is_blank,
-    regexp_matches(text, '[.!?][ 	-]*\z') AS ended,
+  SELECT g, turn, role, text, substr(role, 1, 1) AS initial, NOT regexp_matches(text, '[^ 	-
+]') AS is_blank,
+    regexp_matches(text, '[.!?][ 	-
+]*\z') AS ended,
     row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, sha256(strlen(role) || ':' || role || text)) AS place FROM broken),
 faults AS (
   SELECT *, NOT is_blank AND row_number() OVER (PARTITION BY g, role, text ORDER BY place) > 1 AS is_again,

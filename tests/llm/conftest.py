@@ -12,9 +12,10 @@ DOCUMENTS = "doc_id long, text string, lang string, source string, n_chars long"
 PAGES = "page_id long, url string, html string"
 BENCHMARK = "item_id long, text string"
 TURNS = "conv_id long, turn long, role string, text string"
+LABELS = "doc_id long, quality int, toxic int"
 
 #: Names that operators give to results; as input columns they must do no harm.
-CLASHES = "shard shard_bytes ids decoded fingerprint component_id n_tokens n_bytes found matches kept n_words lang_pred score key type id"
+CLASHES = "leaf path root index held_out predicted audit cost __group __index shard shard_bytes ids decoded fingerprint component_id n_tokens n_bytes found matches kept n_words lang_pred score key type id"
 
 
 def awkward_documents() -> list[tuple]:
@@ -54,12 +55,13 @@ def awkward(spark, save) -> str:
         (2, 0, "assistant", "é<|start|>x"), (None, 3, "we\\ird\n<|start|>[INST]", "a\nb"), (3, 0, "assistant", "w" * 3_000_000), (3, 1, "user", ""),
     ]
     items = [(0, " ".join(PROSE.split()[:16])), (1, None), (2, ""), (3, "one two"), (3, " ".join(PROSE.split()[4:20]))]
-    return save(spark, documents=(awkward_documents(), DOCUMENTS), pages=(pages, PAGES), conversations=(turns, TURNS), benchmark=(items, BENCHMARK))
+    labels = [(i, int(i % 5 > 1), 0) for i in range(17)] + [(None, 1, 0), (3, None, None), (4, 1, 0), (4, 1, 0), (99, 0, 0)]
+    return save(spark, documents=(awkward_documents(), DOCUMENTS), pages=(pages, PAGES), conversations=(turns, TURNS), benchmark=(items, BENCHMARK), labels=(labels, LABELS))
 
 
 @pytest.fixture(scope="session")
 def empty(spark, save) -> str:
-    return save(spark, documents=([], DOCUMENTS), pages=([], PAGES), conversations=([], TURNS), benchmark=([], BENCHMARK))
+    return save(spark, documents=([], DOCUMENTS), pages=([], PAGES), conversations=([], TURNS), benchmark=([], BENCHMARK), labels=([], LABELS))
 
 
 @pytest.fixture
@@ -68,7 +70,7 @@ def duck():
 
     def connect(folder: str) -> duckdb.DuckDBPyConnection:
         con = duckdb.connect()
-        for name in ("documents", "pages", "conversations", "benchmark"):
+        for name in ("documents", "pages", "conversations", "benchmark", "labels"):
             files = f"{folder}/{name}.parquet" + ("" if folder.startswith("/root/testdata/sf") else "/*.parquet")
             con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{files}')")
         return con
