@@ -235,7 +235,7 @@ SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes,
 FROM hashed""",
 )
 def op6_warc(spark: SparkSession, tables: str) -> DataFrame:
-    read = warc.archived_pages(_table(spark, tables, "pages", "page_id", "url", "html"))
+    read = warc.archived_pages(_table(spark, tables, "pages", "page_id", "url", "html"), payloads=False)
     return read.select(
         F.col("key").cast("long").alias("page_id"),
         "payload_bytes",

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import base64
 import gzip
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,6 +14,8 @@ from pyspark.sql.types import BinaryType, LongType, StringType, StructField, Str
 
 from shelfcast.llm.arrow import BATCH_BYTES, ship
 from shelfcast.llm.text import whole
+from shelfcast.operators.joins import attach
+from shelfcast.schema import N_ROWS
 from shelfcast.session import cut_lineage, new_path
 
 # The field lists of the two ARC versions, as they stand in an archive's version block.
@@ -30,22 +33,59 @@ MIN_REVISIT_BYTES = 0
 CRAWL_DATE = "20200101000000"
 _ADDRESS = "0.0.0.0"
 _KEY_HEADER = "X-Record-Key"
-_END = "\r\n\r\n"
+_END = b"\r\n\r\n"
 _GZIP = b"\x1f\x8b"
 
-_BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+#: Compression of archives: the intermediate ones and those kept.
+_ARC_LEVEL, _WARC_LEVEL = 1, 3
 
 
-def base32_sha1(payload: Column) -> Column:
-    """Bare upper-case base32 of the SHA-1: five bits a letter, from groups of five hexadecimal digits."""
-    hexadecimal = F.sha1(payload)
+def base32_sha1(payload: bytes) -> str:
+    """Bare upper-case base32 of the SHA-1."""
+    return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
-    def letter(i: Column) -> Column:
-        group = F.conv(F.substring(hexadecimal, F.floor(i / 4).cast("int") * 5 + 1, F.lit(5)), 16, 10).cast("int")
-        place = F.floor(group / F.pow(F.lit(2), (3 - i % 4) * 5)).cast("int") % 32
-        return F.substring(F.lit(_BASE32), place + 1, F.lit(1))
 
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(31)), letter), "")
+class _Files:
+    """Records of one task packed into compressed files of at most ``limit`` bytes, a larger one alone."""
+
+    def __init__(self, limit: int, level: int, start: Callable[[str], bytes], extension: str):
+        from pyspark import TaskContext
+
+        self.limit, self.level, self.start, self.extension = limit, level, start, extension
+        self.task, self.count = TaskContext.get().partitionId(), 0
+        self._open()
+
+    def _open(self) -> None:
+        self.name = f"{self.task:06d}-{self.count:05d}.{self.extension}"
+        first = self.start(self.name)
+        self.parts, self.size, self.records = [first], len(first), 0
+
+    def closed(self) -> Iterator[pa.RecordBatch]:
+        if self.records:
+            content = gzip.compress(b"".join(self.parts), self.level, mtime=0)
+            yield pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], names=["archive"])
+            self.count += 1
+            self._open()
+
+    def add(self, make: Callable[[str, int], bytes]) -> Iterator[pa.RecordBatch]:
+        """The record that ``make`` gives for the file's name and size; yields a file that is full."""
+        record = make(self.name, self.size)
+        if self.records and self.size + len(record) > self.limit:
+            yield from self.closed()
+            record = make(self.name, self.size)
+        self.parts.append(record)
+        self.size += len(record)
+        self.records += 1
+
+
+_ARCHIVE = StructType([StructField("archive", BinaryType())])
+
+
+def _write_files(archives: DataFrame, path: str) -> None:
+    """One file a row through Spark's own writer, so they reach whatever store Spark does; the zero byte at
+    the end is padding to a gzip reader."""
+    values = archives.select(F.col("archive").cast("string").alias("value"))
+    values.write.option("maxRecordsPerFile", 1).option("lineSep", "\0").option("compression", "none").text(path)
 
 
 # --- ARC ------------------------------------------------------------------------------------------
@@ -64,48 +104,29 @@ def _arc_record(url: str, block: bytes, version: str, name: str, offset: int) ->
     return " ".join([*fields, *middle, str(len(block))]).encode() + b"\n" + block + b"\n"
 
 
-def write_arc(pages: DataFrame, path: str, key: str, url: str, body: str, version: str = "2") -> None:
+def write_arc(pages: DataFrame, path: str, key: str, url: str, body: str, version: str = "2", limit: int = ARCHIVE_BYTES) -> None:
     """One ARC record per row under ``path``: an HTTP response with the body in UTF-8 (null: empty).
 
     The key goes into a header field, so it comes back with the record. Each task packs its own rows into
-    files of about ARCHIVE_BYTES; every file starts with its version block.
+    files of at most ``limit`` bytes before compression; every file starts with its version block.
     """
     ship(pages.sparkSession)
     pages.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     slim = pages.select(F.col(f"`{key}`").cast("string").alias("key"), F.col(f"`{url}`").alias("url"), whole(F.col(f"`{body}`")).alias("body"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        task, count = TaskContext.get().partitionId(), 0
-        name = f"{task:06d}-{count:05d}.arc"
-        parts = [_arc_version_block(name, version)]
-        size = start = len(parts[0])
+        files = _Files(limit, _ARC_LEVEL, lambda name: _arc_version_block(name, version), "arc")
         for batch in batches:
-            for row in batch.to_pylist():
-                payload = row["body"].encode()
+            for key_text, address, page in zip(*(c.to_pylist() for c in batch.columns)):
+                payload = page.encode()
                 head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n"
-                if row["key"] is not None:
-                    head += f"{_KEY_HEADER}: {row['key']}\r\n"
-                record = _arc_record(row["url"] or "", head.encode() + b"\r\n" + payload, version, name, size)
-                if size > start and size + len(record) > ARCHIVE_BYTES:
-                    yield pa.RecordBatch.from_arrays([pa.array([b"".join(parts)], pa.binary())], names=["archive"])
-                    count += 1
-                    name = f"{task:06d}-{count:05d}.arc"
-                    parts = [_arc_version_block(name, version)]
-                    size = len(parts[0])
-                parts.append(record)
-                size += len(record)
-        if len(parts) > 1:
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join(parts)], pa.binary())], names=["archive"])
-
-    archives = slim.mapInArrow(run, StructType([StructField("archive", BinaryType())]))
-    _write_files(archives.select(F.col("archive").cast("string").alias("value")), path, "\n", 1)
-
+                if key_text is not None:
+                    head += f"{_KEY_HEADER}: {key_text}\r\n"
+                block = head.encode() + b"\r\n" + payload
+                yield from files.add(lambda name, size: _arc_record(address or "", block, version, name, size))
+        yield from files.closed()
 
-def _write_files(values: DataFrame, path: str, separator: str, rows_per_file: int) -> None:
-    """Compressed files through Spark's own writer, so they reach whatever store Spark does."""
-    values.write.option("maxRecordsPerFile", rows_per_file).option("lineSep", separator).option("compression", "gzip").text(path)
+    _write_files(slim.mapInArrow(run, _ARCHIVE), path)
 
 
 def parse_arc(content: bytes) -> Iterator[tuple[str, str, str, bytes]]:
@@ -142,17 +163,9 @@ def parse_arc(content: bytes) -> Iterator[tuple[str, str, str, bytes]]:
         at = end + 1 + length
 
 
-RECORDS = StructType(
-    [
-        StructField("archive", StringType()),
-        StructField("place", LongType()),
-        StructField("key", StringType()),
-        StructField("url", StringType()),
-        StructField("date", StringType()),
-        StructField("http", BinaryType()),
-        StructField("payload", BinaryType()),
-    ]
-)
+_PLACES = [StructField(n, LongType() if n in ("place", "n_bytes") else StringType()) for n in ("archive", "place", "key", "url", "date", "digest", "n_bytes")]
+PLACES = StructType(_PLACES)
+RECORDS = StructType([*_PLACES, StructField("http", BinaryType()), StructField("payload", BinaryType())])
 
 
 def _split_http(block: bytes) -> tuple[bytes, bytes, str | None]:
@@ -196,46 +209,51 @@ def _map_files(files: DataFrame, parse, schema: StructType) -> DataFrame:
     return files.mapInArrow(run, schema)
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """archive, place, key, url, date, http, payload of every record below ``path``."""
+def read_arc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """archive, place, key, url, date, digest and length of the payload of every record below ``path``, and
+    unless ``payloads`` is false the HTTP header and the payload."""
 
     def parse(file: str, content: bytes) -> Iterator[tuple]:
         for place, (url, date, _, block) in enumerate(parse_arc(content)):
             http, payload, key = _split_http(block)
-            yield file, place, key, url, date, http, payload
+            known = file, place, key, url, date, base32_sha1(payload), len(payload)
+            yield (*known, http, payload) if payloads else known
 
-    return _map_files(_read_files(spark, path), parse, RECORDS)
+    return _map_files(_read_files(spark, path), parse, RECORDS if payloads else PLACES)
 
 
 # --- WARC -----------------------------------------------------------------------------------------
 
 
-def warc_records(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
-    """The columns of ``records`` with WARC identifier, date, type, digests, and the record referred to.
-
-    Of records with equal payloads of at least ``min_bytes`` bytes, the one with the smallest key (as a
-    number; keyless ones last, then by place) is the response and the others revisit it; smaller payloads
-    are all responses. Equal payloads are those of equal digest and length: tasks reduce them to one row
-    each, and only digests that occur twice meet the records again: a stored table, so that Spark knows its
-    bytes and need not shuffle the payloads for a small one.
-    """
-    digest, n_bytes = base32_sha1(F.col("payload")), F.octet_length("payload").cast("long")
+def _record_id() -> Column:
     identity = F.md5(F.concat_ws(" ", "archive", "place"))
     uuid = F.concat_ws("-", *[F.substring(identity, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
-    stamp = F.regexp_replace("date", r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3T$4:$5:$6Z")
-    known = records.select(
-        "*", digest.alias("digest"), n_bytes.alias("n_bytes"), F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">")).alias("id"), stamp.alias("stamp")
-    )
+    return F.concat(F.lit("<urn:uuid:"), uuid, F.lit(">"))
+
+
+def repeated_payloads(places: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> DataFrame:
+    """(digest, n_bytes, n_rows, first) of the payloads of at least ``min_bytes`` bytes that occur twice or more.
+
+    ``first`` is the record with the smallest key (as a number; keyless ones last, then by place). Tasks
+    reduce their records to one row a payload before any is moved. The table is stored, so that Spark knows
+    its bytes.
+    """
     number = F.expr("try_cast(key AS BIGINT)")
-    order = F.struct(number.isNull().alias("unknown"), number.alias("number"), "key", "archive", "place", "id", "url")
-    repeated = cut_lineage(
-        known.where(F.col("n_bytes") >= min_bytes)
-        .groupBy("digest", "n_bytes")
-        .agg(F.min(order).alias("first"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1")
-        .select("digest", "n_bytes", "first")
-    )
-    joined = known.join(repeated, ["digest", "n_bytes"], "left")
+    order = F.struct(number.isNull().alias("unknown"), number.alias("number"), "key", "archive", "place", _record_id().alias("id"), "url")
+    counted = places.where(F.col("n_bytes") >= min_bytes).groupBy("digest", "n_bytes").agg(F.min(order).alias("first"), F.count(F.lit(1)).alias(N_ROWS))
+    return cut_lineage(counted.where(F.col(N_ROWS) > 1))
+
+
+def warc_records(records: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The columns of ``records`` with WARC identifier, date, type, and the record referred to.
+
+    Of records with equal payloads (equal digest and length) the first is the response and the others
+    revisit it; payloads that ``repeated`` does not name are all responses. Records of a payload that is
+    very common are spread over tasks where the join has to move them.
+    """
+    stamp = F.regexp_replace("date", r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3T$4:$5:$6Z")
+    known = records.select("*", _record_id().alias("id"), stamp.alias("stamp"))
+    joined = attach(known, repeated, ["digest", "n_bytes"], weights=repeated, how="left")
     revisits = F.col("first").isNotNull() & (F.col("first.id") != F.col("id"))
     return joined.select(
         *known.columns,
@@ -246,44 +264,52 @@ def warc_records(records: DataFrame, min_bytes: int = MIN_REVISIT_BYTES) -> Data
     )
 
 
-def _field(name: str, value: Column) -> Column:
-    return F.when(value.isNotNull(), F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))).otherwise("")
-
+def _warc_record(row: dict) -> bytes:
+    """A revisit keeps the HTTP header and leaves out the payload; its digest and length stay in its fields."""
+    revisit = row["type"] == "revisit"
+    block = row["http"] if revisit else row["http"] + row["payload"]
+    fields = {
+        "WARC-Type": row["type"],
+        "WARC-Record-ID": row["id"],
+        "WARC-Date": row["stamp"],
+        "WARC-Target-URI": row["url"],
+        "WARC-Payload-Digest": f"sha1:{row['digest']}",
+        "WARC-Block-Digest": f"sha1:{base32_sha1(block)}",
+        "WARC-Profile": "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest" if revisit else None,
+        "WARC-Refers-To": row["refers_to_id"],
+        "WARC-Refers-To-Target-URI": row["refers_to_url"],
+        "X-Refers-To-Key": row["refers_to_key"],
+        "X-Payload-Length": str(row["n_bytes"]),
+        "Content-Type": "application/http; msgtype=response" if row["http"] else "application/octet-stream",
+        "Content-Length": str(len(block)),
+    }
+    head = "WARC/1.1\r\n" + "".join(f"{name}: {value}\r\n" for name, value in fields.items() if value is not None)
+    return head.encode() + b"\r\n" + block + _END
+
+
+def write_warc(records: DataFrame, path: str, limit: int = ARCHIVE_BYTES) -> None:
+    """WARC 1.1 files from :func:`warc_records`, their records ended by two empty lines.
+
+    Each task closes a file before it grows over ``limit`` bytes, so only a record that is larger itself
+    makes a larger file.
+    """
+    ship(records.sparkSession)
+    records.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
-def write_warc(records: DataFrame, path: str, records_per_file: int) -> None:
-    """WARC 1.1 files, their records ended by two empty lines, from :func:`warc_records`.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files = _Files(limit, _WARC_LEVEL, lambda name: b"", "warc")
+        for batch in batches:
+            for row in batch.to_pylist():
+                record = _warc_record(row)
+                yield from files.add(lambda name, size: record)
+        yield from files.closed()
 
-    A revisit keeps the HTTP header and leaves out the payload; its digest and length stay in its fields.
-    """
-    payload = F.when(F.col("type") == "revisit", F.lit("").cast("binary")).otherwise(F.col("payload"))
-    block = F.concat(F.col("http"), payload)
-    profile = F.when(F.col("type") == "revisit", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"))
-    kind = F.when(F.octet_length("http") > 0, F.lit("application/http; msgtype=response")).otherwise("application/octet-stream")
-    head = F.concat(
-        F.lit("WARC/1.1\r\n"),
-        _field("WARC-Type", F.col("type")),
-        _field("WARC-Record-ID", F.col("id")),
-        _field("WARC-Date", F.col("stamp")),
-        _field("WARC-Target-URI", F.col("url")),
-        _field("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("digest"))),
-        _field("WARC-Block-Digest", F.concat(F.lit("sha1:"), base32_sha1(block))),
-        _field("WARC-Profile", profile),
-        _field("WARC-Refers-To", F.col("refers_to_id")),
-        _field("WARC-Refers-To-Target-URI", F.col("refers_to_url")),
-        _field("X-Refers-To-Key", F.col("refers_to_key")),
-        _field("X-Payload-Length", F.col("n_bytes").cast("string")),
-        _field("Content-Type", kind),
-        _field("Content-Length", F.octet_length(block).cast("string")),
-        F.lit("\r\n"),
-    )
-    value = F.concat(head.cast("binary"), block).cast("string")
-    _write_files(records.select(value.alias("value")), path, _END, records_per_file)
+    _write_files(records.mapInArrow(run, _ARCHIVE), path)
 
 
-READ = StructType(
-    [StructField(n, StringType()) for n in ("id", "type", "date", "url", "payload_digest", "refers_to_id", "refers_to_key", "key")]
-    + [StructField("payload_bytes", LongType()), StructField("payload", BinaryType())]
-)
+_READ = [StructField(n, StringType()) for n in ("id", "type", "date", "url", "payload_digest", "refers_to_id", "refers_to_key", "key")]
+DESCRIBED = StructType([*_READ, StructField("payload_bytes", LongType())])
+READ = StructType([*DESCRIBED.fields, StructField("payload", BinaryType())])
 
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -303,22 +329,17 @@ def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         yield fields, block
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """Records of the WARC files below ``path``. A response's payload is checked against its digest."""
+def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFrame:
+    """Records of the WARC files below ``path``, without their payloads if ``payloads`` is false. A response's
+    payload is checked against its digest."""
 
     def parse(_: str, content: bytes) -> Iterator[tuple]:
-        import base64
-
         for fields, block in parse_warc(content):
             _, payload, key = _split_http(block)
-            digest = fields["warc-payload-digest"].removeprefix("sha1:")
-            if fields["warc-type"] == "response":
-                if base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
-                    raise ValueError(f"record {fields['warc-record-id']} has another payload than its digest")
-                size = len(payload)
-            else:
-                size = int(fields["x-payload-length"])
-            yield (
+            digest, response = fields["warc-payload-digest"].removeprefix("sha1:"), fields["warc-type"] == "response"
+            if response and base32_sha1(payload) != digest:
+                raise ValueError(f"record {fields['warc-record-id']} has another payload than its digest")
+            described = (
                 fields["warc-record-id"],
                 fields["warc-type"],
                 fields["warc-date"],
@@ -327,32 +348,35 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 fields.get("warc-refers-to"),
                 fields.get("x-refers-to-key"),
                 key,
-                size,
-                payload if fields["warc-type"] == "response" else None,
+                len(payload) if response else int(fields["x-payload-length"]),
             )
+            yield (*described, payload if response else None) if payloads else described
 
-    return _map_files(_read_files(spark, path), parse, READ)
+    return _map_files(_read_files(spark, path), parse, READ if payloads else DESCRIBED)
 
 
-def convert(spark: SparkSession, arc_path: str, warc_path: str, records_per_file: int) -> None:
+def convert(spark: SparkSession, arc_path: str, warc_path: str, min_bytes: int = MIN_REVISIT_BYTES) -> None:
     """The ARC archives below ``arc_path`` as WARC files below ``warc_path``, revisits found.
 
-    The archives are read twice, for the digests and for the records, and payloads are written by the tasks
-    that read them.
+    The archives are read twice: for digests and places alone, and for the records. Payloads are written by
+    the tasks that read them unless the table of repeated payloads is too large to be sent to each.
     """
-    write_warc(warc_records(read_arc(spark, arc_path)), warc_path, records_per_file)
+    repeated = repeated_payloads(read_arc(spark, arc_path, payloads=False), min_bytes)
+    write_warc(warc_records(read_arc(spark, arc_path), repeated), warc_path)
 
 
-def archived_pages(pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", version: str = "2") -> DataFrame:
+def archived_pages(
+    pages: DataFrame, key: str = "page_id", url: str = "url", body: str = "html", version: str = "2", payloads: bool = True
+) -> DataFrame:
     """Pages through a legacy archive, its conversion to WARC and back: the rows of :func:`read_warc`.
 
     Null bodies are empty payloads, null keys stay null, null URLs are written as ``-``, repeated rows are
-    records of their own of which one is the response. Files are bounded by bytes, as reading takes a
-    whole file into a task. An empty table gives no records.
+    records of their own of which one is the response. Other columns are not looked at. Files are bounded
+    by bytes, as reading takes a whole file into a task; a page beyond the bound is a file by itself. An
+    empty table gives no records.
     """
     spark = pages.sparkSession
-    sizes = pages.agg(F.sum(F.octet_length(whole(F.col(f"`{body}`"))) + 1024).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
     arc, out = new_path(spark, "arc"), new_path(spark, "warc")
     write_arc(pages, arc, key, url, body, version)
-    convert(spark, arc, out, max(1, ARCHIVE_BYTES * sizes["n"] // max(1, sizes["bytes"] or 1)))
-    return read_warc(spark, out)
+    convert(spark, arc, out)
+    return read_warc(spark, out, payloads)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gzip
 import random
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -176,14 +178,37 @@ def test_arc_versions_are_parsed_by_declared_lengths(version):
 
 
 def test_small_payloads_are_never_revisits(spark):
-    rows = [("a", i, str(i), "u", warc.CRAWL_DATE, b"", p) for i, p in enumerate([b"xy", b"xy", b"longer", b"longer", None or b""])]
-    out = warc.warc_records(spark.createDataFrame(rows, warc.RECORDS), min_bytes=3).collect()
+    payloads = [b"xy", b"xy", b"longer", b"longer", b""]
+    rows = [("a", i, str(i), "u", warc.CRAWL_DATE, warc.base32_sha1(p), len(p), b"", p) for i, p in enumerate(payloads)]
+    records = spark.createDataFrame(rows, warc.RECORDS)
+    out = warc.warc_records(records, warc.repeated_payloads(records, min_bytes=3)).collect()
     assert {r.key: (r.type, r.refers_to_key) for r in out} == {
         "0": ("response", None), "1": ("response", None), "2": ("response", None), "3": ("revisit", "2"), "4": ("response", None),
     }
     assert {r.stamp for r in out} == {"2020-01-01T00:00:00Z"}
 
 
+def test_files_are_closed_by_bytes(spark, tmp_path):
+    """Large pages among many small ones: only a page beyond the limit makes a file beyond it."""
+    limit = 50_000
+    rng = random.Random(5)
+    pages = [(i, f"u{i}", "".join(rng.choices("abcdef <>", k=20_000 if i % 40 == 0 else 200))) for i in range(400)] + [(400, "big", "z" * 80_000)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").coalesce(1)
+
+    def written(path: str) -> list[bytes]:
+        return [gzip.decompress(p.read_bytes()) for p in Path(path).glob("part-*")]
+
+    warc.write_arc(df, str(tmp_path / "arc"), "page_id", "url", "html", limit=limit)
+    slim = warc.read_arc(spark, str(tmp_path / "arc"), payloads=False)
+    records = warc.warc_records(warc.read_arc(spark, str(tmp_path / "arc")), warc.repeated_payloads(slim))
+    warc.write_warc(records.coalesce(1), str(tmp_path / "warc"), limit)
+    for kind in ("arc", "warc"):
+        sizes = sorted(len(c) for c in written(str(tmp_path / kind)))
+        assert len(sizes) > 3 and sizes[-2] <= limit < sizes[-1] < 90_000
+    back = warc.read_warc(spark, str(tmp_path / "warc")).collect()
+    assert {(int(r.key), bytes(r.payload).decode()) for r in back} == {(i, html) for i, _, html in pages}
+
+
 def test_escapes_are_reversible_and_leave_no_control():
     import pyarrow as pa
 
