@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.operators.evaluation import regression_metrics
 from shelfcast.operators.rows import concat, with_fold
+from shelfcast.plans.ensembles import HistogramForest, LeafwiseBoosting, TreeEnsembleModel, is_histogram_learner
 from shelfcast.schema import PREDICTION, QUANTITY, ROW_ID
 
 _PREFIXES = ("__filled_", "__missing_")
@@ -28,8 +29,23 @@ def boosted_trees(label: str = QUANTITY, *, seed: int = 42, **params: object) ->
     return GBTRegressor(featuresCol="__features", labelCol=label, predictionCol=PREDICTION, seed=seed, **params)
 
 
+def leafwise_boosting(label: str = QUANTITY, **params: object) -> LeafwiseBoosting:
+    """Leaf-wise boosted trees with leaf count, penalties, bagging and histogram bins as parameters."""
+    return LeafwiseBoosting(labelCol=label, predictionCol=PREDICTION, **params)
+
+
+def histogram_forest(label: str = QUANTITY, **params: object) -> HistogramForest:
+    """A forest whose nodes need a number of rows to be split."""
+    return HistogramForest(labelCol=label, predictionCol=PREDICTION, **params)
+
+
 def regression_pipeline(regressor: Estimator, features: Sequence[str], means: dict[str, float]) -> Pipeline:
-    """Fill missing inputs (null or NaN) with ``means``, add a 0/1 column per input for "was missing", regress."""
+    """Fill missing inputs (null or NaN) with ``means``, add a 0/1 column per input for "was missing", regress.
+
+    Histogram trees take the inputs as they are, missing ones included.
+    """
+    if is_histogram_learner(regressor):
+        return Pipeline(stages=[regressor.copy().setInputCols(features)])
     number = {c: f"nanvl(CAST(`{c}` AS DOUBLE), NULL)" for c in features}
     inputs = ", ".join(
         f"coalesce({x}, {means[c]!r}D) AS `__filled_{c}`, CAST({x} IS NULL AS DOUBLE) AS `__missing_{c}`" for c, x in number.items()
@@ -55,7 +71,8 @@ def train(df: DataFrame, regressor: Estimator, features: Sequence[str]) -> Pipel
     label = regressor.getLabelCol()
     needed = dict.fromkeys([*features, label])
     known = df.where(F.col(label).isNotNull()).select(*needed).withColumn(label, F.col(label).cast("double"))
-    return regression_pipeline(regressor, features, input_means(known, features)).fit(known)
+    means = {} if is_histogram_learner(regressor) else input_means(known, features)
+    return regression_pipeline(regressor, features, means).fit(known)
 
 
 def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -98,11 +115,14 @@ def train_or_load(
 
 def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:
     """(feature, importance), highest first; the "was missing" part of an input counts with it."""
-    assembler, trees = model.stages[-2], model.stages[-1]
+    trees = model.stages[-1]
     weights: dict[str, float] = {}
-    for name, weight in zip(assembler.getInputCols(), trees.featureImportances.toArray(), strict=True):
-        feature = name.removeprefix("__filled_").removeprefix("__missing_")
-        weights[feature] = weights.get(feature, 0.0) + float(weight)
+    if isinstance(trees, TreeEnsembleModel):
+        weights = trees.importance()
+    else:
+        for name, weight in zip(model.stages[-2].getInputCols(), trees.featureImportances.toArray(), strict=True):
+            feature = name.removeprefix("__filled_").removeprefix("__missing_")
+            weights[feature] = weights.get(feature, 0.0) + float(weight)
     table = spark.createDataFrame(list(weights.items()), "feature string, importance double")
     return table.orderBy(F.col("importance").desc(), "feature")
 

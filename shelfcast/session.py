@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import functools
+import os
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,6 +32,7 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int = 8, memory: str
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
+
 _scope: ContextVar[list[str] | None] = ContextVar("folders of the innermost scratch block", default=None)
 
 
@@ -87,3 +91,21 @@ def cut_lineage(df: DataFrame, path: str | None = None) -> DataFrame:
     path = path or new_path(spark, "table")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@functools.lru_cache(maxsize=None)
+def _package(application: str) -> str:
+    top = Path(__file__).parent
+    target = os.path.join(tempfile.mkdtemp(prefix="shelfcast-code-"), "shelfcast_code.zip")
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(top.rglob("*.py")):
+            archive.write(file, file.relative_to(top.parent))
+    return target
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the workers of this application the package's code, once; its functions are imported there."""
+    before = _package.cache_info().misses
+    archive = _package(spark.sparkContext.applicationId)
+    if _package.cache_info().misses > before:
+        spark.sparkContext.addPyFile(archive)
