@@ -9,6 +9,7 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import numpy as np
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.ml.functions import vector_to_array
@@ -121,6 +122,19 @@ def elbow_start(spark: SparkSession, tables: str) -> DataFrame:
     return out.where("k = 1").select("k", F.round("wcss", 3).alias("wcss"))
 
 
+#: Centres of one shared Lloyd step, by their number: price and quantity.
+_CENTRES = {2: [(20000.0, 10.0), (60000.0, 40.0)], 3: [(10000.0, 5.0), (40000.0, 25.0), (80000.0, 45.0)]}
+
+
+def elbow_step(spark: SparkSession, tables: str) -> DataFrame:
+    """One scan that assigns every sale to the nearest of two and of three centres and adds up both."""
+    rows = sales(spark, tables, category=False).select(PRICE, QUANTITY)
+    centres = {k: np.array(c) for k, c in _CENTRES.items()}
+    found = clusters.shared_step(rows, np.zeros(2), np.array([1000.0, 1.0]), {k: c / [1000.0, 1.0] for k, c in centres.items()})
+    out = [(k, i, int(n[i]), round(float(summed[i][1]), 3), round(cost, 1)) for k, (n, summed, cost) in found.items() for i in range(k)]
+    return spark.createDataFrame(out, "k int, centre int, n long, quantity double, cost double")
+
+
 def _search_checks(spark: SparkSession, tables: str, regressor, space: dict) -> DataFrame:
     table = cut_lineage(features_table(spark, tables))
     best, trials = tuning.search(table, regressor, feature_columns(table), space)
@@ -185,7 +199,7 @@ QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
         forest_of_means, boosted_means, holdout_metrics_of_means, cross_validation_of_means, cross_validation_mean_of_means,
-        stored_model_agrees, importance_total, cluster_checks, elbow_start, forest_search, boosted_search,
+        stored_model_agrees, importance_total, cluster_checks, elbow_start, elbow_step, forest_search, boosted_search,
         backtest_by_formula, backtest_metrics_by_formula, future_by_formula, holdout_by_formula,
     )
 }
@@ -290,6 +304,14 @@ ORACLES: dict[str, str] = {
         AS DOUBLE) AS wcss FROM features WHERE {PRESENT}""",
         "features",
     ),
+    "elbow_step": sql(
+        f"""SELECT k, centre, count(*) AS n, round(sum(q), 3) AS quantity, round(sum(sum(d)) OVER (PARTITION BY k), 1) AS cost FROM (
+          SELECT s.r, q, k, centre, (p - cp) * (p - cp) + (q - cq) * (q - cq) AS d
+          FROM (SELECT row_number() OVER () AS r, sales_price / 1000 AS p, CAST(sales_quantity AS DOUBLE) AS q FROM sales) s,
+            (VALUES {", ".join(f"({k}, {i}, {p / 1000}, {q})" for k, c in _CENTRES.items() for i, (p, q) in enumerate(c))}) AS c(k, centre, cp, cq)
+          QUALIFY row_number() OVER (PARTITION BY s.r, k ORDER BY d, centre) = 1) GROUP BY k, centre""",
+        "sales",
+    ),
     "forest_search": "SELECT CAST(10 AS BIGINT) AS n_trials, true AS best_first, true AS refitted",
     "boosted_search": "SELECT CAST(10 AS BIGINT) AS n_trials, true AS best_first, true AS refitted",
     "backtest_by_formula": sql(

@@ -78,6 +78,19 @@ def parameter_search(spark: SparkSession, tables: str) -> DataFrame:
     return trials
 
 
+def adaptive_search(spark: SparkSession, tables: str) -> DataFrame:
+    """Leaf-wise trees whose later trials are drawn near the good ones."""
+    table = _table(spark, tables)
+    space = {
+        "numLeaves": tuning.Ints(2, 8),
+        "learningRate": tuning.Floats(0.05, 1.0, log=True),
+        "lambdaL2": tuning.Floats(1e-8, 10.0, log=True),
+    }
+    learner = models.leafwise_boosting(rounds=1, maxDepth=3)
+    _, trials = tuning.adaptive_search(table, learner, feature_columns(table), space, trials=4, folds=2, startup=2)
+    return trials
+
+
 def holdout_metrics(spark: SparkSession, tables: str) -> DataFrame:
     train, test = split_train_test(_table(spark, tables))
     model = models.train(train, models.boosted_trees(**_BOOSTED), feature_columns(train))
@@ -143,6 +156,7 @@ QUERIES: dict[str, Query] = {
     "cross_validation": cross_validation,
     "cross_validation_means": cross_validation_means,
     "parameter_search": parameter_search,
+    "adaptive_search": adaptive_search,
     "holdout_metrics": holdout_metrics,
     "stored_model": stored_model,
     "backtest_rows": backtest_rows,

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark import inheritable_thread_target
+import numpy as np
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
@@ -63,30 +63,115 @@ def assign_clusters(model: PipelineModel, df: DataFrame) -> DataFrame:
     return out.drop(*helpers)
 
 
+def _moments(rows: DataFrame, features: Sequence[str]) -> tuple[int, np.ndarray, np.ndarray]:
+    """Rows, and the mean and population deviation of every feature (1 where it does not vary)."""
+    number = {c: F.col(f"`{c}`").cast("double") for c in features}
+    aggregates = [F.avg(x).alias(f"m{i}") for i, x in enumerate(number.values())] + [F.stddev_pop(x).alias(f"s{i}") for i, x in enumerate(number.values())]
+    found = rows.agg(F.count(F.lit(1)).alias("n"), *aggregates).first()
+    mean, std = (np.array([found[f"{kind}{i}"] or 0.0 for i in range(len(number))]) for kind in "ms")
+    return found["n"], mean, np.where(std > 0, std, 1.0)
+
+
+def _spread_centres(points: np.ndarray, k: int, seed: int) -> np.ndarray:
+    """``k`` of the points, each drawn with a chance that grows with its squared distance from those before."""
+    random = np.random.default_rng(seed)
+    chosen = [points[random.integers(len(points))]]
+    nearest = ((points - chosen[0]) ** 2).sum(axis=1)
+    for _ in range(1, k):
+        total = nearest.sum()
+        at = int(np.searchsorted(np.cumsum(nearest), random.random() * total)) if total > 0 else random.integers(len(points))
+        chosen.append(points[min(at, len(points) - 1)])
+        nearest = np.minimum(nearest, ((points - chosen[-1]) ** 2).sum(axis=1))
+    return np.stack(chosen)
+
+
+def shared_step(rows: DataFrame, mean: np.ndarray, std: np.ndarray, centres: Mapping[int, np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
+    """One Lloyd step of every k of ``centres`` in a single scan: {k: (rows of each centre, their sums, cost)}.
+
+    ``rows`` holds the features alone. Tasks add up per (k, centre), so what is exchanged and what reaches
+    the driver is a row a centre.
+    """
+    width = len(mean)
+    sums = [f"s{j}" for j in range(width)]
+    schema = "k int, centre int, n long, cost double, " + ", ".join(f"{c} double" for c in sums)
+
+    # Defined in here and using no function of this package, so that it travels to workers as it is.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        totals = {k: np.zeros((len(c), width + 2)) for k, c in centres.items()}
+        for batch in batches:
+            points = np.stack([c.to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            points = (points - mean) / std
+            own = (points**2).sum(axis=1)[:, None]
+            for k, c in centres.items():
+                nearest = (own - 2 * points @ c.T + (c**2).sum(axis=1)).argmin(axis=1)
+                cost = ((points - c[nearest]) ** 2).sum(axis=1)
+                for j, values in enumerate([None, cost, *points.T]):
+                    totals[k][:, j] += np.bincount(nearest, values, len(c))
+        out = [(k, i, *row) for k, t in totals.items() for i, row in enumerate(t)]
+        arrays = [pa.array([r[j] for r in out]) for j in range(width + 4)]
+        kinds = [pa.int32(), pa.int32(), pa.int64(), *[pa.float64()] * (width + 1)]
+        yield pa.RecordBatch.from_arrays([a.cast(t) for a, t in zip(arrays, kinds)], names=["k", "centre", "n", "cost", *sums])
+
+    numbers = rows.select(*[F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(rows.columns)])
+    totals = numbers.mapInArrow(run, schema).groupBy("k", "centre").agg(*[F.sum(c).alias(c) for c in ("n", "cost", *sums)])
+    found = {k: (np.zeros(len(c)), np.zeros_like(c), 0.0) for k, c in centres.items()}
+    for r in totals.collect():
+        n, summed, cost = found[r["k"]]
+        n[r["centre"]], summed[r["centre"]] = r["n"], [r[c] for c in sums]
+        found[r["k"]] = (n, summed, cost + r["cost"])
+    return found
+
+
+def shared_lloyd(
+    rows: DataFrame, mean: np.ndarray, std: np.ndarray, centres: Mapping[int, np.ndarray], *, steps: int, tolerance: float
+) -> dict[int, tuple[np.ndarray, float]]:
+    """{k: (centres, cost)} after Lloyd steps of all k together, one scan of ``rows`` a step.
+
+    A k is done when no centre moves further than ``tolerance``, and then leaves the scans; a centre without
+    rows stays where it is. The cost is that of the centres returned.
+    """
+    moving, done = dict(centres), {}
+    for step in range(steps + 1):
+        for k, (n, summed, cost) in shared_step(rows, mean, std, moving).items():
+            old = moving[k]
+            new = np.where(n[:, None] > 0, summed / np.maximum(n, 1)[:, None], old)
+            if step == steps or np.sqrt(((new - old) ** 2).sum(axis=1)).max() <= tolerance:
+                done[k] = (old, cost)
+                del moving[k]
+            else:
+                moving[k] = new
+        if not moving:
+            break
+    return done
+
+
 def elbow(
-    df: DataFrame, features: Sequence[str] | None = None, *, max_k: int = 15, seed: int = 42, parallelism: int = 4
+    df: DataFrame,
+    features: Sequence[str] | None = None,
+    *,
+    max_k: int = 15,
+    seed: int = 42,
+    steps: int = 20,
+    tolerance: float = 1e-4,
+    sample: int = 2000,
 ) -> DataFrame:
-    """(k, wcss) for k = 1..max_k over standardised complete rows.
+    """(k, wcss) for k = 1..max_k over the complete rows, standardised by population moments.
 
-    Scaled vectors are kept while the models are fitted, ``parallelism`` at a time. k = 1 is the total sum of squares; all sums
-    are brought to population scaling.
+    All k take their Lloyd steps in the same scans, so the table is read once a step and not once for every
+    k and step. The first centres are drawn from about ``sample`` rows, chosen by a hash of their content,
+    far ones with a greater chance. k = 1 is the total sum of squares.
     """
     features = list(features or clustering_features(df))
-    scaler = Pipeline(stages=_vector_stages(features)).fit(_complete_rows(df, features).select(*features))
-    vectors = scaler.transform(_complete_rows(df, features).select(*features)).select("__scaled").persist()
-    try:
-        n = vectors.count()
-        if n < 2:
-            raise ValueError("the elbow table needs at least two complete rows")
-        deviations = scaler.stages[-1].std.toArray()
-        costs = [(1, float(n * (deviations > 0).sum()))]
-
-        def cost(k: int) -> tuple[int, float]:
-            model = KMeans(k=k, seed=seed, featuresCol="__scaled").fit(vectors)
-            return k, float(model.summary.trainingCost) * n / (n - 1)
-
-        with ThreadPool(parallelism) as pool:
-            costs += pool.map(inheritable_thread_target(df.sparkSession)(cost), range(2, max_k + 1), chunksize=1)
-    finally:
-        vectors.unpersist()
-    return df.sparkSession.createDataFrame(costs, "k int, wcss double")
+    rows = _complete_rows(df, features).select(*features)
+    n, mean, std = _moments(rows, features)
+    if n < 2:
+        raise ValueError("the elbow table needs at least two complete rows")
+    numbers = [F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(features)]
+    share = F.pmod(F.xxhash64(*numbers, F.monotonically_increasing_id()), F.lit(1 << 30)) < int(min(1.0, sample / n) * (1 << 30)) + 1
+    drawn = rows.where(share).select(*numbers).toPandas().to_numpy(dtype=np.float64)
+    if len(drawn) < max_k:
+        drawn = np.array([tuple(r) for r in rows.select(*numbers).limit(max(sample, max_k)).collect()], dtype=np.float64)
+    points = (drawn[np.lexsort(drawn.T)] - mean) / std
+    centres = {k: _spread_centres(points, k, seed + k) if k > 1 else np.zeros((1, len(features))) for k in range(1, max_k + 1)}
+    found = shared_lloyd(rows, mean, std, centres, steps=steps, tolerance=tolerance)
+    return df.sparkSession.createDataFrame([(k, found[k][1]) for k in sorted(found)], "k int, wcss double")

@@ -1,26 +1,33 @@
-"""Random search over tree parameters, scored by cross-validated MAE."""
+"""Random and adaptive search over tree parameters, scored by cross-validated MAE."""
 
 from __future__ import annotations
 
 import json
 import math
 import random
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+import numpy as np
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.operators.rows import with_fold
+from shelfcast.plans.ensembles import is_histogram_learner
 from shelfcast.plans.models import input_means, regression_pipeline
+from shelfcast.plans.parzen import STARTUP, Ranged, Sampler, better_choice
 from shelfcast.schema import PREDICTION, ROW_ID
 from shelfcast.session import cut_lineage
 
 
 @dataclass(frozen=True)
-class Ints:
+class Ints(Ranged):
+    """Whole numbers from ``low`` to ``high``; ``log`` draws their logarithms evenly."""
+
     low: int
     high: int
     log: bool = False
@@ -30,9 +37,19 @@ class Ints:
             return rng.randint(self.low, self.high)
         return round(math.exp(rng.uniform(math.log(self.low), math.log(self.high))))
 
+    def ends(self) -> tuple[float, float]:
+        low, high = self.low - 0.5, self.high + 0.5
+        return (math.log(low), math.log(high)) if self.log else (low, high)
+
+    def place(self, value: object) -> float:
+        return math.log(value) if self.log else float(value)
+
+    def value(self, place: float) -> int:
+        return min(max(round(math.exp(place) if self.log else place), self.low), self.high)
+
 
 @dataclass(frozen=True)
-class Floats:
+class Floats(Ranged):
     low: float
     high: float
     log: bool = False
@@ -42,9 +59,18 @@ class Floats:
             return rng.uniform(self.low, self.high)
         return math.exp(rng.uniform(math.log(self.low), math.log(self.high)))
 
+    def ends(self) -> tuple[float, float]:
+        return (math.log(self.low), math.log(self.high)) if self.log else (self.low, self.high)
+
+    def place(self, value: object) -> float:
+        return math.log(value) if self.log else float(value)
+
+    def value(self, place: float) -> float:
+        return min(max(math.exp(place) if self.log else place, self.low), self.high)
+
 
 @dataclass(frozen=True)
-class Fraction:
+class Fraction(Ranged):
     """A share of the features, which Spark takes as text."""
 
     low: float
@@ -53,6 +79,15 @@ class Fraction:
     def draw(self, rng: random.Random) -> str:
         return f"{rng.uniform(self.low, self.high):.4f}"
 
+    def ends(self) -> tuple[float, float]:
+        return self.low, self.high
+
+    def place(self, value: object) -> float:
+        return float(value)
+
+    def value(self, place: float) -> str:
+        return f"{place:.4f}"
+
 
 @dataclass(frozen=True)
 class Choice:
@@ -61,6 +96,15 @@ class Choice:
     def draw(self, rng: random.Random) -> object:
         return rng.choice(self.values)
 
+    def at(self, share: float) -> object:
+        return self.values[min(int(share * len(self.values)), len(self.values) - 1)]
+
+    def place(self, value: object) -> int:
+        return self.values.index(value)
+
+    def better(self, good: Sequence[int], bad: Sequence[int], choices: np.ndarray, quantiles: np.ndarray) -> object:
+        return self.values[better_choice(len(self.values), good, bad, choices)]
+
 
 # Fixed search ranges.
 RANDOM_FOREST_SPACE = {
@@ -80,6 +124,28 @@ BOOSTED_TREES_SPACE = {
     "minInfoGain": Floats(0.0, 1.0),
     "maxBins": Ints(10, 255),
 }
+HISTOGRAM_FOREST_SPACE = {
+    "numTrees": Ints(100, 2000),
+    "maxDepth": Ints(2, 32, log=True),
+    "minSamplesSplit": Ints(2, 16),
+    "minDataInLeaf": Ints(1, 16),
+    "bootstrap": Choice((True, False)),
+}
+LEAFWISE_SPACE = {
+    "rounds": Ints(100, 2000),
+    "learningRate": Floats(1e-3, 1e-1, log=True),
+    "numLeaves": Ints(2, 256),
+    "maxDepth": Ints(1, 64),
+    "minDataInLeaf": Ints(10, 100),
+    "lambdaL1": Floats(1e-8, 10.0, log=True),
+    "lambdaL2": Floats(1e-8, 10.0, log=True),
+    "featureFraction": Floats(0.4, 1.0),
+    "baggingFraction": Floats(0.4, 1.0),
+    "baggingFreq": Ints(1, 7),
+    "minGainToSplit": Floats(0.0, 1.0),
+    "maxBin": Ints(10, 255),
+    "minSumHessianInLeaf": Floats(1e-5, 10.0),
+}
 
 
 def draw_trials(space: Mapping[str, object], trials: int = 10, seed: int = 42) -> list[dict[str, object]]:
@@ -87,6 +153,81 @@ def draw_trials(space: Mapping[str, object], trials: int = 10, seed: int = 42) -
     return [{name: choice.draw(rng) for name, choice in space.items()} for _ in range(trials)]
 
 
+def _folded(df: DataFrame, label: str, features: Sequence[str], folds: int, row_key: Sequence[str]) -> DataFrame:
+    data = with_fold(df.where(F.col(label).isNotNull()), folds, row_key)
+    return cut_lineage(data.select(*dict.fromkeys(features), F.col(label).cast("double").alias(label), "fold"))
+
+
+def _means(regressor: Estimator, data: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    return {} if is_histogram_learner(regressor) else input_means(data, features)
+
+
+def _trial_table(df: DataFrame, settings: Sequence[dict[str, object]], losses: Sequence[float]) -> DataFrame:
+    rows = [(i, json.dumps(s), float(m)) for i, (s, m) in enumerate(zip(settings, losses, strict=True))]
+    return df.sparkSession.createDataFrame(rows, "trial int, params string, mae double").orderBy("mae", "trial")
+
+
+def optimise(
+    loss: Callable[[dict[str, object]], float],
+    space: Mapping[str, object],
+    *,
+    trials: int,
+    parallelism: int = 1,
+    seed: int = 42,
+    startup: int = STARTUP,
+    run: Callable | None = None,
+) -> Sampler:
+    """A sampler after ``trials`` trials, ``parallelism`` of which run at the same time.
+
+    The trials of a group are drawn one after the other, each with those before it pending, and their losses
+    are told when the group is done, so the result does not depend on which of them ends first.
+    """
+    sampler = Sampler(space, seed, startup)
+    with ThreadPool(parallelism) as pool:
+        while len(sampler.trials) < trials:
+            first = len(sampler.trials)
+            group = [sampler.ask() for _ in range(min(parallelism, trials - first))]
+            for i, found in enumerate(pool.map(run(loss) if run else loss, group, chunksize=1)):
+                sampler.tell(first + i, found)
+    return sampler
+
+
+def adaptive_search(
+    df: DataFrame,
+    regressor: Estimator,
+    features: Sequence[str],
+    space: Mapping[str, object],
+    *,
+    trials: int = 10,
+    folds: int = 3,
+    parallelism: int = 2,
+    row_key: Sequence[str] = (ROW_ID,),
+    seed: int = 42,
+    startup: int = STARTUP,
+) -> tuple[PipelineModel, DataFrame]:
+    """Like :func:`search`, but trials after the first ``startup`` are drawn near the good ones so far."""
+    label = regressor.getLabelCol()
+    data = _folded(df, label, features, folds, row_key)
+    pipeline = regression_pipeline(regressor, features, _means(regressor, data, features))
+    learner = pipeline.getStages()[-1]
+    evaluator = RegressionEvaluator(labelCol=label, predictionCol=PREDICTION, metricName="mae")
+
+    def params(setting: dict[str, object]) -> dict:
+        return {learner.getParam(name): value for name, value in setting.items()}
+
+    def loss(setting: dict[str, object]) -> float:
+        found = []
+        for i in range(folds):
+            model = pipeline.fit(data.where(F.col("fold") != i).drop("fold"), params(setting))
+            found.append(evaluator.evaluate(model.transform(data.where(F.col("fold") == i))))
+        return sum(found) / folds
+
+    threaded = inheritable_thread_target(df.sparkSession)
+    sampler = optimise(loss, space, trials=trials, parallelism=parallelism, seed=seed, startup=startup, run=threaded)
+    best = min(range(trials), key=lambda i: (sampler.losses[i], i))
+    return pipeline.fit(data.drop("fold"), params(sampler.trials[best])), _trial_table(df, sampler.trials, sampler.losses)
+
+
 def search(
     df: DataFrame,
     regressor: Estimator,
@@ -102,12 +243,12 @@ def search(
     """The best of ``trials`` random settings refitted on all rows, and the table (trial, params, mae)."""
     label = regressor.getLabelCol()
     settings = draw_trials(space, trials, seed)
-    maps = [{regressor.getParam(name): value for name, value in s.items()} for s in settings]
-    data = with_fold(df.where(F.col(label).isNotNull()), folds, row_key)
-    data = cut_lineage(data.select(*features, F.col(label).cast("double").alias(label), "fold"))
+    data = _folded(df, label, features, folds, row_key)
+    pipeline = regression_pipeline(regressor, features, _means(regressor, data, features))
+    learner = pipeline.getStages()[-1]
     validator = CrossValidator(
-        estimator=regression_pipeline(regressor, features, input_means(data, features)),
-        estimatorParamMaps=maps,
+        estimator=pipeline,
+        estimatorParamMaps=[{learner.getParam(name): value for name, value in s.items()} for s in settings],
         evaluator=RegressionEvaluator(labelCol=label, predictionCol=PREDICTION, metricName="mae"),
         numFolds=folds,
         foldCol="fold",
@@ -115,6 +256,4 @@ def search(
         seed=seed,
     )
     fitted = validator.fit(data)
-    rows = [(i, json.dumps(s), float(m)) for i, (s, m) in enumerate(zip(settings, fitted.avgMetrics, strict=True))]
-    table = df.sparkSession.createDataFrame(rows, "trial int, params string, mae double")
-    return fitted.bestModel, table.orderBy("mae", "trial")
+    return fitted.bestModel, _trial_table(df, settings, fitted.avgMetrics)
