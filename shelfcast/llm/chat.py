@@ -13,7 +13,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
-from shelfcast.llm.arrow import BATCH_BYTES, ship
+from shelfcast.llm.arrow import BATCH_BYTES
+from shelfcast.session import ship
 
 # The template: <|start|>role\n text <|end|>\n
 START, MIDDLE, END = "<|start|>", "\n", "<|end|>\n"
@@ -151,7 +152,7 @@ def format_conversations(turns: DataFrame, n_partitions: int | None = None) -> D
     order = [F.col("conv_id").asc_nulls_first(), F.col("turn").asc_nulls_first(), F.col("__content")]
     slim = turns.select(F.col("conv_id").cast("long").alias("conv_id"), "turn", "role", "text")
     n = n_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = slim.withColumn("__content", F.xxhash64("role", "text")).repartitionByRange(n, *order)
+    dealt = slim.withColumn("__content", F.xxhash64(F.coalesce("role", F.lit("\n")), F.lit("\n"), "text")).repartitionByRange(n, *order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, count = TaskContext.get().partitionId(), 0

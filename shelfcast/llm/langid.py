@@ -142,8 +142,9 @@ def held_out(id_column: Column) -> Column:
 
 
 def train(df: DataFrame, text: str = "text", label: str = "lang", id_column: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> Network | None:
-    """A network fitted on a bounded sample: about ``sample_docs`` documents of every language, chosen by
-    a hash of their text, with SAMPLE_WINDOWS windows spread over each whole text. None without labels.
+    """A network fitted on a bounded sample: about ``sample_docs`` different texts of every language, chosen by
+    a hash of the text, with SAMPLE_WINDOWS windows spread over each whole text. None without labels. The
+    share that is chosen goes by the different texts of a language, so one made of copies is learnt too.
 
     Held-out documents, null labels and texts without letters are left out. Only windows reach the driver.
     """
@@ -152,10 +153,11 @@ def train(df: DataFrame, text: str = "text", label: str = "lang", id_column: str
         F.col("label").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id"))
     )
     # As many rows as the network has outputs.
-    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    different = F.approx_count_distinct(F.xxhash64("text"), 0.02).alias("n")
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(different).collect()}
     if not counts:
         return None
-    bounds = F.create_map(*[F.lit(x) for label, n in counts.items() for x in (label, min(1.0, sample_docs / n))])
+    bounds = F.create_map(*[F.lit(x) for label, n in counts.items() for x in (label, min(1.0, sample_docs / max(n, 1)))])
     share = F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < F.element_at(bounds, F.col("label")) * (1 << 20)
     step = F.greatest(F.length("text") / SAMPLE_WINDOWS, F.lit(1))
     pieces = F.transform(
@@ -185,21 +187,21 @@ def identify(df: DataFrame, network: Network | None, text: str = "text", carry:
     """``carry``, ``lang_pred`` and ``score`` (probability of that language) for every whole text.
 
     A text's log probabilities are the mean of those of its windows, weighted by their bytes. Null texts
-    and texts without a letter are ``und`` with score 0, and so is everything if nothing was learnt.
-    Rows stay where they are; input columns with the names of results are not carried.
+    and texts without a letter are ``und`` with score 0, and so is everything if nothing was learnt. Texts of
+    any length are read whole, repeated rows are answered each, an empty table gives no rows. Rows stay where
+    they are; input columns with the names of results are not carried.
     """
 
     def make(network=network):
         tables = network.tables() if network else []
 
         def run(texts: pa.Array) -> list[pa.Array]:
-            found: list[tuple[str, float]] = []
-            for value in texts:
-                content = value.as_py()
-                if network is None or content is None or not _LETTER.search(content):
-                    found.append((UNDETERMINED, 0.0))
-                    continue
-                found.append(_whole_text(network, tables, content.encode()))
+            contents = texts.to_pylist()
+            known = [i for i, t in enumerate(contents) if network is not None and t is not None and _LETTER.search(t)]
+            found = [(UNDETERMINED, 0.0)] * len(contents)
+            if known:
+                for i, answer in zip(known, whole_texts(network, tables, [contents[i].encode() for i in known])):
+                    found[i] = answer
             return [pa.array([x for x, _ in found], pa.string()), pa.array([x for _, x in found], pa.float64())]
 
         return run
@@ -207,11 +209,15 @@ def identify(df: DataFrame, network: Network | None, text: str = "text", carry:
     return map_column(df, text, carry, [StructField("lang_pred", StringType()), StructField("score", DoubleType())], make)
 
 
-def _whole_text(network: Network, tables: list, raw: bytes) -> tuple[str, float]:
-    rows = windows_of(raw)
-    sizes = np.full(len(rows), WINDOW, dtype=np.float64)
-    sizes[-1] = len(raw) - WINDOW * (len(rows) - 1)
-    mean = (network.log_probabilities(rows, tables) * sizes[:, None]).sum(axis=0) / sizes.sum()
-    probability = _softmax(mean[None, :])[0]
-    best = int(probability.argmax())
-    return network.languages[best], float(min(1.0, probability[best]))
+def whole_texts(network: Network, tables: list, raw: Sequence[bytes]) -> list[tuple[str, float]]:
+    """(language, probability) of every text, the windows of all of them scored together."""
+    rows = [windows_of(r) for r in raw]
+    counts = np.array([len(r) for r in rows])
+    sizes = np.full(counts.sum(), WINDOW, dtype=np.float64)
+    ends = np.cumsum(counts)
+    sizes[ends - 1] = [len(r) - WINDOW * (n - 1) for r, n in zip(raw, counts)]
+    logs = network.log_probabilities(np.concatenate(rows), tables) * sizes[:, None]
+    mean = np.add.reduceat(logs, ends - counts, axis=0) / np.array([len(r) for r in raw])[:, None]
+    probability = _softmax(mean)
+    best = probability.argmax(axis=1)
+    return [(network.languages[b], float(min(1.0, p[b]))) for b, p in zip(best, probability)]

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfcast.llm.text import SPACES, whole, words
+from shelfcast.operators.joins import attach
+from shelfcast.schema import N_ROWS
 from shelfcast.session import cut_lineage
 
 # Fixed values of the base rules.
@@ -14,17 +16,20 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
 
-#: A document fails the soft rules beyond these shares, but only where its host mostly fails them too.
+#: Limits of the soft rules at a host as good as the others: symbols a word character, repeated lines a line.
 MAX_SYMBOL_SHARE = 0.1
-MAX_DUP_LINE_SHARE = 0.3
+MAX_DUP_LINE_SHARE = 0.6
 
-#: A host is condemned under a rule if its shrunken failure rate is over this.
-MAX_HOST_RATE = 0.5
+#: A host's limits are its usual ones divided by how often its documents fail against the mean of all
+#: hosts; by this number at most, and multiplied by it at most.
+MAX_STRICTNESS = 2.0
 
 #: Strength of the prior, in documents, where the hosts' rates do not differ at all.
 MAX_PRIOR = 1e6
 
-RULES = ("base", "symbols", "dup_lines")
+#: What a soft rule counts, its limit, and what the limit is a share of.
+SOFT_RULES = {"symbols": ("n_symbols", MAX_SYMBOL_SHARE, "word_chars"), "dup_lines": ("n_dup_lines", MAX_DUP_LINE_SHARE, "n_lines")}
+RULES = ("base", *SOFT_RULES)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
 
 
@@ -85,59 +90,73 @@ def rule_failures() -> dict[str, Column]:
     """Failure of each rule as a boolean over the counts of :func:`text_counts`."""
     return {
         "base": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")),
-        "symbols": F.col("n_symbols") > MAX_SYMBOL_SHARE * F.col("word_chars"),
-        "dup_lines": F.col("n_dup_lines") > MAX_DUP_LINE_SHARE * F.col("n_lines"),
+        **{rule: F.col(count) > limit * F.col(of) for rule, (count, limit, of) in SOFT_RULES.items()},
     }
 
 
-def host_rates(failed: DataFrame, host: str, rules: Sequence[str] = RULES) -> DataFrame:
-    """(host, n_docs, rate_<rule>): failure rates shrunk by a beta prior fitted to all hosts.
+def host_rates(failed: DataFrame, host: str, rules: Sequence[str] = RULES) -> tuple[DataFrame, dict[str, float]]:
+    """(host, n_rows, rate_<rule>): failure rates shrunk by a beta prior fitted to all hosts; the priors' means.
 
     The prior of a rule has the mean and the variance of the hosts' raw rates (method of moments). Every
     task sums its documents first, so a host with a third of them sends one row per task.
     """
-    n = F.col("n_docs")
+    n = F.col(N_ROWS)
     hosts = cut_lineage(
         failed.where(F.col(host).isNotNull())
         .groupBy(host)
-        .agg(F.count(F.lit(1)).alias("n_docs"), *[F.count_if(F.col(f"fails_{r}")).alias(f"n_{r}") for r in rules])
+        .agg(F.count(F.lit(1)).alias(N_ROWS), *[F.count_if(F.col(f"fails_{r}")).alias(f"n_{r}") for r in rules])
     )
     moments = hosts.agg(
         *[F.avg(F.col(f"n_{r}") / n).alias(f"mean_{r}") for r in rules],
         *[F.var_pop(F.col(f"n_{r}") / n).alias(f"var_{r}") for r in rules],
     ).first()
-    rates = []
+    rates, means = [], {}
     for r in rules:
         mean, var = moments[f"mean_{r}"] or 0.0, moments[f"var_{r}"] or 0.0
         strength = min(max(mean * (1 - mean) / var - 1, 1.0), MAX_PRIOR) if var > 0 else MAX_PRIOR
+        means[r] = mean
         rates.append(((F.col(f"n_{r}") + mean * strength) / (n + strength)).alias(f"rate_{r}"))
-    return hosts.select(host, "n_docs", *rates)
+    return hosts.select(host, N_ROWS, *rates), means
 
 
-def judge(df: DataFrame, text: str = "text", host: str = "source", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``carry``, ``host``, the counts, ``base_failed``, ``host_bad`` (any rule) and ``kept`` per document.
+def _strictness(rates: dict[str, Column], means: dict[str, float], rule: str) -> Column:
+    """How much closer a host's limit for a soft rule is: its rates of that rule and of the base rules against
+    the means, rounded so that equal hosts are exactly 1."""
+    excess = F.lit(1.0)
+    for r in (rule, "base"):
+        if means[r] > 0:
+            excess = excess * (rates[r] / F.lit(means[r]))
+    return F.round(F.greatest(F.least(excess, F.lit(MAX_STRICTNESS)), F.lit(1 / MAX_STRICTNESS)), 6)
+
 
-    A document goes if it fails the base rules, or if it fails a soft rule under which its host is
-    condemned: alone, the soft rules are too weak to condemn a clean document, and a bad host alone does
-    not condemn the documents that pass. Counts are written once to the shared folder, so texts are read
-    once. Documents without a host have no host verdict; input columns with the names of results are
-    not carried.
+def judge(df: DataFrame, text: str = "text", host: str = "source", carry: Sequence[str] = ("doc_id",)) -> DataFrame:
+    """``carry``, ``host``, the counts, ``base_failed``, ``host_bad`` and ``kept`` per document.
+
+    A document goes if it fails the base rules, or a soft rule at the limit of its host: a host whose
+    documents fail more often than others' is trusted less, and its limits are closer. ``host_bad`` tells
+    that a limit is as close as it gets. Counts are written once to the shared folder, so texts are read
+    once. Documents without a host have the limits of a host like the others. Null and empty texts have no
+    words and fail; repeated rows are judged each and count each for their host; an empty table gives no
+    rows; input columns with the names of results are not carried. Rows of a host that holds very many are
+    spread over tasks where its verdict meets them.
     """
     names = (*COUNTS, *[f"fails_{r}" for r in RULES], "base_failed", "host_bad", "kept", "__host")
-    keep = [c for c in carry if c not in names]
+    keep = [c for c in dict.fromkeys(carry) if c not in names]
     hosted = df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__source_text"), F.col(f"`{host}`").alias("__host"))
     counted = text_counts(hosted, "__source_text", [*keep, "__host"])
     failed = cut_lineage(counted.withColumns({f"fails_{r}": c for r, c in rule_failures().items()}))
-    verdicts = host_rates(failed, "__host").select(
-        "__host", *[(F.col(f"rate_{r}") > MAX_HOST_RATE).alias(f"bad_{r}") for r in RULES]
-    )
-    joined = failed.join(verdicts, "__host", "left")
-    bad = {r: F.coalesce(f"bad_{r}", F.lit(False)) for r in RULES}
-    soft = (bad["symbols"] & F.col("fails_symbols")) | (bad["dup_lines"] & F.col("fails_dup_lines"))
+    rates, means = host_rates(failed, "__host")
+    by_rule = {r: F.col(f"rate_{r}") for r in RULES}
+    verdicts = cut_lineage(rates.select("__host", N_ROWS, *[_strictness(by_rule, means, r).alias(f"strict_{r}") for r in SOFT_RULES]))
+    joined = attach(failed, verdicts, ["__host"], weights=verdicts, how="left")
+    strict = {r: F.coalesce(f"strict_{r}", F.lit(1.0)) for r in SOFT_RULES}
+    soft = F.lit(False)
+    for rule, (count, limit, of) in SOFT_RULES.items():
+        soft = soft | (F.col(count) * strict[rule] > limit * F.col(of))
     return joined.select(
         *[F.col(f"`{c}`") for c in keep],
         *COUNTS,
         F.col("fails_base").alias("base_failed"),
-        (bad["base"] | bad["symbols"] | bad["dup_lines"]).alias("host_bad"),
+        (F.greatest(*strict.values()) >= MAX_STRICTNESS).alias("host_bad"),
         (~(F.col("fails_base") | soft)).alias("kept"),
     )

@@ -164,7 +164,7 @@ counts AS (
   FROM split LEFT JOIN covered USING (r)),
 failed AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base, n_symbols > 0.1 * word_chars AS symbols,
-    n_dup_lines > 0.3 * n_lines AS dup_lines FROM counts),
+    n_dup_lines > 0.6 * n_lines AS dup_lines FROM counts),
 hosts AS (
   SELECT source, count(*) AS n, count(*) FILTER (base) AS b, count(*) FILTER (symbols) AS s, count(*) FILTER (dup_lines) AS d
   FROM failed WHERE source IS NOT NULL GROUP BY source),
@@ -176,12 +176,15 @@ priors AS (
     CASE WHEN vb > 0 THEN least(greatest(mb * (1 - mb) / vb - 1, 1), 1e6) ELSE 1e6 END AS kb,
     CASE WHEN vs > 0 THEN least(greatest(ms * (1 - ms) / vs - 1, 1), 1e6) ELSE 1e6 END AS ks,
     CASE WHEN vd > 0 THEN least(greatest(md * (1 - md) / vd - 1, 1), 1e6) ELSE 1e6 END AS kd FROM moments),
+rates AS (
+  SELECT source, coalesce((b + mb * kb) / (n + kb) / nullif(mb, 0), 1) AS eb, coalesce((s + ms * ks) / (n + ks) / nullif(ms, 0), 1) AS es,
+    coalesce((d + md * kd) / (n + kd) / nullif(md, 0), 1) AS ed FROM hosts, priors),
 verdicts AS (
-  SELECT source, (b + mb * kb) / (n + kb) > 0.5 AS bad_b, (s + ms * ks) / (n + ks) > 0.5 AS bad_s,
-    (d + md * kd) / (n + kd) > 0.5 AS bad_d FROM hosts, priors)
+  SELECT source, round(greatest(least(es * eb, 2.0), 0.5), 6) AS strict_s, round(greatest(least(ed * eb, 2.0), 0.5), 6) AS strict_d FROM rates)
 SELECT doc_id, n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words, base AS base_failed,
-  coalesce(bad_b OR bad_s OR bad_d, false) AS host_bad,
-  NOT (base OR coalesce(bad_s AND symbols, false) OR coalesce(bad_d AND dup_lines, false)) AS kept
+  coalesce(greatest(strict_s, strict_d) >= 2, false) AS host_bad,
+  NOT (base OR n_symbols * coalesce(strict_s, 1) > CAST(0.1 AS DOUBLE) * word_chars
+    OR n_dup_lines * coalesce(strict_d, 1) > CAST(0.6 AS DOUBLE) * n_lines) AS kept
 FROM failed LEFT JOIN verdicts USING (source)""",
 )
 def op7_quality_rules(spark: SparkSession, tables: str) -> DataFrame:
@@ -286,7 +289,7 @@ def _sql_fold(name: str, start: str, tree: str) -> str:
     f"""
 WITH RECURSIVE rows AS (
   SELECT row_number() OVER () AS r, doc_id, CASE WHEN lang IS NULL THEN '' ELSE '+' || lang END AS g, {_sql_leaf("n_chars")} AS leaf,
-    CASE WHEN {_sql_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_sql_leaf("(CAST(n_chars AS HUGEINT) + 1)")} ELSE {_sql_leaf("n_chars")} END AS shown
+    CASE WHEN doc_id IS NOT NULL AND {_sql_crc32("CAST(doc_id AS VARCHAR)")} % 7 = 0 THEN {_sql_leaf("(CAST(n_chars AS HUGEINT) + 1)")} ELSE {_sql_leaf("n_chars")} END AS shown
   FROM documents),
 leaves AS (
   SELECT r, doc_id, g, leaf AS h, shown AS cur, '' AS proof, count(*) OVER (PARTITION BY g) AS n,

@@ -11,12 +11,12 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from shelfcast.llm import viterbi
-from shelfcast.llm.arrow import BATCH_BYTES, map_columns, ship
+from shelfcast.llm.arrow import BATCH_BYTES, map_columns
 from shelfcast.llm.ranks import COUNT, INDEX, ranked
 from shelfcast.llm.text import SPACES
 from shelfcast.operators.joins import attach
 from shelfcast.schema import N_ROWS
-from shelfcast.session import cut_lineage
+from shelfcast.session import cut_lineage, ship
 
 #: Rows of a piece of a conversation: what a task holds of one at once.
 CHUNK = 4096

@@ -9,6 +9,8 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shelfcast.llm.text import whole
+from shelfcast.operators.joins import attach
+from shelfcast.schema import N_ROWS
 from shelfcast.session import cut_lineage
 
 # Kinds in the order of ties, their patterns and least lengths. The keyword of `assign` is
@@ -79,13 +81,14 @@ def _candidates(scanned: DataFrame) -> DataFrame:
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
-    """(hash, n_owners, n_repositories) over the whole corpus.
+    """(hash, n_rows, n_owners, n_repositories) over the whole corpus.
 
-    Candidates are reduced to distinct (hash, owner, repository) inside each task first, so a string that
-    a third of the corpus holds arrives as a few rows.
+    Candidates are reduced to one row for each (hash, owner, repository) inside each task first, so a string
+    that a third of the corpus holds arrives as a few rows.
     """
-    held = candidates.select("hash", "__owner", "__repository").distinct()
+    held = candidates.groupBy("hash", "__owner", "__repository").agg(F.count(F.lit(1)).alias(N_ROWS))
     return held.groupBy("hash").agg(
+        F.sum(N_ROWS).alias(N_ROWS),
         F.count_distinct("__owner").alias("n_owners"),
         F.count_distinct("__owner", "__repository").alias("n_repositories"),
     )
@@ -101,11 +104,16 @@ def find_secrets(
     mix letters and digits (kind ``owned``) are added where that is so and no base span overlaps them:
     the same string at several owners is an example that people copy. A repository is one ``repository``
     value of an owner. Offsets are code points, the end is exclusive. Null and empty texts find nothing,
-    unknown owners count as one owner, and repeated rows are scanned each.
+    unknown owners count as one owner, repeated rows are scanned each, and an empty table gives no rows. Whole
+    texts are scanned, whatever their length. An input column called ``found`` is not carried.
+
+    A string that very many rows hold is spread over tasks where it meets its owners.
     """
+    carry = [c for c in dict.fromkeys(carry) if c != "found"]
     scanned = _scanned(df, text, owner, repository, carry)
     candidates = cut_lineage(_candidates(scanned).select("__row", "__owner", "__repository", "rank", "kind", "start", "end", F.md5("value").alias("hash")))
-    judged = candidates.join(ownership(candidates), "hash")
+    held = cut_lineage(ownership(candidates))
+    judged = attach(candidates, held, ["hash"], weights=held)
     # Windows within one text: does a base span reach into this one from the left or start inside it?
     is_base, text_rows = F.col("rank") < len(BASE), Window.partitionBy("__row")
     to_here = text_rows.orderBy(F.col("start")).rangeBetween(Window.unboundedPreceding, Window.currentRow)

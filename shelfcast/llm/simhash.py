@@ -13,6 +13,8 @@ from pyspark.sql.types import LongType, StructField
 
 from shelfcast.llm.arrow import map_column
 from shelfcast.llm.components import connected_components
+from shelfcast.operators.joins import attach
+from shelfcast.schema import N_ROWS
 from shelfcast.session import cut_lineage
 
 SEED = 42
@@ -127,6 +129,7 @@ def near_duplicates(
     shingle: int = 3,
     max_bits: int = 2,
     carry: Sequence[str] = ("doc_id",),
+    only_first: bool = False,
 ) -> DataFrame:
     """``carry``, ``fingerprint`` (16 hexadecimal digits), ``component_id`` (least id reachable through
     links of at most ``max_bits`` bits, itself included) and ``is_first`` (one row of each group).
@@ -134,8 +137,12 @@ def near_duplicates(
     Rows and fingerprints are written once to the shared folder. Equal fingerprints are one point in the
     search, so copies are never paired with each other. Null and empty texts have fingerprint zero and
     link like others; null ids sort after all others, a group without any has a null ``component_id``;
-    repeated rows belong to one group and only one of them is first. Input columns with the names of
-    results are not carried.
+    repeated rows belong to one group and only one of them is first; an empty table gives no rows. Input
+    columns with the names of results are not carried. Rows of a fingerprint that very many have are spread
+    over tasks.
+
+    ``only_first`` returns the first row of each group alone, with ``carry`` and ``fingerprint``; what is
+    carried then takes no part in the decision.
     """
     added = ("fingerprint", "component_id", "is_first")
     kept = [c for c in dict.fromkeys(carry) if c not in added]
@@ -144,18 +151,27 @@ def near_duplicates(
         *[F.col(f"`{c}`").alias(n) for c, n in zip(kept, names)], F.col(f"`{id_column}`").alias("__id"), F.col(f"`{text}`").alias("__text")
     )
     hashed = with_fingerprints(source, "__text", [*names, "__id"], shingle)
-    rows = cut_lineage(hashed.withColumn(_ROW, F.monotonically_increasing_id()))
+    rows = cut_lineage(hashed.withColumn(_ROW, F.monotonically_increasing_id()).withColumnRenamed(_FINGERPRINT, "fp"))
     first = F.min(F.struct(F.col("__id").isNull().alias("unknown"), F.col("__id").alias("id"), F.col(_ROW).alias("row")))
-    prints = cut_lineage(rows.groupBy(F.col(_FINGERPRINT).alias("fp")).agg(first.alias("first")))
+    prints = cut_lineage(rows.groupBy("fp").agg(first.alias("first"), F.count(F.lit(1)).alias(N_ROWS)))
     roots = connected_components(fingerprint_links(prints.select("fp"), max_bits))
-    rooted = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = prints.join(roots, prints["fp"] == roots["node"], "left").select("fp", "first", N_ROWS, F.coalesce("root", "fp").alias("root"))
     rooted = cut_lineage(rooted)
     groups = rooted.groupBy("root").agg(F.min("first").alias("least"))
-    resolved = cut_lineage(rooted.join(groups, "root").select("fp", "least"))
-    joined = rows.join(resolved, rows[_FINGERPRINT] == resolved["fp"])
+    resolved = cut_lineage(rooted.join(groups, "root").select("fp", "least", N_ROWS))
+    if only_first:
+        # Only numbers meet in the join; the rows to drop are taken out of those stored by their number.
+        dropped = attach(rows.select("fp", _ROW), resolved, ["fp"], weights=resolved).where(F.col(_ROW) != F.col("least.row"))
+        joined = rows.join(cut_lineage(dropped.select(_ROW)), _ROW, "left_anti")
+        return joined.select(*[F.col(n).alias(c) for c, n in zip(kept, names)], _hexadecimal(F.col("fp")).alias("fingerprint"))
+    joined = attach(rows, resolved, ["fp"], weights=resolved)
     return joined.select(
         *[F.col(n).alias(c) for c, n in zip(kept, names)],
-        F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+        _hexadecimal(F.col("fp")).alias("fingerprint"),
         F.col("least.id").alias("component_id"),
         (F.col(_ROW) == F.col("least.row")).alias("is_first"),
     )
+
+
+def _hexadecimal(fingerprint: Column) -> Column:
+    return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))

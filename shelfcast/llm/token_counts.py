@@ -53,6 +53,7 @@ class Counter:
 
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             # Sentence pieces see spaces across words: only whole texts are safe there.
+            self.pieces = lambda text: iter([text])
             self.chunks = lambda text: [text] if text else []
             self.lengths = lambda texts: [len(ids) for ids in model.encode(texts, num_threads=1)]
         else:
@@ -61,6 +62,7 @@ class Counter:
             model = Tokenizer.from_file(path)
             model.no_truncation()
             model.no_padding()
+            self.pieces = pieces
             self.chunks = _CHUNK.findall
             self.lengths = lambda texts: [len(e) for e in model.encode_batch_fast(texts, add_special_tokens=False)]
         self.known: dict[str, int] = {}
@@ -102,7 +104,7 @@ class Counter:
             owners.clear()
 
         for i, text in enumerate(texts):
-            for piece in pieces(text or ""):
+            for piece in self.pieces(text or ""):
                 batch.append(self.chunks(piece))
                 owners.append(i)
                 size += len(piece)
@@ -124,7 +126,8 @@ def count_tokens(df: DataFrame, tokenizer: str, text: str = "text", carry: Seque
     A worker cuts its texts into chunks at safe boundaries, encodes the distinct chunks it has not met
     in calls of equal bytes and adds up their lengths. Rows stay where they are. Special strings inside
     texts count as the library handles them by default. Null counts as the empty text: no bytes, no
-    tokens. Input columns with the names of results are not carried.
+    tokens; repeated rows are counted each, an empty table gives no rows. Input columns with the names of
+    results are not carried.
     """
     names = ("n_bytes", "n_tokens", "over_limit")
     sized = df.withColumn("n_bytes", n_bytes(F.col(f"`{text}`")))

@@ -12,11 +12,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, LongType, StringType, StructField, StructType
 
-from shelfcast.llm.arrow import BATCH_BYTES, ship
+from shelfcast.llm.arrow import BATCH_BYTES
 from shelfcast.llm.text import whole
 from shelfcast.operators.joins import attach
 from shelfcast.schema import N_ROWS
-from shelfcast.session import cut_lineage, new_path
+from shelfcast.session import cut_lineage, new_path, ship
 
 # The field lists of the two ARC versions, as they stand in an archive's version block.
 ARC_FIELDS = {
