@@ -31,7 +31,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by fingerprints within two bits: that with the smallest id."""
-    return simhash.near_duplicates(docs, shingle=3, max_bits=2, carry=COLUMNS).where("is_first").select(*COLUMNS)
+    return simhash.near_duplicates(docs, shingle=3, max_bits=2, carry=COLUMNS, only_first=True).select(*COLUMNS)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
