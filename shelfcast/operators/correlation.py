@@ -3,57 +3,75 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import product
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame, functions as F
 
 from shelfcast.functions.values import as_number
-from shelfcast.session import cut_lineage
 
 _MATRIX = "a string, b string, corr double"
 
 
 def correlation_matrix(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
-    """(a, b, corr) for every ordered pair of the remaining columns, in one aggregate over all rows.
+    """(a, b, corr) for every ordered pair of the remaining columns, in one pass over all rows.
 
-    Each row is turned into one (column, value, all values) entry per column inside its task, which
-    leaves a grouping with as many groups as columns and one running sum per pair; a single aggregate
-    of all pairs would be too large a method for the JVM to compile. The bare numbers are written once;
-    the sums are taken around the mean of each column, which keeps their differences accurate. Null for a constant column and for one holding nulls, where the coefficient
-    is undefined.
+    Tasks keep the count, means and products of differences of their rows and update them a batch at a time
+    with one matrix product; a task hands on a single row, and these are merged in the same way, which
+    keeps small differences of large numbers accurate. Null for a constant column and for one holding
+    nulls, where the coefficient is undefined.
     """
     types = {f.name: f.dataType for f in df.schema.fields if f.name not in exclude}
     names = list(types)
-    numbers = cut_lineage(df.select(*[as_number(c, t).cast("double").alias(c) for c, t in types.items()]))
-    means = numbers.agg(*[F.avg(c).alias(c) for c in names]).first()
-    near = {c: means[c] if means[c] is not None and math.isfinite(means[c]) else 0.0 for c in names}
-    moved = F.array(*[F.col(c) - F.lit(near[c]) for c in names])
-    sums = (
-        numbers.select(F.posexplode(moved).alias("i", "x"), moved.alias("v"))
-        .groupBy("i")
-        .agg(
-            F.count(F.lit(1)).alias("rows"),
-            F.count("x").alias("present"),
-            F.sum("x").alias("s"),
-            *[F.sum(F.col("x") * F.col("v")[j]).alias(f"p{j}") for j in range(len(names))],
-        )
-        .collect()
-    )
-    at = {r["i"]: r for r in sums}
-    usable = [bool(at) and at[i]["present"] == at[i]["rows"] and bool(at[i][f"p{i}"]) for i in range(len(names))]
+    width = len(names)
+    numbers = df.select(*[as_number(c, t).cast("double").alias(f"c{i}") for i, (c, t) in enumerate(types.items())])
 
-    def spread(i: int, j: int) -> float:
-        return at[i][f"p{j}"] - at[i]["s"] * at[j]["s"] / at[i]["rows"]
+    # Defined in here and using no function of this package, so that it travels to workers as it is.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, mean, products, nulls = 0, np.zeros(width), np.zeros((width, width)), np.zeros(width)
+        least, most = np.full(width, np.inf), np.full(width, -np.inf)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            nulls += [c.null_count for c in batch.columns]
+            values = np.stack([pc.fill_null(c, 0.0).to_numpy(zero_copy_only=False) for c in batch.columns], axis=1)
+            with np.errstate(invalid="ignore"):
+                own = values.mean(axis=0)
+                moved = values - own
+                step, m = own - mean, len(values)
+                products += moved.T @ moved + np.outer(step, step) * (n * m / (n + m))
+                mean += step * (m / (n + m))
+            n += m
+            least, most = np.minimum(least, values.min(axis=0)), np.maximum(most, values.max(axis=0))
+        if n:
+            sums = (mean, products, nulls, least, most)
+            columns = [pa.array([n], pa.int64()), *(pa.array([x.ravel()], pa.list_(pa.float64())) for x in sums)]
+            yield pa.RecordBatch.from_arrays(columns, names=fields)
 
+    fields = ["n", "mean", "products", "nulls", "least", "most"]
+    parts = numbers.mapInArrow(run, "n long, " + ", ".join(f"{c} array<double>" for c in fields[1:])).collect()
+    n, mean, products, nulls = 0, np.zeros(width), np.zeros((width, width)), np.zeros(width)
+    least, most = np.full(width, np.inf), np.full(width, -np.inf)
+    for r in parts:
+        step, m = np.array(r["mean"]) - mean, r["n"]
+        products += np.array(r["products"]).reshape(width, width) + np.outer(step, step) * (n * m / (n + m))
+        mean += step * (m / (n + m))
+        nulls += r["nulls"]
+        n += m
+        least, most = np.minimum(least, r["least"]), np.maximum(most, r["most"])
+    # Rounding alone must not make a constant column vary.
+    usable = [n > 0 and not nulls[i] and least[i] != most[i] for i in range(width)]
     rows = []
     for i, j in product(range(len(names)), repeat=2):
         value = None
         if usable[i] and usable[j]:
-            norm = math.sqrt(spread(i, i) * spread(j, j))
-            value = spread(i, j) / norm if norm else None
+            norm = math.sqrt(products[i, i] * products[j, j])
+            value = float(products[i, j] / norm) if norm else None
         rows.append((names[i], names[j], value))
     return df.sparkSession.createDataFrame(rows, _MATRIX)
 

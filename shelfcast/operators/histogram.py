@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from shelfcast.functions.values import as_integer
 from shelfcast.operators.joins import attach
 from shelfcast.schema import N_ROWS, QUANTITY
+from shelfcast.session import cut_lineage
 
 
 def _log2_bins(n: Column) -> Column:
@@ -86,9 +87,8 @@ def grouped_histogram(
     """
     types = {f.name: f.dataType for f in df.schema.fields}
     value = as_integer(column, types[column]).alias("__value")
-    reduced = (
-        df.where(F.col(key).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("__n"))
-    )
+    # Stored, as it gives the limits, the weights of the join and the rows that are placed.
+    reduced = cut_lineage(df.where(F.col(key).isNotNull()).groupBy(key, value).agg(F.count(F.lit(1)).alias("__n")))
     limits = reduced.groupBy(key).agg(
         F.min("__value").alias("__lo"),
         F.max("__value").alias("__hi"),

@@ -13,14 +13,14 @@ from shelfcast.session import cut_lineage
 HOT_ROWS = 1_000_000
 
 
-def hot_keys(weights: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS) -> DataFrame:
+def hot_keys(weights: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROWS, path: str | None = None) -> DataFrame:
     """The keys of ``weights`` (keys + n_rows) over ``hot_rows`` and the number of parts each is split into.
 
     There are at most rows / ``hot_rows`` of them. The list is stored, so Spark knows its bytes and decides
     by them whether to broadcast it.
     """
     parts = F.ceil(F.col(N_ROWS) / F.lit(hot_rows)).cast("int").alias("__parts")
-    return cut_lineage(weights.where(F.col(N_ROWS) > hot_rows).select(*keys, parts))
+    return cut_lineage(weights.where(F.col(N_ROWS) > hot_rows).select(*keys, parts), path)
 
 
 def attach(

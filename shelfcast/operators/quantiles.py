@@ -8,6 +8,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+#: Rows of an interval whose values are looked at themselves.
+FEW = 10_000
+
 
 @dataclass
 class _Target:
@@ -39,8 +42,8 @@ def exact_quantiles(
     Each round asks Spark for approximate quantiles just below and above every rank, then counts the
     rows below, at and between them. Either an end point is the answer or the open interval between
     them, some ``4 * error`` of the rows, is the next round's input. Only counts and end points reach
-    the driver. A bracket that misses its rank is replaced by the interval next to it, so the answer
-    is exact whatever the sketch returned.
+    the driver, and in the end the values of an interval of at most FEW rows. A bracket that misses its rank
+    is replaced by the interval next to it, so the answer is exact whatever the sketch returned.
     """
     df = df.select(*dict.fromkeys(columns))
     sizes = df.agg(*[F.count(c).alias(c) for c in df.columns]).first()
@@ -49,11 +52,23 @@ def exact_quantiles(
     ]
     open_targets = [t for t in targets if sizes[t.column]]
     while open_targets:
-        _narrow(df, open_targets, error)
-        open_targets = [t for t in open_targets if t.answer is None]
+        few = [t for t in open_targets if t.inside <= FEW]
+        if few:
+            _finish(df, few)
+        many = [t for t in open_targets if t.inside > FEW]
+        if many:
+            _narrow(df, many, error)
+        open_targets = [t for t in many if t.answer is None]
     return {(t.column, t.p): t.answer for t in targets}
 
 
+def _finish(df: DataFrame, targets: list[_Target]) -> None:
+    """The answers of intervals with few rows, from their sorted values."""
+    values = df.agg(*[F.sort_array(F.collect_list(t.inner())).alias(f"t{i}") for i, t in enumerate(targets)]).first()
+    for i, t in enumerate(targets):
+        t.answer = values[f"t{i}"][t.rank - t.below - 1]
+
+
 def _narrow(df: DataFrame, targets: list[_Target], error: float) -> None:
     inner = df.select(*[t.inner().alias(f"t{i}") for i, t in enumerate(targets)])
     asked = [_around(t, error) for t in targets]

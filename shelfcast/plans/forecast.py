@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from shelfcast.functions.values import array_mean
 from shelfcast.operators.asof import lags_asof, means_asof, sample_days
 from shelfcast.operators.calendar import with_calendar, with_holiday_flag
-from shelfcast.operators.daily import daily
+from shelfcast.operators.daily import daily, daily_base, roll_up
 from shelfcast.operators.evaluation import regression_metrics
 from shelfcast.operators.joins import attach, attach_stored, hot_keys, with_actuals
+from shelfcast.operators.rows import concat
 from shelfcast.plans.clusters import assign_clusters
 from shelfcast.plans.models import predict
 from shelfcast.schema import (
@@ -30,7 +31,7 @@ from shelfcast.schema import (
     lag_name,
     sma_name,
 )
-from shelfcast.session import cut_lineage, drop_path, new_path
+from shelfcast.session import cut_lineage, new_path
 from shelfcast.sources.sales import read_sales_csv, write_forecast
 
 
@@ -50,7 +51,7 @@ def serving_features(
     hot pairs split, so neither many samples of one SKU nor a long history meets in one task. Every
     sample is kept; a null key leaves its columns null.
     """
-    sku_days = sample_days(samples, SKU)
+    sku_days = cut_lineage(sample_days(samples, SKU))
     recent = lags_asof(sku_days, daily_sku, lags=lags, inclusive=inclusive)
     out = attach(samples, recent, [SKU, DATE], weights=sku_days, how="left")
     category_days = sample_days(samples, CATEGORY)
@@ -77,31 +78,33 @@ def _day():
     return F.struct(DATE, F.col(PRICE).cast("double").alias(PRICE), F.col(QUANTITY).cast("double").alias(QUANTITY))
 
 
-def _advance(state: DataFrame, known: list[DataFrame], key: str, k: int) -> DataFrame:
-    """The state with the days of ``known`` (key, date, price, quantity) in front, cut to ``k`` again.
+def _known_days(days: DataFrame, key: str) -> DataFrame:
+    """(key, days) of a table with at most a few rows for any key."""
+    return days.where(F.col(key).isNotNull()).groupBy(key).agg(F.collect_list(_day()).alias("days"))
 
-    A key has at most one row in each table, so the arrays stay at ``k`` and a few days.
-    """
-    rows = state
-    for days in known:
-        rows = rows.unionByName(days.where(F.col(key).isNotNull()).select(key, F.array(_day()).alias("days")))
-    merged = F.sort_array(F.flatten(F.collect_list("days")), asc=False)
-    return rows.groupBy(key).agg(F.slice(merged, 1, k).alias("days"))
+
+def _days_column(key: str) -> str:
+    return f"__days_{key}"
 
 
 def _day_features(
-    today: DataFrame, state_sku: DataFrame, state_category: DataFrame, hot: dict[str, DataFrame], lags: int, window: int
+    today: DataFrame, later: dict[str, DataFrame], hot: dict[str, DataFrame], lags: int, window: int
 ) -> DataFrame:
-    """:func:`serving_features` for the rows of one day, from the stored states of SKUs and categories."""
-    recent = state_sku.select(
-        SKU,
-        *[F.get("days", F.lit(i - 1))[c].alias(lag_name(i, c)) for c in (PRICE, QUANTITY) for i in range(1, lags + 1)],
-    )
-    means = state_category.select(
-        CATEGORY, *[array_mean(f"days.{c}").alias(sma_name(window, c)) for c in (PRICE, QUANTITY)]
-    )
-    out = attach(today, recent, [SKU], hot=hot[SKU], how="left")
-    return attach(out, means, [CATEGORY], hot=hot[CATEGORY], how="left")
+    """:func:`serving_features` for the rows of one day, which carry the last days of their keys before the
+    horizon; ``later`` has the days since then for the keys that have any."""
+    out, recent = today, {}
+    for key, k in ((SKU, lags), (CATEGORY, window)):
+        known = F.col(_days_column(key))
+        if key in later:
+            out = attach(out, later[key].withColumnRenamed("days", "__later"), [key], hot=hot[key], how="left")
+            none = F.array().cast(later[key].schema["days"].dataType)
+            both = F.concat(F.coalesce(known, none), F.coalesce("__later", none))
+            out = out.withColumn(_days_column(key), F.slice(F.sort_array(both, asc=False), 1, k)).drop("__later")
+        recent[key] = known
+    columns = {
+        lag_name(i, c): F.get(recent[SKU], F.lit(i - 1))[c] for c in (PRICE, QUANTITY) for i in range(1, lags + 1)
+    } | {sma_name(window, c): array_mean(f"{_days_column(CATEGORY)}.{c}") for c in (PRICE, QUANTITY)}
+    return out.withColumns(columns).drop(*[_days_column(key) for key in (SKU, CATEGORY)])
 
 
 def horizon_dates(samples: DataFrame, horizon: int = HORIZON_DAYS) -> list[dt.date]:
@@ -131,55 +134,54 @@ def recursive_forecast(
 ) -> DataFrame:
     """Predict day by day, each day's predictions being history for the days after it.
 
-    All rows of a day are scored at once, so the result does not depend on any row order. Rows are stored
-    by date; from step to step only the last days of each key are carried: the old state, what was
-    observed on the day itself and what was predicted for the day before make the new one. A step thus
-    reads its own rows and the state, however long the horizon. History on a day is visible to the rows of
-    that day, as in :func:`serving_features`; of an observed and a predicted row of the same day the one
-    with the higher price counts as the later. Predictions and states are written to the shared folder,
-    and a state goes when the next one is there.
+    All rows of a day are scored at once, so the result does not depend on any row order. The last days of
+    every key before the horizon are looked up once, for the keys of the samples alone, and stored with the
+    rows by date. A step reads the rows of its day, and what was observed or predicted for the horizon's
+    days before: a table that is no longer than the samples, however long the history. Its only write are
+    its predictions. History on a day is visible to the rows of that day, as in :func:`serving_features`;
+    of an observed and a predicted row of the same day the one with the higher price counts as the later.
     """
     spark = samples.sparkSession
-    dates = horizon_dates(samples, horizon)
     inputs = [c for c in samples.columns if c not in (QUANTITY, PREDICTION)]
-    prepared = with_holiday_flag(with_calendar(samples.select(*inputs)), holidays)
+    prepared = cut_lineage(with_holiday_flag(with_calendar(samples.select(*inputs)), holidays))
+    dates = horizon_dates(prepared, horizon)
     wanted = prepared.withColumn(QUANTITY, F.lit(0.0)).select(*inputs, QUANTITY).schema
     if not dates:
         return spark.createDataFrame([], wanted)
-    by_day = new_path(spark, "samples")
-    prepared.withColumn("__day", F.date_format(DATE, "yyyy-MM-dd")).write.partitionBy("__day").parquet(by_day)
-    rows = spark.read.schema(prepared.schema).parquet(by_day)
-    present = {r[0] for r in rows.select(DATE).distinct().collect()}
     sources = {SKU: (daily_sku, lags), CATEGORY: (daily_category, window)}
-    hot = {key: hot_keys(rows.groupBy(key).agg(F.count(F.lit(1)).alias(N_ROWS)), [key]) for key in sources}
-    states, observed, paths = {}, {}, {}
+    rows, hot, observed, seen = prepared, {}, {}, {}
     for key, (history, k) in sources.items():
-        paths[key] = new_path(spark, "state")
-        states[key] = cut_lineage(latest_days(history, key, k, dates[0]), paths[key])
-        later = history.where(F.col(DATE).between(F.lit(dates[0]), F.lit(dates[-1])))
-        observed[key] = cut_lineage(later.select(key, DATE, PRICE, QUANTITY))
-    seen = {key: {r[0] for r in table.select(DATE).distinct().collect()} for key, table in observed.items()}
+        weights = cut_lineage(prepared.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(N_ROWS)))
+        hot[key] = hot_keys(weights, [key])
+        known = history.where(F.col(DATE) <= F.lit(dates[-1])).join(weights.select(key), key, "left_semi")
+        known = cut_lineage(known.select(key, DATE, PRICE, QUANTITY))
+        before = latest_days(known, key, k, dates[0]).withColumnRenamed("days", _days_column(key))
+        rows = attach(rows, before, [key], hot=hot[key], how="left")
+        observed[key] = known.where(F.col(DATE) >= F.lit(dates[0]))
+        seen[key] = {r[0] for r in observed[key].select(DATE).distinct().collect()}
+    by_day = new_path(spark, "samples")
+    rows.withColumn("__day", F.date_format(DATE, "yyyy-MM-dd")).write.partitionBy("__day").parquet(by_day)
+    present = {r[0] for r in prepared.select(DATE).distinct().collect()}
     path = new_path(spark, "forecast")
     written: list[str] = []
-    before: DataFrame | None = None
     for day in dates:
-        for key, (_, k) in sources.items():
-            known = [daily(before, key)] if before is not None else []
-            if day in seen[key]:
-                known.append(observed[key].where(F.col(DATE) == F.lit(day)))
+        if day not in present:
+            continue
+        later: dict[str, DataFrame] = {}
+        for key in sources:
+            known = []
+            if written:
+                known.append(daily(spark.read.schema(wanted).parquet(*written), key).select(key, DATE, PRICE, QUANTITY))
+            if any(d <= day for d in seen[key]):
+                known.append(observed[key].where(F.col(DATE) <= F.lit(day)))
             if known:
-                following = new_path(spark, "state")
-                states[key] = cut_lineage(_advance(states[key], known, key, k), following)
-                drop_path(spark, paths[key])
-                paths[key] = following
-        before = None
-        if day in present:
-            of_day = spark.read.schema(prepared.schema).parquet(f"{by_day}/__day={day.isoformat()}")
-            today = _day_features(of_day, states[SKU], states[CATEGORY], hot, lags, window)
-            today = today if clusters is None else assign_clusters(clusters, today)
-            scored = predict(model, today).select(*inputs, F.col(PREDICTION).alias(QUANTITY))
-            written.append(f"{path}/{day.isoformat()}")
-            before = cut_lineage(scored, written[-1])
+                later[key] = _known_days(concat(known), key)
+        of_day = spark.read.schema(rows.schema).parquet(f"{by_day}/__day={day.isoformat()}")
+        today = _day_features(of_day, later, hot, lags, window)
+        today = today if clusters is None else assign_clusters(clusters, today)
+        scored = predict(model, today).select(*inputs, F.col(PREDICTION).alias(QUANTITY))
+        scored.write.parquet(f"{path}/{day.isoformat()}")
+        written.append(f"{path}/{day.isoformat()}")
     return spark.read.schema(wanted).parquet(*written)
 
 
@@ -207,10 +209,11 @@ def backtest(
     end = start + dt.timedelta(days=days - 1)
     history = sales.where(F.col(DATE) < F.lit(start))
     held_out = sales.where(F.col(DATE).between(F.lit(start), F.lit(end)))
+    base = daily_base(history)
     forecast = recursive_forecast(
         held_out,
-        daily(history, SKU),
-        daily(history, CATEGORY),
+        roll_up(base, SKU),
+        roll_up(base, CATEGORY),
         model,
         holidays,
         clusters=clusters,

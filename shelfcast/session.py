@@ -52,11 +52,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _temporary(spark.sparkContext.applicationId)
 
 
-def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses; deleted when the session's JVM ends."""
+def new_path(spark: SparkSession, name: str, lasting: bool = False) -> str:
+    """A path in the shared folder that no other run uses; deleted when the session's JVM ends, or unless it is
+    ``lasting`` with the :func:`scratch` block it was made in."""
     made = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     _on_storage(spark, made, lambda fs, path: fs.deleteOnExit(path))
-    if (scope := _scope.get()) is not None:
+    if not lasting and (scope := _scope.get()) is not None:
         scope.append(made)
     return made
 

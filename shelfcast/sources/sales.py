@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.functions.dates import parse_date
-from shelfcast.operators.joins import attach
+from shelfcast.operators.joins import attach, hot_keys
 from shelfcast.schema import CATEGORY, DATE, N_ROWS, PRICE, QUANTITY, ROW_ID, SALES_COLUMNS, SKU
+from shelfcast.session import new_path
 
 
 _ITEM_COLUMNS = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_extendedprice", "l_quantity")
@@ -42,11 +43,25 @@ def write_forecast(forecast: DataFrame, path: str, *, mode: str = "errorifexists
     write_csv(forecast.select(*SALES_COLUMNS), path, mode=mode)
 
 
+_hot_parts: dict[tuple, DataFrame] = {}
+
+
+def _parts_with_many_items(items: DataFrame) -> DataFrame:
+    """The parts that the join splits, counted once a session for the files that are read."""
+    spark = items.sparkSession
+    known = (spark.sparkContext.applicationId, id(spark), *sorted(items.inputFiles()))
+    if known not in _hot_parts:
+        weights = items.groupBy("l_partkey").agg(F.count(F.lit(1)).alias(N_ROWS))
+        _hot_parts[known] = hot_keys(weights, ["l_partkey"], path=new_path(spark, "hot-parts", lasting=True))
+    return _hot_parts[known]
+
+
 def sales_from_lineitem(spark: SparkSession, tables: str, *, category: bool = True, row_id: bool = False) -> DataFrame:
     """Sales rows from ``lineitem`` and ``part``.
 
     ``category=False`` leaves out ``category_id`` and with it the join, for work that needs only the
-    SKU. ``row_id`` adds a unique row key. A part with very many items is split in the join.
+    SKU. ``row_id`` adds a unique row key. A part with very many items is split in the join; items are counted
+    once a session.
     """
     items = spark.read.parquet(f"{tables}/lineitem.parquet").select(*_ITEM_COLUMNS)
     date = F.col("l_shipdate").cast("date")
@@ -54,8 +69,7 @@ def sales_from_lineitem(spark: SparkSession, tables: str, *, category: bool = Tr
     columns = {DATE: date, SKU: F.col("l_partkey"), PRICE: F.col("l_extendedprice"), QUANTITY: quantity}
     if category:
         part = spark.read.parquet(f"{tables}/part.parquet").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-        weights = items.groupBy("l_partkey").agg(F.count(F.lit(1)).alias(N_ROWS))
-        items = attach(items, part, ["l_partkey"], weights=weights)
+        items = attach(items, part, ["l_partkey"], hot=_parts_with_many_items(items))
         columns = {DATE: date, CATEGORY: F.substring("p_brand", 7, 10).cast("long"), **columns}
     if row_id:
         parts = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
