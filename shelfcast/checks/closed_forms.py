@@ -21,7 +21,7 @@ from shelfcast.operators.daily import daily_category, daily_sku
 from shelfcast.operators.evaluation import regression_metrics
 from shelfcast.operators.profile import cluster_profile
 from shelfcast.operators.rows import with_test_flag
-from shelfcast.plans import clusters, forecast, models, tuning
+from shelfcast.plans import artefacts, clusters, forecast, models, tuning
 from shelfcast.plans.features import feature_columns
 from shelfcast.schema import CATEGORY, CLUSTER, DATE, HORIZON_DAYS, PREDICTION, PRICE, QUANTITY, SKU
 from shelfcast.session import cut_lineage, new_path
@@ -187,6 +187,17 @@ def future_by_formula(spark: SparkSession, tables: str) -> DataFrame:
     return rounded(out, QUANTITY)
 
 
+def stored_forecaster_by_formula(spark: SparkSession, tables: str) -> DataFrame:
+    """Fitted on the past, stored, loaded again, and given the future rows."""
+    rows = sales(spark, tables, row_id=True)
+    last = FORECAST_START + dt.timedelta(days=HORIZON_DAYS - 1)
+    future, past = rows.where(F.col(DATE).between(F.lit(FORECAST_START), F.lit(last))), rows.where(F.col(DATE) < F.lit(FORECAST_START))
+    path = new_path(spark, "forecaster")
+    artefacts.DemandForecaster(_formula(), calendar(spark), clusters=0).fit(past).write().save(path)
+    out = artefacts.DemandForecasterModel.load(path).transform(future.drop(QUANTITY))
+    return rounded(out.select("row_id", DATE, SKU, CATEGORY, PRICE, QUANTITY), QUANTITY)
+
+
 def holdout_by_formula(spark: SparkSession, tables: str) -> DataFrame:
     """Random rows scored in one pass from the history of the others."""
     flagged = cut_lineage(with_test_flag(sales(spark, tables, row_id=True)))
@@ -201,6 +212,7 @@ QUERIES: dict[str, Query] = {
         forest_of_means, boosted_means, holdout_metrics_of_means, cross_validation_of_means, cross_validation_mean_of_means,
         stored_model_agrees, importance_total, cluster_checks, elbow_start, elbow_step, forest_search, boosted_search,
         backtest_by_formula, backtest_metrics_by_formula, future_by_formula, holdout_by_formula,
+        stored_forecaster_by_formula,
     )
 }
 
@@ -325,5 +337,8 @@ ORACLES: dict[str, str] = {
     "future_by_formula": sql(
         "SELECT date, category_id, sku_id, sales_price, round(q, 6) AS sales_quantity FROM forecasts", "sales", extra=_unrolled()
     ),
+    "stored_forecaster_by_formula": sql(
+        "SELECT row_id, date, sku_id, category_id, sales_price, round(q, 6) AS sales_quantity FROM forecasts", "sales", extra=_unrolled()
+    ),
     "holdout_by_formula": sql(f"SELECT {_score('y', 'p')}, {_N.format('y', 'p')} FROM served", "split", extra=_served()),
 }
