@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.checks.common import PRESENT, Query, calendar, rounded, rounded_columns, sales, sql
-from shelfcast.operators import history
+from shelfcast.operators import history, refresh
 from shelfcast.operators.asof import last_k_days, lags_asof, means_asof, sample_days
 from shelfcast.operators.daily import daily_category, daily_sku
 from shelfcast.operators.joins import with_actuals
@@ -15,7 +15,7 @@ from shelfcast.operators.scaling import scalable_columns, standardise
 from shelfcast.plans.features import build_features, with_lags, with_moving_averages
 from shelfcast.plans.forecast import serving_features as features_for_samples
 from shelfcast.schema import CATEGORY, DATE, N_ROWS, PRICE, QUANTITY, SKU, lag_names, sma_names
-from shelfcast.session import cut_lineage
+from shelfcast.session import cut_lineage, new_path
 
 _LAG_PRICES = tuple(lag_names(columns=(PRICE,)))
 _AVERAGES = tuple(sma_names())
@@ -31,6 +31,35 @@ def lag_table(spark: SparkSession, tables: str) -> DataFrame:
     return rounded(out, *_LAG_PRICES)
 
 
+def _corrected(spark: SparkSession, tables: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sales as they were, as they are, and the days between which they differ: a share of the rows was missing,
+    had another quantity, or stood on the next day."""
+    now = cut_lineage(sales(spark, tables, row_id=True))
+    kind = F.pmod(F.xxhash64("row_id"), F.lit(40))
+    was = now.where(kind != 0).withColumns(
+        {"sales_quantity": F.when(kind == 1, F.col("sales_quantity") + 7).otherwise(F.col("sales_quantity")),
+         "date": F.when(kind == 2, F.date_add("date", 1)).otherwise(F.col("date"))}
+    )
+    moved = was.where(kind <= 2).unionByName(now.where(kind <= 2))
+    return was, now, moved
+
+
+def refreshed_lags(spark: SparkSession, tables: str) -> DataFrame:
+    was, now, moved = _corrected(spark, tables)
+    stored = refresh.stored_lags(new_path(spark, "lags"))
+    stored.build(was)
+    stored.refresh(now, moved.select("sku_id", "date"))
+    return rounded(stored.rows(spark), *_LAG_PRICES)
+
+
+def refreshed_averages(spark: SparkSession, tables: str) -> DataFrame:
+    was, now, moved = _corrected(spark, tables)
+    stored = refresh.stored_averages(new_path(spark, "averages"))
+    stored.build(was)
+    stored.refresh(now, moved.select("category_id", "date"))
+    return rounded(stored.rows(spark), *_AVERAGES)
+
+
 def moving_average_table(spark: SparkSession, tables: str) -> DataFrame:
     return rounded(history.moving_average_table(daily_category(sales(spark, tables))), *_AVERAGES)
 
@@ -114,6 +143,8 @@ def serving_features(spark: SparkSession, tables: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "lag_table": lag_table,
+    "refreshed_lags": refreshed_lags,
+    "refreshed_averages": refreshed_averages,
     "moving_average_table": moving_average_table,
     "moving_average_past": moving_average_past,
     "lag_join": lag_join,
@@ -170,6 +201,8 @@ round(list_avg(list_transform(recent, lambda r: CAST(r.q AS DOUBLE))), 6) AS sma
 
 ORACLES: dict[str, str] = {
     "lag_table": sql(f"SELECT sku_id, date, n_rows, {_LAGS} FROM lags JOIN daily_sku USING (sku_id, date)", "lags"),
+    "refreshed_lags": sql(f"SELECT sku_id, date, {_LAGS} FROM lags", "lags"),
+    "refreshed_averages": sql(f"SELECT category_id, date, {_SMA} FROM averages", "averages"),
     "moving_average_table": sql(
         f"SELECT category_id, date, n_rows, {_SMA} FROM averages JOIN daily_category USING (category_id, date)",
         "averages",

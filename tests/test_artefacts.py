@@ -34,8 +34,7 @@ def outcome(df):
     return sorted((r.date, r.sku_id, r.sales_price, r.sales_quantity) for r in df.collect())
 
 
-@pytest.mark.parametrize("normalise", [False, True])
-@pytest.mark.parametrize("kind", ["leafwise", "mllib"])
+@pytest.mark.parametrize(("kind", "normalise"), [("leafwise", True), ("mllib", False)])
 def test_loaded_model_forecasts_the_same(spark, sales, future, tmp_path, kind, normalise):
     learner = models.leafwise_boosting(rounds=3, numLeaves=4, minDataInLeaf=5) if kind == "leafwise" else models.random_forest(numTrees=2, maxDepth=3)
     fitted = artefacts.DemandForecaster(learner, holiday_calendar(spark, 2020, 2020), clusters=2, normalise=normalise).fit(sales)
