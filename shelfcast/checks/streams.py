@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import DoubleType
 
-from shelfcast.checks.common import Query, rounded, sql
+from shelfcast.checks.common import Query, rounded, sales, sql
+from shelfcast.operators import refresh
 from shelfcast.schema import CATEGORY, DATE, PRICE, QUANTITY, SKU, lag_names, sma_names
 from shelfcast.session import new_path
 from shelfcast.streaming.daily import append_to_table, current_rows, daily_schema, daily_stream, upsert_to_table
 from shelfcast.streaming.history import lag_stream, mean_stream
+from shelfcast.streaming.live import LiveDaily, keep_live
 
 _LAG_PRICES = tuple(lag_names(columns=(PRICE,)))
 
@@ -48,6 +51,34 @@ def _closed_days(spark: SparkSession, tables: str, key: str) -> DataFrame:
     return spark.readStream.schema(daily_schema(key)).parquet(path)
 
 
+def _live(spark: SparkSession, tables: str, key: str, stored: refresh.StoredWindows) -> tuple[LiveDaily, refresh.StoredWindows]:
+    """The sales in several files, out of order, as a stream that a live table and its windows follow."""
+    rows = sales(spark, tables).repartition(4, F.pmod(F.xxhash64(SKU, DATE, PRICE), F.lit(4)))
+    folder = new_path(spark, "sales-files")
+    rows.write.parquet(folder)
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    daily = LiveDaily(new_path(spark, f"live-{key}"), key)
+    keep_live(stream, daily, new_path(spark, "live-progress"), [stored]).awaitTermination()
+    return daily, stored
+
+
+def live_lags(spark: SparkSession, tables: str) -> DataFrame:
+    """Lags corrected with every batch, in the end those of all rows."""
+    _, stored = _live(spark, tables, SKU, refresh.stored_lags(new_path(spark, "live-lags"), quantity=DoubleType()))
+    return rounded(stored.rows(spark), *_LAG_PRICES)
+
+
+def live_averages(spark: SparkSession, tables: str) -> DataFrame:
+    _, stored = _live(spark, tables, CATEGORY, refresh.stored_averages(new_path(spark, "live-averages"), quantity=DoubleType()))
+    return rounded(stored.rows(spark), *sma_names())
+
+
+def live_daily(spark: SparkSession, tables: str) -> DataFrame:
+    """The merged table of all batches."""
+    daily, _ = _live(spark, tables, SKU, refresh.stored_lags(new_path(spark, "live-lags"), quantity=DoubleType()))
+    return rounded(daily.rows(spark), PRICE)
+
+
 def stream_daily_sku(spark: SparkSession, tables: str) -> DataFrame:
     return rounded(_daily(spark, tables, SKU), PRICE)
 
@@ -71,11 +102,23 @@ QUERIES: dict[str, Query] = {
     "stream_daily_category": stream_daily_category,
     "stream_lags": stream_lags,
     "stream_means": stream_means,
+    "live_lags": live_lags,
+    "live_averages": live_averages,
+    "live_daily": live_daily,
 }
 
 _DAILY = f"""date, round(sales_price, 6) AS sales_price, CAST(sales_quantity AS DOUBLE) AS sales_quantity, n_rows"""
 
 ORACLES: dict[str, str] = {
+    "live_daily": sql(f"SELECT sku_id, {_DAILY} FROM daily_sku", "daily_sku"),
+    "live_lags": sql(
+        f"""SELECT sku_id, date, {', '.join(f'round(lag_{i}_sales_price, 6) AS lag_{i}_sales_price' for i in (1, 2, 3))},
+        {', '.join(f'CAST(lag_{i}_sales_quantity AS DOUBLE) AS lag_{i}_sales_quantity' for i in (1, 2, 3))} FROM lags""",
+        "lags",
+    ),
+    "live_averages": sql(
+        f"SELECT category_id, date, {', '.join(f'round({c}, 6) AS {c}' for c in sma_names())} FROM averages", "averages"
+    ),
     "stream_daily_sku": sql(f"SELECT sku_id, {_DAILY} FROM daily_sku", "daily_sku"),
     "stream_daily_category": sql(f"SELECT category_id, {_DAILY} FROM daily_category", "daily_category"),
     "stream_lags": sql(

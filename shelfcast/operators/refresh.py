@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql.types import DataType, DateType, DoubleType, LongType, StringType, StructField, StructType
 
 from shelfcast.operators.daily import daily
 from shelfcast.operators.history import lag_table, moving_average_table
-from shelfcast.schema import CATEGORY, DATE, N_ROWS, NUM_LAGS, SKU, WINDOW_SIZE
-from shelfcast.session import cut_lineage, drop_path
+from shelfcast.schema import CATEGORY, DATE, N_ROWS, NUM_LAGS, PRICE, QUANTITY, SKU, WINDOW_SIZE
+from shelfcast.session import cut_lineage, drop_path, new_path, path_exists
 
 MONTH = "__month"
 
@@ -20,6 +21,32 @@ def month_of(date: Column) -> Column:
     return F.date_format(date, "'m'yyyyMM")
 
 
+def months_of(table: DataFrame) -> list[str]:
+    """The months of a table: as many as the calendar has."""
+    return sorted(r[0] for r in table.select(MONTH).distinct().collect())
+
+
+def replace_months(table: DataFrame, path: str, months: list[str] | None) -> None:
+    """Replace the given months of the table at ``path`` (all: None), also those that have no row any more."""
+    spark = table.sparkSession
+    # Stored aside first: a table cannot be read and replaced by the same job.
+    staged = new_path(spark, "staged")
+    rows = cut_lineage(table, staged)
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static" if months is None else "dynamic")
+    writer.partitionBy(MONTH).parquet(path)
+    for month in set(months or ()) - set(months_of(rows)):
+        drop_path(spark, f"{path}/{MONTH}={month}")
+    drop_path(spark, staged)
+
+
+def read_months(spark: SparkSession, path: str, schema: StructType, months: list[str] | None = None) -> DataFrame:
+    """The given months of a table (all: None); one that was never written has no rows."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    table = spark.read.schema(schema).parquet(path)
+    return table if months is None else table.where(F.col(MONTH).isin(months))
+
+
 @dataclass(frozen=True)
 class StoredWindows:
     """A daily table and the window table made of it, both in a folder by month, with the days a key has in
@@ -33,26 +60,26 @@ class StoredWindows:
     key: str
     compute: Callable[[DataFrame], DataFrame]
     reach: int
+    quantity: DataType = field(default_factory=LongType)
+
+    def _schema(self, spark: SparkSession, name: str) -> StructType:
+        key = StructField(self.key, LongType())
+        if name == "counts":
+            return StructType([key, StructField("n_days", LongType()), StructField(MONTH, StringType())])
+        days = StructType([key, StructField(DATE, DateType()), StructField(PRICE, DoubleType()), StructField(QUANTITY, self.quantity)])
+        days = days.add(N_ROWS, LongType())
+        rows = days if name == "days" else self.compute(spark.createDataFrame([], days)).schema
+        return StructType([*rows.fields, StructField(MONTH, StringType())])
 
     def _read(self, spark: SparkSession, name: str, months: list[str] | None = None) -> DataFrame:
-        table = spark.read.parquet(f"{self.path}/{name}")
-        return table if months is None else table.where(F.col(MONTH).isin(months))
+        return read_months(spark, f"{self.path}/{name}", self._schema(spark, name), months)
 
     def rows(self, spark: SparkSession) -> DataFrame:
         """The window table."""
         return self._read(spark, "windows").drop(MONTH)
 
     def _write(self, table: DataFrame, name: str, months: list[str] | None) -> None:
-        """Replace the given months of a table (all: None), also those that have no row any more."""
-        spark = table.sparkSession
-        # Stored aside first: a table cannot be read and replaced by the same job.
-        staged = cut_lineage(table)
-        writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "static" if months is None else "dynamic")
-        writer.partitionBy(MONTH).parquet(f"{self.path}/{name}")
-        if months is not None:
-            left = {r[0] for r in staged.select(MONTH).distinct().collect()}
-            for month in set(months) - left:
-                drop_path(spark, f"{self.path}/{name}/{MONTH}={month}")
+        replace_months(table, f"{self.path}/{name}", months)
 
     def _counted(self, days: DataFrame) -> DataFrame:
         return days.groupBy(self.key, MONTH).agg(F.count(F.lit(1)).alias("n_days"))
@@ -60,7 +87,7 @@ class StoredWindows:
     def build(self, sales: DataFrame) -> None:
         """Everything anew."""
         days = daily(sales.where(F.col(self.key).isNotNull() & F.col(DATE).isNotNull()), self.key)
-        self._write(days.withColumn(MONTH, month_of(F.col(DATE))), "days", None)
+        self._write(self._stored(days), "days", None)
         days = self._read(sales.sparkSession, "days")
         self._write(self._counted(days), "counts", None)
         self._write(self.compute(days.drop(MONTH)).withColumn(MONTH, month_of(F.col(DATE))), "windows", None)
@@ -74,28 +101,43 @@ class StoredWindows:
         counts of days tell which months hold those days and which hold the days they look back to; only
         these months are read, and only months with altered rows are written.
         """
-        spark = sales.sparkSession
-        cells = changed.where(F.col(self.key).isNotNull() & F.col(DATE).isNotNull()).select(self.key, DATE).distinct()
-        cells = cut_lineage(cells.withColumn(MONTH, month_of(F.col(DATE))))
-        touched = _months(cells)
+        cells = self._cells(changed)
+        # Sales stored by date are read for the span of these dates alone.
+        first, last = cells.agg(F.min(DATE), F.max(DATE)).first()
+        if first is None:
+            return
+        span = sales.where(F.col(DATE).between(F.lit(first), F.lit(last)))
+        self._replace(daily(span.join(cells.select(self.key, DATE), [self.key, DATE], "left_semi"), self.key), cells)
+
+    def replace(self, days: DataFrame, changed: DataFrame) -> None:
+        """:func:`refresh` from the daily rows that the ``changed`` (key, date) have now."""
+        cells = self._cells(changed)
+        self._replace(days.join(cells.select(self.key, DATE), [self.key, DATE], "left_semi"), cells)
+
+    def _cells(self, changed: DataFrame) -> DataFrame:
+        known = F.col(self.key).isNotNull() & F.col(DATE).isNotNull()
+        return cut_lineage(changed.where(known).select(self.key, DATE).distinct().withColumn(MONTH, month_of(F.col(DATE))))
+
+    def _replace(self, fresh: DataFrame, cells: DataFrame) -> None:
+        spark, touched = cells.sparkSession, months_of(cells)
         if not touched:
             return
-        # Cells are counted by dates too, so that sales stored by date are read for these dates alone.
-        first, last = cells.agg(F.min(DATE), F.max(DATE)).first()
-        now = sales.where(F.col(DATE).between(F.lit(first), F.lit(last))).join(cells.select(self.key, DATE), [self.key, DATE], "left_semi")
-        fresh = daily(now, self.key).withColumn(MONTH, month_of(F.col(DATE)))
         kept = self._read(spark, "days", touched).join(cells.select(self.key, DATE), [self.key, DATE], "left_anti")
-        self._write(kept.unionByName(fresh.select(*kept.columns)), "days", touched)
+        self._write(kept.unionByName(self._stored(fresh)), "days", touched)
         keys = cut_lineage(cells.select(self.key).distinct())
         self._write(self._counted(self._read(spark, "days", touched)), "counts", touched)
         needed = cut_lineage(self._needed(cells, keys))
         altered = needed.where("altered").select(self.key, MONTH)
-        days = self._read(spark, "days", _months(needed)).join(keys, self.key, "left_semi")
+        days = self._read(spark, "days", months_of(needed)).join(keys, self.key, "left_semi")
         anew = self.compute(days.drop(MONTH)).withColumn(MONTH, month_of(F.col(DATE))).join(altered, [self.key, MONTH], "left_semi")
-        months = _months(altered)
+        months = months_of(altered)
         others = self._read(spark, "windows", months).join(altered, [self.key, MONTH], "left_anti")
         self._write(others.unionByName(anew.select(*others.columns)), "windows", months)
 
+    def _stored(self, days: DataFrame) -> DataFrame:
+        columns = [F.col(f.name).cast(f.dataType) for f in self._schema(days.sparkSession, "days") if f.name != MONTH]
+        return days.select(*columns, month_of(F.col(DATE)).alias(MONTH))
+
     def _needed(self, cells: DataFrame, keys: DataFrame) -> DataFrame:
         """(key, month, altered): months of changed keys whose windows are altered, or whose days those look at.
 
@@ -118,17 +160,12 @@ class StoredWindows:
         return marked.where("altered OR looked_at").drop("looked_at")
 
 
-def _months(table: DataFrame) -> list[str]:
-    """The months of a table: as many as the calendar has."""
-    return sorted(r[0] for r in table.select(MONTH).distinct().collect())
-
-
-def stored_lags(path: str, lags: int = NUM_LAGS) -> StoredWindows:
-    return StoredWindows(path, SKU, lambda days: lag_table(days.drop(N_ROWS), lags=lags), lags)
+def stored_lags(path: str, lags: int = NUM_LAGS, **options: DataType) -> StoredWindows:
+    return StoredWindows(path, SKU, lambda days: lag_table(days.drop(N_ROWS), lags=lags), lags, **options)
 
 
-def stored_averages(path: str, window: int = WINDOW_SIZE, include_current: bool = True) -> StoredWindows:
+def stored_averages(path: str, window: int = WINDOW_SIZE, include_current: bool = True, **options: DataType) -> StoredWindows:
     def compute(days: DataFrame) -> DataFrame:
         return moving_average_table(days.drop(N_ROWS), window=window, include_current=include_current)
 
-    return StoredWindows(path, CATEGORY, compute, window - 1 if include_current else window)
+    return StoredWindows(path, CATEGORY, compute, window - 1 if include_current else window, **options)

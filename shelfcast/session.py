@@ -81,6 +81,10 @@ def drop_path(spark: SparkSession, path: str) -> None:
     _on_storage(spark, path, lambda fs, p: fs.delete(p, True))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    return bool(_on_storage(spark, path, lambda fs, p: fs.exists(p)))
+
+
 def _on_storage(spark: SparkSession, path: str, action):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return action(hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path)
