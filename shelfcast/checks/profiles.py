@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.checks.common import Query, calendar, rounded, sales, sql
 from shelfcast.operators import daily as days
-from shelfcast.operators import profile
+from shelfcast.operators import profile, sketches
 from shelfcast.operators.calendar import with_calendar, with_holiday_flag
 from shelfcast.operators.correlation import correlation_matrix, wide_correlation_matrix
 from shelfcast.operators.evaluation import regression_metrics
@@ -18,6 +18,7 @@ from shelfcast.operators.history import lag_table, moving_average_table
 from shelfcast.operators.rows import drop_nulls, sample_keys
 from shelfcast.plans.features import with_lags
 from shelfcast.schema import CATEGORY, DATE, PRICE, QUANTITY, SKU
+from shelfcast.session import cut_lineage, new_path
 
 _CALENDAR = ("year", "month", "day", "weekday", "week", "quarter", "day_of_year", "is_weekend", "is_ukrainian_holiday")
 _PROFILED = (DATE, CATEGORY, SKU, PRICE, QUANTITY)
@@ -35,6 +36,27 @@ def daily_category(spark: SparkSession, tables: str) -> DataFrame:
     return rounded(days.daily_category(sales(spark, tables)), PRICE)
 
 
+def sketched_profile(spark: SparkSession, tables: str) -> DataFrame:
+    """Profile of two years merged from day states: exact counts, and whether the sketches are near the rows."""
+    columns = [SKU, CATEGORY, PRICE, QUANTITY]
+    rows = cut_lineage(sales(spark, tables).select(DATE, *columns))
+    path = new_path(spark, "states")
+    sketches.store_days(rows, path, columns)
+    first, last = dt.date(1997, 1, 1), dt.date(1998, 12, 31)
+    merged = sketches.profile_between(spark, path, first, last, [0.5])
+    chosen = rows.where(F.col(DATE).between(F.lit(first), F.lit(last)))
+    middles = {r["column"]: r["quantiles"][0] for r in merged.collect()}
+    exact = chosen.select(
+        F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("x"), F.lit(middles.get(c)).alias("m")) for c in columns])).alias("v")
+    ).select("v.*").groupBy("column").agg(
+        F.count_distinct("x").alias("exact"), (F.count_if(F.col("x") < F.col("m")) / F.count("x")).alias("below"),
+        (F.count_if(F.col("x") <= F.col("m")) / F.count("x")).alias("up_to"),
+    )
+    near = (F.abs(F.col("n_distinct") - F.col("exact")) <= 0.07 * F.col("exact")).alias("distinct_near")
+    middle = ((F.col("below") <= 0.53) & (F.col("up_to") >= 0.47)).alias("median_near")
+    return merged.join(exact, "column").select("column", "n_rows", "n_null", near, middle)
+
+
 def sale_span(spark: SparkSession, tables: str) -> DataFrame:
     return days.sale_span(sales(spark, tables, category=False))
 
@@ -144,6 +166,7 @@ QUERIES: dict[str, Query] = {
     "daily_sku": daily_sku,
     "daily_category": daily_category,
     "sale_span": sale_span,
+    "sketched_profile": sketched_profile,
     "null_counts_lags": null_counts_lags,
     "null_counts_averages": null_counts_averages,
     "distinct_counts": distinct_counts,
@@ -245,6 +268,12 @@ def _null_counts(columns: list[str]) -> str:
 
 
 ORACLES: dict[str, str] = {
+    "sketched_profile": sql(
+        "SELECT c AS \"column\", count(*) AS n_rows, count(*) - count(x) AS n_null, true AS distinct_near, true AS median_near FROM ("
+        + " UNION ALL ".join(f"SELECT '{c}' AS c, date, CAST({c} AS DOUBLE) AS x FROM sales" for c in (SKU, CATEGORY, PRICE, QUANTITY))
+        + ") WHERE date BETWEEN DATE '1997-01-01' AND DATE '1998-12-31' GROUP BY c",
+        "sales",
+    ),
     "daily_sku": sql(f"SELECT sku_id, {_DAILY} FROM daily_sku", "daily_sku"),
     "daily_category": sql(f"SELECT category_id, {_DAILY} FROM daily_category", "daily_category"),
     "sale_span": sql(
