@@ -50,10 +50,10 @@ def with_lags(
 ) -> DataFrame:
     """Sales rows with the price and quantity of the SKU's previous sale days.
 
-    ``daily_sku`` may be a stored table; otherwise it is built and stored here, as it gives the lags and the
-    weights of the join.
+    ``daily_sku`` may be a stored table, which pays where it is much smaller than the sales: it gives the lags
+    and the weights of the join. Otherwise it is built here.
     """
-    days = cut_lineage(daily(sales, SKU)) if daily_sku is None else daily_sku
+    days = daily(sales, SKU) if daily_sku is None else daily_sku
     return attach(sales, lag_table(days, lags=lags), [SKU, DATE], weights=days)
 
 
@@ -96,7 +96,7 @@ def build_features(
     table = sales
     if (lags and daily_sku is None) or (window and daily_category is None):
         both = daily_base(sales)
-        daily_sku = cut_lineage(roll_up(both, SKU)) if daily_sku is None and lags else daily_sku
+        daily_sku = roll_up(both, SKU) if daily_sku is None else daily_sku
         daily_category = roll_up(both, CATEGORY) if daily_category is None else daily_category
     if lags:
         table = with_lags(table, lags=lags, daily_sku=daily_sku)
