@@ -9,10 +9,14 @@ from shelfcast.checks.common import Query, rounded, sales, sql
 from shelfcast.operators import refresh
 from shelfcast.schema import CATEGORY, DATE, PRICE, QUANTITY, SKU, lag_names, sma_names
 from shelfcast.session import new_path
+from shelfcast.streaming.corrected import corrected_averages, corrected_lags, keep_last_versions, last_versions
 from shelfcast.streaming.daily import append_to_table, current_rows, daily_schema, daily_stream, upsert_to_table
 from shelfcast.streaming.history import lag_stream, mean_stream
 from shelfcast.streaming.live import LiveDaily, keep_live
 
+# Files may be read in any order, so a row can lie behind the newest date by the span of the whole history.
+_LATEST = "4000 days"
+
 _LAG_PRICES = tuple(lag_names(columns=(PRICE,)))
 
 
@@ -79,6 +83,33 @@ def live_daily(spark: SparkSession, tables: str) -> DataFrame:
     return rounded(daily.rows(spark), PRICE)
 
 
+def _late_files(spark: SparkSession, tables: str) -> DataFrame:
+    """The sales as files by year, a third of each year's rows coming a year late, as a stream of some batches."""
+    rows = sales(spark, tables)
+    year = F.year(DATE) + F.when(F.pmod(F.xxhash64(SKU, DATE, PRICE), F.lit(3)) == 0, 1).otherwise(0)
+    folder = new_path(spark, "late-sales")
+    rows.withColumn("arrived", year).repartition("arrived").write.partitionBy("arrived").parquet(folder)
+    files = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 3)
+    return files.parquet(folder)
+
+
+def _corrected(spark: SparkSession, versions: DataFrame, key: str) -> DataFrame:
+    path = new_path(spark, f"corrected-{key}")
+    keep_last_versions(versions, key, path, new_path(spark, "corrected-progress")).awaitTermination()
+    return last_versions(spark, versions.schema, path)
+
+
+def stream_corrected_lags(spark: SparkSession, tables: str) -> DataFrame:
+    """Lags from the state of a stream with late rows, the last version of each."""
+    versions = corrected_lags(_late_files(spark, tables), delay=_LATEST)
+    return rounded(_corrected(spark, versions, SKU), *_LAG_PRICES)
+
+
+def stream_corrected_averages(spark: SparkSession, tables: str) -> DataFrame:
+    versions = corrected_averages(_late_files(spark, tables), delay=_LATEST)
+    return rounded(_corrected(spark, versions, CATEGORY), *sma_names())
+
+
 def stream_daily_sku(spark: SparkSession, tables: str) -> DataFrame:
     return rounded(_daily(spark, tables, SKU), PRICE)
 
@@ -105,6 +136,8 @@ QUERIES: dict[str, Query] = {
     "live_lags": live_lags,
     "live_averages": live_averages,
     "live_daily": live_daily,
+    "stream_corrected_lags": stream_corrected_lags,
+    "stream_corrected_averages": stream_corrected_averages,
 }
 
 _DAILY = f"""date, round(sales_price, 6) AS sales_price, CAST(sales_quantity AS DOUBLE) AS sales_quantity, n_rows"""
@@ -137,3 +170,7 @@ ORACLES: dict[str, str] = {
         "daily_category",
     ),
 }
+
+# The state gives what the corrected tables give.
+ORACLES["stream_corrected_lags"] = ORACLES["live_lags"]
+ORACLES["stream_corrected_averages"] = ORACLES["live_averages"]
