@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shelfcast.checks.common import PRESENT, Query, calendar, rounded, rounded_columns, sales, sql
@@ -12,7 +14,7 @@ from shelfcast.operators.joins import with_actuals
 from shelfcast.operators.profile import undefined_dates as null_dates
 from shelfcast.operators.rows import with_test_flag
 from shelfcast.operators.scaling import scalable_columns, standardise
-from shelfcast.plans.features import build_features, with_lags, with_moving_averages
+from shelfcast.plans.features import build_features, laid_out_lags, lay_out_sales, with_lags, with_moving_averages
 from shelfcast.plans.forecast import serving_features as features_for_samples
 from shelfcast.schema import CATEGORY, DATE, N_ROWS, PRICE, QUANTITY, SKU, lag_names, sma_names
 from shelfcast.session import cut_lineage, new_path
@@ -69,6 +71,13 @@ def moving_average_past(spark: SparkSession, tables: str) -> DataFrame:
     return rounded(out, *_AVERAGES)
 
 
+def laid_out_lag_join(spark: SparkSession, tables: str) -> DataFrame:
+    """:func:`lag_join` of sales in a bucketed table, which the join reads where they are."""
+    name, folder = f"sales_{uuid.uuid4().hex}", new_path(spark, "laid-out-sales")
+    laid = lay_out_sales(sales(spark, tables), name, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")), path=folder)
+    return rounded(laid_out_lags(spark, laid), *_LAG_PRICES)
+
+
 def lag_join(spark: SparkSession, tables: str) -> DataFrame:
     """Every sale with the price and quantity of the SKU's previous three sale days."""
     return rounded(with_lags(sales(spark, tables, category=False)), *_LAG_PRICES)
@@ -148,6 +157,7 @@ QUERIES: dict[str, Query] = {
     "moving_average_table": moving_average_table,
     "moving_average_past": moving_average_past,
     "lag_join": lag_join,
+    "laid_out_lag_join": laid_out_lag_join,
     "average_join": average_join,
     "undefined_average_dates": undefined_average_dates,
     "feature_table": feature_table,
@@ -218,6 +228,7 @@ ORACLES: dict[str, str] = {
     "lag_join": sql(
         f"SELECT date, sku_id, sales_price, sales_quantity, {_LAGS} FROM with_lags", "with_lags"
     ),
+    "laid_out_lag_join": sql(f"SELECT {_SALE}, {_LAGS} FROM with_lags", "with_lags"),
     "average_join": sql(f"SELECT {_SALE}, {_SMA} FROM sales JOIN averages USING (category_id, date)", "sales", "averages"),
     "undefined_average_dates": sql(
         "SELECT DISTINCT date FROM averages WHERE sma_5_sales_price IS NULL", "averages"

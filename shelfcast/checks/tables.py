@@ -24,6 +24,7 @@ from shelfcast.operators.rows import (
 from shelfcast.plans.features import with_lags
 from shelfcast.schema import CATEGORY, CLUSTER, DATE, N_ROWS, PRICE, QUANTITY, SALES_COLUMNS, SKU
 from shelfcast.session import new_path
+from shelfcast.sources.holidays import with_substitutes
 from shelfcast.sources.sales import read_sales_csv, write_csv, write_forecast
 
 
@@ -71,6 +72,11 @@ def holiday_flag(spark: SparkSession, tables: str) -> DataFrame:
     return with_holiday_flag(sales(spark, tables, category=False), calendar(spark))
 
 
+def holiday_flag_substitutes(spark: SparkSession, tables: str) -> DataFrame:
+    """With the days off that holidays at weekends move to."""
+    return with_holiday_flag(sales(spark, tables, category=False), with_substitutes(calendar(spark)))
+
+
 def dates_from_parts(spark: SparkSession, tables: str) -> DataFrame:
     parts = with_calendar(sales(spark, tables, category=False)).drop(DATE)
     return parts.select(SKU, "year", "month", "day", date_from_parts().alias(DATE))
@@ -177,6 +183,7 @@ QUERIES: dict[str, Query] = {
         calendar_extended,
         weekend_flag,
         holiday_flag,
+        holiday_flag_substitutes,
         dates_from_parts,
         log_columns,
         integer_casts,
@@ -202,6 +209,28 @@ CAST(day(date) AS INTEGER) AS day, CAST(isodow(date) AS INTEGER) AS weekday"""
 _SALES_DOUBLE = "date, category_id, sku_id, sales_price, CAST(sales_quantity AS DOUBLE) AS sales_quantity"
 _LAG_PRESENT = PRESENT.split(" AND sma_5")[0]
 
+# Orthodox Easter of the years before the end of the sales tables.
+_EASTERS = """1990-04-15 1991-04-07 1992-04-26 1993-04-18 1994-05-01 1995-04-23 1996-04-14 1997-04-27 1998-04-19 1999-04-11
+2000-04-30 2001-04-15 2002-05-05 2003-04-27""".split()
+
+# Dates of its own, and days off by counting: a free working day is off where since some day before it more
+# holidays fell on weekends than there were free working days.
+_DAYS_OFF = f"""
+easter AS (SELECT CAST(unnest(['{"', '".join(_EASTERS)}']) AS DATE) AS d),
+dated AS (SELECT DISTINCT d FROM (
+    SELECT d FROM easter UNION ALL SELECT d + 49 FROM easter
+    UNION ALL SELECT make_date(y, m, n) FROM range(1990, 2004) t(y), (VALUES (1, 1), (1, 7), (3, 8), (5, 1), (5, 2), (5, 9)) f(m, n)
+    UNION ALL SELECT make_date(y, 8, 24) FROM range(1992, 2004) t(y)
+    UNION ALL SELECT make_date(y, 6, 28) FROM range(1997, 2004) t(y)
+) x(d)),
+every_day AS (SELECT CAST(unnest(generate_series(DATE '1990-01-01', DATE '2003-12-31', INTERVAL 1 DAY)) AS DATE) AS d),
+steps AS (SELECT d, isodow(d) < 6 AND d NOT IN (FROM dated) AS free,
+    CASE WHEN isodow(d) >= 6 AND d IN (FROM dated) AND d >= DATE '1995-01-27' THEN 1
+         WHEN isodow(d) < 6 AND d NOT IN (FROM dated) THEN -1 ELSE 0 END AS step FROM every_day),
+sums AS (SELECT d, free, sum(step) OVER (ORDER BY d) - step AS before FROM steps),
+off AS (SELECT d FROM dated UNION SELECT x.d FROM sums x WHERE x.free AND EXISTS (
+    SELECT 1 FROM sums y WHERE y.d < x.d AND y.d > x.d - 40 AND x.before > y.before))"""
+
 ORACLES: dict[str, str] = {
     "sales_csv": sql(f"SELECT {_SALES_DOUBLE} FROM sales", "sales"),
     "future_csv": sql(
@@ -229,6 +258,11 @@ ORACLES: dict[str, str] = {
         "sales",
         "holidays",
     ),
+    "holiday_flag_substitutes": sql(
+        """SELECT date, sku_id, sales_price, sales_quantity, date IN (FROM off) AS is_ukrainian_holiday FROM sales""",
+        "sales",
+        extra=_DAYS_OFF,
+    ),
     "dates_from_parts": sql(f"SELECT sku_id, {_PARTS.rsplit(',', 1)[0]}, date FROM sales", "sales"),
     "log_columns": sql(
         """SELECT sku_id, sales_price, round(ln(sales_price), 6) AS log_sales_price,

@@ -23,6 +23,19 @@ def hot_keys(weights: DataFrame, keys: Sequence[str], *, hot_rows: int = HOT_ROW
     return cut_lineage(weights.where(F.col(N_ROWS) > hot_rows).select(*keys, parts), path)
 
 
+def with_part(fact: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``fact`` with the part (``__part``) that a row of a hot key goes to; 0 for other keys."""
+    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns])
+    part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("__parts")).cast("int"))
+    return fact.join(hot, list(keys), "left").withColumn("__part", part).drop("__parts")
+
+
+def with_part_copies(table: DataFrame, hot: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``table`` with every row once for each part (``__part``) of its key."""
+    copies = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - F.lit(1))
+    return table.join(hot, list(keys), "left").withColumn("__part", F.explode(copies)).drop("__parts")
+
+
 def attach(
     fact: DataFrame,
     table: DataFrame,
@@ -51,11 +64,7 @@ def attach(
     if weights is None and hot is None:
         return fact.join(table, keys, how)
     hot = hot_keys(weights, keys, hot_rows=hot_rows) if hot is None else hot
-    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in fact.columns])
-    part = F.when(F.col("__parts").isNull(), F.lit(0)).otherwise(F.pmod(spread, F.col("__parts")).cast("int"))
-    left = fact.join(hot, keys, "left").withColumn("__part", part).drop("__parts")
-    copies = F.sequence(F.lit(0), F.coalesce("__parts", F.lit(1)) - F.lit(1))
-    right = table.join(hot, keys, "left").withColumn("__part", F.explode(copies)).drop("__parts")
+    left, right = with_part(fact, hot, keys), with_part_copies(table, hot, keys)
     return left.join(right, [*keys, "__part"], how).drop("__part")
 
 

@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 
 from shelfcast.operators.calendar import with_calendar, with_holiday_flag
 from shelfcast.operators.daily import daily, daily_base, roll_up
 from shelfcast.operators.history import lag_table, moving_average_table
 from shelfcast.operators.joins import attach, attach_stored
+from shelfcast.operators.layout import LaidOut, lay_out
 from shelfcast.operators.rows import drop_nulls as without_nulls
 from shelfcast.operators.scaling import standardise
 from shelfcast.plans.clusters import assign_clusters, clustering_features, fit_clusters
@@ -57,6 +59,16 @@ def with_lags(
     return attach(sales, lag_table(days, lags=lags), [SKU, DATE], weights=days)
 
 
+def lay_out_sales(sales: DataFrame, name: str, *, buckets: int, **options: Any) -> LaidOut:
+    """Sales as a bucketed catalog table by SKU and date, for :func:`laid_out_lags` without moving them again."""
+    return lay_out(sales, [SKU, DATE], name, buckets=buckets, **options)
+
+
+def laid_out_lags(spark: SparkSession, sales: LaidOut, *, lags: int = NUM_LAGS) -> DataFrame:
+    """:func:`with_lags` of sales laid out by SKU and date: only daily rows are exchanged."""
+    return sales.attach(lag_table(daily(sales.rows(spark), SKU), lags=lags))
+
+
 def with_moving_averages(
     sales: DataFrame,
     *,

@@ -16,7 +16,7 @@ from shelfcast.operators.joins import attach, attach_stored, hot_keys
 from shelfcast.operators.rows import drop_nulls, split_by_completeness
 from shelfcast.operators.scaling import apply_scaling, standardise
 from shelfcast.plans.features import build_features, feature_columns, with_lags
-from shelfcast.sources.holidays import holiday_calendar
+from shelfcast.sources.holidays import holiday_calendar, with_substitutes
 from shelfcast.sources.sales import sales_from_lineitem
 
 
@@ -71,6 +71,20 @@ def test_weekday_weekend_and_iso_week(spark):
     assert strict.first()["is_weekend"] is False
 
 
+def test_holidays_at_weekends_move_to_the_next_working_days(spark):
+    """Days off of 2019 and 2021 as they were; two holidays at one weekend give two, and none is given after the rule ends."""
+    calendar = holiday_calendar(spark, 2018, 2024)
+    out = with_substitutes(calendar)
+    days = {r[0].isoformat() for r in out.where("name = 'Substitute day'").collect()}
+    assert {d for d in days if d[:4] == "2019"} == {"2019-04-29", "2019-06-17", "2019-08-26"}
+    assert {d for d in days if d[:4] == "2021"} == {"2021-05-03", "2021-05-04", "2021-05-10", "2021-06-21", "2021-12-27"}
+    assert not {d for d in days if d > "2022-03-14"} and out.count() == calendar.count() + len(days)
+    # Holidays given twice, without a date, or none at all.
+    twice = with_substitutes(calendar.unionByName(calendar).unionByName(calendar.limit(1).selectExpr("CAST(NULL AS DATE) AS date", "name")))
+    assert {r[0].isoformat() for r in twice.where("name = 'Substitute day'").collect()} == days
+    assert with_substitutes(calendar.limit(0)).collect() == []
+
+
 def test_holiday_flag(spark):
     rows = spark.createDataFrame([(dt.date(2020, 8, 24),), (dt.date(2020, 8, 25),), (None,)], "date date")
     flagged = {r[0]: r[1] for r in with_holiday_flag(rows, holiday_calendar(spark, 2019, 2021)).collect()}
