@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import os
 import re
 from collections import Counter, defaultdict
@@ -132,6 +133,58 @@ def test_decontamination_finds_every_whole_item(spark, duck, tables):
     assert all(r.score >= decontamination.THRESHOLD and min(r.question_overlap, r.answer_overlap) >= 0.8 for r in rows)
 
 
+def scored(docs: list[tuple], items: list[tuple]) -> dict[tuple, float]:
+    """(document, item) -> best score of all passages that pass, by BM25 of every passage against every item.
+
+    Items of a length class (up to 64 words, then by powers of two) share the stride, the longest of them;
+    passages are two strides long and begin at every stride.
+    """
+    split = lambda t: [w.decode() for w in decontamination._words_of(t or "")]
+    wanted = [(i, split(t)) for i, t in items]
+    wanted = [(i, w) for i, w in wanted if w]
+    if not wanted:
+        return {}
+    frequency = Counter(w for _, words in wanted for w in set(words))
+    mean = sum(len(w) for _, w in wanted) / len(wanted)
+    idf = {w: math.log(1 + (len(wanted) - n + 0.5) / (n + 0.5)) for w, n in frequency.items()}
+    length_class = lambda words: max(6, (len(words) - 1).bit_length())
+    stride = {}
+    for _, words in wanted:
+        stride[length_class(words)] = max(stride.get(length_class(words), 0), len(words))
+    found: dict[tuple, float] = {}
+    texts = [(d, split(t)) for d, t, _ in docs]
+    for item, words in wanted:
+        counts, step = Counter(words), stride[length_class(words)]
+        k1, b = decontamination.K1, decontamination.B
+        weight = {w: idf[w] * n * (k1 + 1) / (n + k1 * (1 - b + b * len(words) / mean)) for w, n in counts.items()}
+        total, half = sum(weight.values()), (len(words) + 1) // 2
+        size = min(decontamination.SHINGLE, len(words))
+        grams = lambda own: {tuple(own[i : i + size]) for i in range(len(own) - size + 1)}  # noqa: E731, B023
+        question, answer, order = set(words[:half]), set(words[half:]) or set(words), grams(words)
+        for doc, own in texts:
+            for at in range(0, len(own), step):
+                passage = own[at : at + 2 * step]
+                have = set(passage)
+                score = sum(v for w, v in weight.items() if w in have) / total
+                if score < decontamination.THRESHOLD - 1e-9:
+                    continue
+                overlaps = [len(part & have) / len(part) for part in (question, answer)]
+                if min(overlaps) >= decontamination.MIN_OVERLAP and len(grams(passage) & order) / len(order) >= decontamination.MIN_SHINGLES:
+                    found[doc, item] = max(found.get((doc, item), 0.0), score)
+    return found
+
+
+def test_decontamination_equals_all_scores(spark, duck, tables):
+    items = duck(tables).execute("SELECT item_id, text FROM benchmark").fetchall()
+    expected = scored(_texts(duck, tables), items)
+    rows = QUERIES["op8_decontamination"](spark, tables).collect()
+    got: dict[tuple, float] = {}
+    for r in rows:
+        got[r.doc_id, r.item_id] = max(got.get((r.doc_id, r.item_id), 0.0), r.score)
+    assert expected and got.keys() == expected.keys()
+    assert all(got[k] == pytest.approx(v, abs=1e-6) for k, v in expected.items())
+
+
 def test_language_identification(spark, duck, tables):
     rows = QUERIES["op9_language_id"](spark, tables).collect()
     docs = _texts(duck, tables)
