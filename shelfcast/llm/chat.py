@@ -107,8 +107,14 @@ PARTS = StructType(
 )
 
 
-def _format_batch(batch: pa.RecordBatch) -> Iterator[tuple]:
-    """(conversation, turns, text, loss starts, loss ends) of every run of turns of one conversation."""
+def _spans(rows: np.ndarray, first: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Of every run of rows that begins at ``first`` the values ``at`` of its chosen ``rows``, as a list."""
+    offsets = np.searchsorted(rows, first).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(np.r_[offsets, len(rows)], pa.int32()), pa.array(at, pa.int64()))
+
+
+def _format_batch(batch: pa.RecordBatch, task: int, count: int) -> pa.RecordBatch:
+    """A part for every run of turns of one conversation; the texts lie in the assembled buffer itself."""
     conv, role, text = (batch.column(i) for i in range(3))
     n = batch.num_rows
     role, text = pc.fill_null(role, ""), pc.fill_null(text, "")
@@ -123,16 +129,19 @@ def _format_batch(batch: pa.RecordBatch) -> Iterator[tuple]:
     first = np.flatnonzero(change)
     offsets = pa.py_buffer(np.ascontiguousarray(row_at[np.r_[first, n]], dtype=np.int64))
     texts = pa.LargeStringArray.from_buffers(len(first), offsets, buffer)
-    learnt = pc.equal(role, ASSISTANT).to_numpy(zero_copy_only=False)
-    for k, (a, b) in enumerate(zip(first, np.r_[first[1:], n])):
-        rows = a + np.flatnonzero(learnt[a:b])
-        yield (
-            None if missing[a] else int(known[a]),
-            int(b - a),
-            texts[k].as_py(),
-            (starts[rows, 3] - row_at[a]).tolist(),
-            (starts[rows, 4] - row_at[a]).tolist(),
-        )
+    rows = np.flatnonzero(pc.equal(role, ASSISTANT).to_numpy(zero_copy_only=False))
+    start_of_part = row_at[first[np.searchsorted(first, rows, side="right") - 1]]
+    return pa.RecordBatch.from_arrays(
+        [
+            conv.take(pa.array(first)),
+            pa.array(np.arange(count, count + len(first)) + (task << 32), pa.int64()),
+            pa.array(np.diff(np.r_[first, n]), pa.int32()),
+            pc.cast(texts, pa.string()),
+            _spans(rows, first, starts[rows, 3] - start_of_part),
+            _spans(rows, first, starts[rows, 4] - start_of_part),
+        ],
+        names=PARTS.fieldNames(),
+    )
 
 
 def format_conversations(turns: DataFrame, n_partitions: int | None = None) -> DataFrame:
@@ -158,21 +167,9 @@ def format_conversations(turns: DataFrame, n_partitions: int | None = None) -> D
         task, count = TaskContext.get().partitionId(), 0
         for batch in batches:
             if batch.num_rows:
-                parts = list(_format_batch(batch))
-                conv, turns_of, text, starts, ends = zip(*parts)
-                place = np.arange(count, count + len(parts)) + (task << 32)
-                count += len(parts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(conv, pa.int64()),
-                        pa.array(place, pa.int64()),
-                        pa.array(turns_of, pa.int32()),
-                        pa.array(text, pa.string()),
-                        pa.array(starts, pa.list_(pa.int64())),
-                        pa.array(ends, pa.list_(pa.int64())),
-                    ],
-                    names=PARTS.fieldNames(),
-                )
+                parts = _format_batch(batch, task, count)
+                count += parts.num_rows
+                yield parts
 
     return dealt.sortWithinPartitions(*order).select("conv_id", "role", "text").mapInArrow(run, PARTS)
 
