@@ -280,7 +280,7 @@ def test_a_string_that_very_many_hold(spark, monkeypatch):
     """Split where it meets its owners, with the same result."""
     rows = [(i, "x token=shared99 y", f"s{i % 3}", "x") for i in range(60)] + [(60, "token=alone123", "s0", "x")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string").repartition(4)
-    monkeypatch.setattr(joins.hot_keys, "__kwdefaults__", {"hot_rows": 5})
+    monkeypatch.setattr(joins.hot_keys, "__kwdefaults__", {**joins.hot_keys.__kwdefaults__, "hot_rows": 5})
     monkeypatch.setattr(joins.attach, "__kwdefaults__", {**joins.attach.__kwdefaults__, "hot_rows": 5})
     out = {r.doc_id: [s["live"] for s in r.found] for r in secrets.find_secrets(df).collect()}
     assert out == {**{i: [False] for i in range(60)}, 60: [True]}
