@@ -88,8 +88,11 @@ def _late_files(spark: SparkSession, tables: str) -> DataFrame:
     rows = sales(spark, tables)
     year = F.year(DATE) + F.when(F.pmod(F.xxhash64(SKU, DATE, PRICE), F.lit(3)) == 0, 1).otherwise(0)
     folder = new_path(spark, "late-sales")
-    rows.withColumn("arrived", year).repartition("arrived").write.partitionBy("arrived").parquet(folder)
-    files = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 3)
+    # A year is as many files as its rows need, and a batch a third of all files.
+    part = F.pmod(F.xxhash64(SKU), F.lit(int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    rows.withColumn("arrived", year).repartition("arrived", part).write.partitionBy("arrived").parquet(folder)
+    written = len(spark.read.schema(rows.schema).option("recursiveFileLookup", "true").parquet(folder).inputFiles())
+    files = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max(1, -(-written // 3)))
     return files.parquet(folder)
 
 

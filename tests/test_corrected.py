@@ -88,3 +88,31 @@ def test_a_stream_goes_on_from_its_checkpoint(spark, tmp_path):
     expected = lag_table(days)
     got = last_versions(spark, stream.schema, str(tmp_path / "table"))
     assert rows_of(got.selectExpr(*_rounded(expected))) == rows_of(expected.selectExpr(*_rounded(expected)))
+
+
+def test_keys_of_a_group_share_calls_and_state(spark, tmp_path):
+    """Many keys over two batches: no more state entries than groups, and the rows of the batch table."""
+    rows = [(day(1 + (sku * 7 + i) % 28, 1 + i % 2), 1, sku, None if (sku + i) % 5 == 0 else float(i), i) for sku in range(300) for i in range(6)]
+    for i in range(2):
+        _write(spark, tmp_path / "in", rows[i::2])
+    stream = corrected_lags(_stream(spark, tmp_path / "in"), delay="365 days", groups=8)
+    _run(stream, "sku_id", tmp_path)
+    state = spark.read.format("statestore").option("stateVarName", "days").option("path", str(tmp_path / "progress")).load()
+    assert state.count() == 8
+    days = daily(spark.createDataFrame(rows, SALES), "sku_id")
+    days = days.withColumn("sales_quantity", F.col("sales_quantity").cast("double")).drop("n_rows")
+    expected = lag_table(days)
+    got = last_versions(spark, stream.schema, str(tmp_path / "table"))
+    assert rows_of(got.selectExpr(*_rounded(expected))) == rows_of(expected.selectExpr(*_rounded(expected)))
+
+
+def test_a_timer_drops_closed_days_of_every_key_of_a_group(spark, tmp_path):
+    start = dt.date(2020, 1, 1)
+    days = [start + dt.timedelta(days=i) for i in range(120)]
+    for at in range(0, 120, 40):
+        _write(spark, tmp_path / "in", [(d, 1, sku, 1.0, 1) for d in days[at : at + 40] for sku in (1, 2)])
+    _write(spark, tmp_path / "in", [(days[119], 1, 3, 1.0, 1)])
+    _run(corrected_lags(_stream(spark, tmp_path / "in"), delay="10 days", groups=1), "sku_id", tmp_path)
+    state = spark.read.format("statestore").option("stateVarName", "days").option("path", str(tmp_path / "progress")).load()
+    (group,) = state.select("value.keys").collect()
+    assert len(group[0]) // 8 <= 2 * (10 + 3 + 2) + 1
