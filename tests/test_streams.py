@@ -121,3 +121,21 @@ def test_open_days_are_there_and_late_rows_are_counted(spark, tmp_path):
     on_time = [(1, first.date(), 2.0, 3.0, 1), (1, last.date(), 5.0, 2.0, 2), (2, last.date(), 1.0, 1.0, 1)]
     assert [(k, d, p, float(q), n) for k, d, p, q, n in got] == on_time
     assert dropped == 1
+
+
+def test_keys_of_a_group_share_a_call(spark, tmp_path):
+    """Hundreds of keys in a few groups over two batches, with days that come twice and too late."""
+    rng, schema, inbox = random.Random(6), daily_schema(SKU), str(tmp_path / "days")
+    start, expected = dt.date(2020, 1, 1), {}
+    for first in (0, 10):
+        rows = [(sku, start + dt.timedelta(days=first + i), rng.choice([None, 1.0, 2.0]), float(i), 1) for sku in range(200) for i in rng.sample(range(10), 4)]
+        spark.createDataFrame(rows + [(sku, start, 9.0, 9.0, 1) for sku in range(0, 200 if first else 0, 50)], schema).coalesce(1).write.mode("append").parquet(inbox)
+        out = run(lag_stream(spark.readStream.schema(schema).parquet(inbox), groups=4), tmp_path, "lags")
+        expected |= {(r[0], r[1]): r for r in rows}
+    state = spark.read.format("statestore").option("path", str(tmp_path / "lags-progress")).load()
+    assert state.count() == 4
+    got = spark.read.parquet(out)
+    assert rows_of(got.where("late"), SKU, "date") == [(sku, start) for sku in range(0, 200, 50)]
+    columns = [SKU, "date", *lag_names()]
+    again = lag_table(spark.createDataFrame(list(expected.values()), schema))
+    assert rows_of(got.where("NOT late"), *columns) == rows_of(again, *columns)
