@@ -207,3 +207,15 @@ def test_reading_bad_values(spark, tmp_path):
 
 def test_paths_are_new(spark):
     assert new_path(spark, "x") != new_path(spark, "x")
+
+
+def test_flags_of_inputs_never_missing_change_no_prediction(spark, table):
+    names = feature_columns(table)
+    fitted = models.train(table, models.boosted_trees(maxIter=3, maxDepth=3), names)
+    assert not [c for c in fitted.stages[-2].getInputCols() if c.startswith("__missing_")]
+    means, flagged = models.input_means(table, names)
+    assert flagged == []
+    whole = models.regression_pipeline(models.boosted_trees(maxIter=3, maxDepth=3), names, means).fit(table)
+    holes = table.withColumn("lag_1_sales_quantity", F.when(F.col("sku_id") > 3, F.col("lag_1_sales_quantity")))
+    one, other = (models.predict(m, holes).select("row_id", F.round("prediction", 9)) for m in (fitted, whole))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, other.collect()))

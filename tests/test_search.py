@@ -9,6 +9,7 @@ from statistics import NormalDist, mean
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from shelfcast.plans import clusters, models, parzen, tuning
 
@@ -157,3 +158,26 @@ def test_elbow_costs_fall(spark):
     assert costs[0] == pytest.approx(600) and costs[2] < 0.05 * costs[0] and all(a >= b - 1e-6 for a, b in zip(costs, costs[1:3]))
     with pytest.raises(ValueError):
         clusters.elbow(spark.createDataFrame(rows[-2:], "a double, b double"))
+
+
+def test_trials_of_a_fold_are_scored_in_one_scan(spark, monkeypatch):
+    """The losses are those of one model after the other, and inputs that are never missing get no flag."""
+    rng = random.Random(2)
+    rows = [(i, float(rng.randint(0, 9)), None if i % 7 == 0 else rng.random()) for i in range(300)]
+    df = spark.createDataFrame([(i, a, b, a * 2 + (b or 0)) for i, a, b in rows], "row_id long, a double, b double, sales_quantity double").persist()
+    scans = []
+    together = tuning._losses
+    monkeypatch.setattr(tuning, "_losses", lambda fitted, *more: scans.append(len(fitted)) or together(fitted, *more))
+    space = {"numTrees": tuning.Ints(1, 3), "maxDepth": tuning.Ints(1, 3)}
+    best, trials = tuning.search(df, models.random_forest(bootstrap=False), ["a", "b"], space, trials=3, folds=2)
+    assert scans == [3, 3]
+    assert best.stages[-2].getInputCols() == ["__filled_a", "__filled_b", "__missing_b"]
+    data = tuning.with_fold(df, 2, ("row_id",))
+    for row in trials.collect():
+        found = []
+        for i in range(2):
+            forest = models.random_forest(bootstrap=False, **json.loads(row.params))
+            model = models.regression_pipeline(forest, ["a", "b"], *models.input_means(df, ["a", "b"])).fit(data.where(F.col("fold") != i))
+            scored = models.predict(model, data.where(F.col("fold") == i))
+            found.append(scored.agg(F.avg(F.abs(F.col("prediction") - F.col("sales_quantity")))).first()[0])
+        assert row.mae == pytest.approx(sum(found) / 2, rel=1e-9)
