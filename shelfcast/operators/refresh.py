@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -11,7 +12,7 @@ from pyspark.sql.types import DataType, DateType, DoubleType, LongType, StringTy
 from shelfcast.operators.daily import daily
 from shelfcast.operators.history import lag_table, moving_average_table
 from shelfcast.schema import CATEGORY, DATE, N_ROWS, NUM_LAGS, PRICE, QUANTITY, SKU, WINDOW_SIZE
-from shelfcast.session import cut_lineage, drop_path, new_path, path_exists
+from shelfcast.session import cut_lineage, drop_path, folders, move_path, path_exists
 
 MONTH = "__month"
 
@@ -29,14 +30,18 @@ def months_of(table: DataFrame) -> list[str]:
 def replace_months(table: DataFrame, path: str, months: list[str] | None) -> None:
     """Replace the given months of the table at ``path`` (all: None), also those that have no row any more."""
     spark = table.sparkSession
-    # Stored aside first: a table cannot be read and replaced by the same job.
-    staged = new_path(spark, "staged")
-    rows = cut_lineage(table, staged)
-    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static" if months is None else "dynamic")
-    writer.partitionBy(MONTH).parquet(path)
-    for month in set(months or ()) - set(months_of(rows)):
-        drop_path(spark, f"{path}/{MONTH}={month}")
-    drop_path(spark, staged)
+    # Written aside, in a folder that readers pass over, and moved: a table cannot be read and replaced by the same job.
+    staged = f"{path}/.staged-{uuid.uuid4().hex}"
+    try:
+        table.write.partitionBy(MONTH).parquet(staged)
+        written = folders(spark, staged)
+        held = [f for f in folders(spark, path) if f.startswith(f"{MONTH}=")] if months is None else [f"{MONTH}={m}" for m in months]
+        for name in written:
+            move_path(spark, f"{staged}/{name}", f"{path}/{name}")
+        for name in set(held) - set(written):
+            drop_path(spark, f"{path}/{name}")
+    finally:
+        drop_path(spark, staged)
 
 
 def read_months(spark: SparkSession, path: str, schema: StructType, months: list[str] | None = None) -> DataFrame:
@@ -114,6 +119,16 @@ class StoredWindows:
         cells = self._cells(changed)
         self._replace(days.join(cells.select(self.key, DATE), [self.key, DATE], "left_semi"), cells)
 
+    def follow(self, days: DataFrame, changed: DataFrame) -> None:
+        """:func:`replace` by all daily rows of the months of ``changed``: nothing held is looked at for them.
+
+        ``changed`` is a stored table of different (key, date, month), none of them null.
+        """
+        touched = months_of(changed)
+        if touched:
+            self._write(self._stored(days), "days", touched)
+            self._replace_windows(changed, touched)
+
     def _cells(self, changed: DataFrame) -> DataFrame:
         known = F.col(self.key).isNotNull() & F.col(DATE).isNotNull()
         return cut_lineage(changed.where(known).select(self.key, DATE).distinct().withColumn(MONTH, month_of(F.col(DATE))))
@@ -124,6 +139,10 @@ class StoredWindows:
             return
         kept = self._read(spark, "days", touched).join(cells.select(self.key, DATE), [self.key, DATE], "left_anti")
         self._write(kept.unionByName(self._stored(fresh)), "days", touched)
+        self._replace_windows(cells, touched)
+
+    def _replace_windows(self, cells: DataFrame, touched: list[str]) -> None:
+        spark = cells.sparkSession
         keys = cut_lineage(cells.select(self.key).distinct())
         self._write(self._counted(self._read(spark, "days", touched)), "counts", touched)
         needed = cut_lineage(self._needed(cells, keys))

@@ -76,7 +76,7 @@ def keep_live(
     def process(batch: DataFrame, number: int) -> None:
         cells = daily.merge(batch, number)
         for stored in windows:
-            stored.replace(daily.rows(batch.sparkSession, months_of(cells)), cells)
+            stored.follow(daily.rows(batch.sparkSession, months_of(cells)), cells)
 
     started = sales.writeStream.foreachBatch(process).option("checkpointLocation", checkpoint)
     return started.trigger(**(trigger or {"availableNow": True})).start()

@@ -85,3 +85,20 @@ def test_nothing_changed(spark, tmp_path):
     stored.build(_frames(spark, [(day(1), 1, 1, 2.0, 3)]))
     stored.refresh(_frames(spark, [(day(1), 1, 1, 2.0, 3)]), spark.createDataFrame([(None, None)], "category_id long, date date"))
     assert stored.rows(spark).count() == 1
+
+
+def test_months_are_written_once(spark, tmp_path):
+    """A table that reads the months it replaces is written to them by one job; nothing is left beside them."""
+    path = str(tmp_path / "kept")
+    rows = spark.createDataFrame([(1, "m202001"), (2, "m202002"), (3, "m202003")], f"n long, {refresh.MONTH} string")
+    refresh.replace_months(rows, path, None)
+    held = refresh.read_months(spark, path, rows.schema, ["m202001", "m202002"])
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup
+    spark.sparkContext.setJobGroup("months", "")
+    refresh.replace_months(held.where("n = 2").selectExpr("n + 10 AS n", refresh.MONTH), path, ["m202001", "m202002"])
+    assert len(jobs("months")) == 1
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert rows_of(refresh.read_months(spark, path, rows.schema)) == [(3, "m202003"), (12, "m202002")]
+    assert sorted(f for f in os.listdir(path) if not f.startswith("_SUCCESS")) == [f"{refresh.MONTH}=m20200{m}" for m in (2, 3)]
+    refresh.replace_months(rows.where("n = 1"), path, None)
+    assert rows_of(refresh.read_months(spark, path, rows.schema)) == [(1, "m202001")]
