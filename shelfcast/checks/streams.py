@@ -57,10 +57,13 @@ def _closed_days(spark: SparkSession, tables: str, key: str) -> DataFrame:
 
 def _live(spark: SparkSession, tables: str, key: str, stored: refresh.StoredWindows) -> tuple[LiveDaily, refresh.StoredWindows]:
     """The sales in several files, out of order, as a stream that a live table and its windows follow."""
-    rows = sales(spark, tables).repartition(4, F.pmod(F.xxhash64(SKU, DATE, PRICE), F.lit(4)))
+    # As many files as the session has shuffle partitions, four at least, and a batch half of them.
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = sales(spark, tables).repartition(files, SKU, DATE, PRICE)
     folder = new_path(spark, "sales-files")
     rows.write.parquet(folder)
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 2).parquet(folder)
+    written = len(spark.read.schema(rows.schema).parquet(folder).inputFiles())
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", max(1, -(-written // 2))).parquet(folder)
     daily = LiveDaily(new_path(spark, f"live-{key}"), key)
     keep_live(stream, daily, new_path(spark, "live-progress"), [stored]).awaitTermination()
     return daily, stored

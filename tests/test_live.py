@@ -70,3 +70,22 @@ def test_files_do_not_grow_with_batches(spark, tmp_path):
         live.merge(spark.createDataFrame(_rows(batch, 40), SALES).coalesce(1), batch)
         sizes.append(sum(f.endswith(".parquet") for _, _, files in os.walk(tmp_path / "daily") for f in files))
     assert sizes[-1] <= sizes[0] + 20 and max(sizes) <= 5 * 4
+
+
+def test_live_files_are_many_and_small(spark, monkeypatch):
+    """No file of the live queries grows beyond its share of the shuffle partitions, and there are two batches."""
+    from shelfcast.checks import streams
+
+    seen, own = [], streams.keep_live
+    monkeypatch.setattr(streams, "keep_live", lambda *a, **more: seen.append(own(*a, **more)) or seen[-1])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    folders, path = [], streams.new_path
+    monkeypatch.setattr(streams, "new_path", lambda s, name: folders.append((name, path(s, name))) or folders[-1][1])
+    try:
+        streams.live_averages(spark, "/root/testdata/sf0.001").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    parts = spark.read.parquet(dict(folders)["sales-files"]).groupBy("_metadata.file_path").count().collect()
+    assert len(parts) == 8 and max(r["count"] for r in parts) < 1500
+    assert len([p for p in seen[0].recentProgress if p["numInputRows"]]) == 2
