@@ -6,6 +6,8 @@ import os
 import subprocess
 import sys
 
+from pyspark.sql import functions as F
+
 from shelfcast.session import cut_lineage, new_path, scratch, shared_dir
 
 HERE = os.path.dirname(os.path.abspath(__file__))
@@ -62,3 +64,15 @@ def test_every_module_is_collected_with_and_without_the_subpackage():
             if name.startswith("test_") and name.endswith(".py"):
                 with open(os.path.join(folder, name)) as f:
                     assert "from conf" + "test import" not in f.read(), name
+
+
+def test_a_fit_reads_splits_of_bounded_size(spark, tmp_path):
+    """What a task of a fit keeps goes by the split it reads, whatever the size of the files."""
+    from shelfcast import session
+
+    path = str(tmp_path / "one")
+    cut_lineage(spark.range(0, 5_000_000, 1, 1).selectExpr("xxhash64(id) AS x"), path)
+    with session.small_splits(spark):
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(16 << 20)
+        parts = spark.read.parquet(path).groupBy(F.spark_partition_id()).count().collect()
+    assert len(parts) >= 3 and max(r["count"] for r in parts) * 8 <= (16 + 8) << 20
